@@ -430,8 +430,7 @@ SELECT station_id, minute, nb_available_bikes FROM filled""",
   FROM records WHERE station_id IS NOT NULL AND record_timestamp IS NOT NULL)""",
         _fill("src", ["station_id", "local_date"], "nb_available_bikes", "filled"),
         _pad("filled", ["station_id", "local_date"], "nb_available_bikes", "BIGINT", "padded")) + f"""
-SELECT station_id, strftime(local_date, '%Y-%m-%d') AS local_date, minute,
-       {_local('minute')} AS local_minute, nb_available_bikes
+SELECT station_id, strftime(local_date, '%Y-%m-%d') AS local_date, minute, nb_available_bikes
 FROM padded""",
 
     "network_timeline": _with(_RECORDS, _NET, _fill("net", [], "total_bikes", "filled")) + f"""

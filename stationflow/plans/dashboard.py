@@ -105,8 +105,11 @@ def chart_series(df: DataFrame, keys: Sequence[str], order: str, label: str,
     keys, values = list(keys), list(values)
     items = F.array_sort(F.collect_list(F.struct(F.col(order), F.col(label), *values)))
     g = df.groupBy(*keys).agg(items.alias("__items"))
-    out = [F.transform("__items", lambda x: x[label]).alias("labels")]
+    def field(name: str):
+        return lambda x: x[name]
+
+    out = [F.transform("__items", field(label)).alias("labels")]
     for i, v in enumerate(values):
         name = "values" if i == 0 else f"values{i + 1}"
-        out.append(F.transform("__items", lambda x, v=v: x[v]).alias(name))
+        out.append(F.transform("__items", field(v)).alias(name))
     return g.select(*keys, *out)
