@@ -41,6 +41,7 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app_name="stationflow-bench",
                           shuffle_partitions=max(8, 2 * cpus),
                           extra={"spark.ui.enabled": "false", "spark.driver.memory": "16g",
+                                 "spark.ui.showConsoleProgress": "false",
                                  "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
     spark.sparkContext.setLogLevel("ERROR")
     work = scratch_path(spark, f"bench-{uuid.uuid4().hex[:8]}")

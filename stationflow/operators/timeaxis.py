@@ -12,10 +12,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.timefn import one_minute
+from stationflow.functions.timefn import one_minute  # noqa: F401  (re-exported)
 from stationflow.operators.sequential import adjacent
 from stationflow.schemas import MINUTES_PER_DAY
 
+MICROS_PER_MINUTE = 60_000_000
+
+
+def _local_offset(start, steps, tz: str) -> Column:
+    """UTC offset (µs) valid for the whole span ``start + [0, steps]`` minutes,
+    or null when the span may contain an offset change (different offsets at
+    its ends, or longer than 28 days)."""
+    def offset(micros):
+        return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(micros), tz)) - micros
+    end = start + steps * MICROS_PER_MINUTE
+    same = (offset(start) == offset(end)) & (steps < 28 * MINUTES_PER_DAY)
+    return F.when(same, offset(start))
+
+
+def _local_label(utc_micros, offset, tz: str) -> Column:
+    """Wall clock of ``utc_micros`` in ``tz``: integer arithmetic with a known
+    offset, the zone rules otherwise (only on spans that cross an offset change)."""
+    return F.when(offset.isNotNull(), F.timestamp_micros(utc_micros + offset)) \
+        .otherwise(F.from_utc_timestamp(F.timestamp_micros(utc_micros), tz)) \
+        .cast("timestamp_ntz")
+
 
 def minute_first(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str],
                  tiebreak: Sequence[str] = (), minute: str = "minute") -> DataFrame:
@@ -25,44 +46,84 @@ def minute_first(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[s
     A plain aggregation, so Spark combines map-side before the shuffle and a hot
     key costs no more than its number of distinct minutes.
     """
-    order = F.struct(F.col(ts), *[F.col(c) for c in tiebreak])
+    # A plain long ordering keeps the aggregation hash-based; a struct (with
+    # tie-breakers) makes it sort-based.
+    order = (F.unix_micros(F.col(ts)) if not tiebreak
+             else F.struct(F.col(ts), *[F.col(c) for c in tiebreak]))
     aggs = [F.min_by(F.col(v), F.when(F.col(v).isNotNull(), order)).alias(v) for v in values]
     return df.groupBy(*keys, F.date_trunc("minute", F.col(ts)).alias(minute)).agg(*aggs)
 
 
 def minute_fill(df: DataFrame, keys: Sequence[str], values: Sequence[str],
-                minute: str = "minute", bucket: Column | None = None) -> DataFrame:
+                minute: str = "minute", bucket: Column | None = None,
+                label: str | None = None, tz: str | None = None) -> DataFrame:
     """Dense 1-minute series per key from its first to its last minute.
 
     ``df`` holds at most one row per (keys, minute) — see ``minute_first``. Each
     observed row is repeated up to the minute before the next observed one, so a
     missing minute carries the last observed row, including an observed null.
-    The next observed minute comes from ``adjacent`` bucketed by day.
+    The next observed minute comes from ``adjacent`` bucketed by day. With
+    ``label``, a wall-clock column in ``tz`` is added (offset computed once per
+    observed row, not per generated minute).
     """
     keys, values = list(keys), list(values)
     bucket = F.date_trunc("day", F.col(minute)) if bucket is None else bucket
     d = adjacent(df, keys, [minute], bucket, [minute], direction="next", name="__next")
-    last = F.coalesce(F.col("__next").getField(minute) - one_minute(), F.col(minute))
-    return d.select(*keys, F.explode(F.sequence(F.col(minute), last, one_minute())).alias(minute),
-                    *values)
+    # Generate minute offsets as longs and rebuild timestamps with integer
+    # arithmetic: about twice as fast as a timestamp sequence with an interval step.
+    start = F.unix_micros(F.col(minute))
+    gap = F.floor((F.unix_micros(F.col("__next").getField(minute)) - start) / MICROS_PER_MINUTE) - 1
+    steps = F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)).cast("bigint")
+    # Per-observation columns are computed in their own projection below the
+    # generator; in the generator's select they would be evaluated per output row.
+    s = d.select(*keys, start.alias("__start"), steps.alias("__steps"), *values)
+    if label:
+        s = s.withColumn("__off", _local_offset(F.col("__start"), F.col("__steps"), tz))
+    g = s.select(*keys, "__start", *(["__off"] if label else []),
+                 F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__steps"))).alias("__i"),
+                 *values)
+    at = F.col("__start") + F.col("__i") * MICROS_PER_MINUTE
+    lab = [_local_label(at, F.col("__off"), tz).alias(label)] if label else []
+    return g.select(*keys, F.timestamp_micros(at).alias(minute), *lab, *values)
+
+
+def series_span(df: DataFrame, keys: Sequence[str], minute: str = "minute") -> DataFrame:
+    """Per key: rows a gap-free minute series from the first to the last minute of
+    ``df`` has (``__n``) and its last minute (``__last``); read from the sparse
+    series, so the dense one is never scanned for it."""
+    g = df.groupBy(*keys).agg(F.min(minute).alias("__first"), F.max(minute).alias("__last"))
+    n = (F.unix_seconds(F.col("__last")) - F.unix_seconds(F.col("__first"))) / 60 + 1
+    return g.select(*keys, n.cast("bigint").alias("__n"), "__last")
 
 
 def pad_tail(df: DataFrame, keys: Sequence[str], values: Sequence[str],
-             length: int = MINUTES_PER_DAY, minute: str = "minute") -> DataFrame:
+             length: int = MINUTES_PER_DAY, minute: str = "minute",
+             span: DataFrame | None = None, label: str | None = None,
+             tz: str | None = None) -> DataFrame:
     """Append null-valued minutes after each key's last minute until the key has
-    ``length`` rows; keys that already have ``length`` rows or more are unchanged."""
+    ``length`` rows; keys that already have ``length`` rows or more are unchanged.
+
+    ``span`` (keys, ``__n``, ``__last``) may be given when the row count is known
+    without scanning ``df`` (see ``series_span``); otherwise it is counted.
+    """
     keys, values = list(keys), list(values)
-    stats = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.max(minute).alias("__last"))
+    if span is None:
+        span = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                     F.max(minute).alias("__last"))
     types = dict(df.dtypes)
-    pads = (stats.where(F.col("__n") < length)
-            .select(*keys, "__last",
-                    F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(length) - F.col("__n")))
-                    .alias("__i"))
-            .select(*keys,
-                    (F.col("__last") + F.make_dt_interval(mins=F.col("__i").cast("int")))
-                    .alias(minute),
-                    *[F.lit(None).cast(types[v]).alias(v) for v in values]))
-    return df.select(*keys, minute, *values).unionByName(pads)
+    last = F.unix_micros(F.col("__last"))
+    count = (F.lit(length) - F.col("__n")).cast("bigint")
+    s = span.where(F.col("__n") < length).select(*keys, last.alias("__start"),
+                                                 count.alias("__count"))
+    if label:
+        s = s.withColumn("__off", _local_offset(F.col("__start"), F.col("__count"), tz))
+    pads = s.select(*keys, "__start", *(["__off"] if label else []),
+                    F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__count"))).alias("__i"))
+    at = F.col("__start") + F.col("__i") * MICROS_PER_MINUTE
+    lab = [_local_label(at, F.col("__off"), tz).alias(label)] if label else []
+    pads = pads.select(*keys, F.timestamp_micros(at).alias(minute), *lab,
+                       *[F.lit(None).cast(types[v]).alias(v) for v in values])
+    return df.select(*keys, minute, *([label] if label else []), *values).unionByName(pads)
 
 
 def hour_axis(days: DataFrame, day_cols: Sequence[str], hour: str = "hour_of_day") -> DataFrame:

@@ -16,7 +16,7 @@ from stationflow.functions.timefn import (DEFAULT_TZ, local_date, local_time, lo
                                           span_bounds, ts_literal)
 from stationflow.operators.flatten import latest_per_key
 from stationflow.operators.network import in_band, network_kpis, network_total
-from stationflow.operators.timeaxis import minute_fill, minute_first, pad_tail
+from stationflow.operators.timeaxis import minute_fill, minute_first, pad_tail, series_span
 from stationflow.operators.transactions import loans_total
 from stationflow.schemas import MINUTES_PER_DAY, NETWORK_BAND
 
@@ -30,10 +30,11 @@ def minute_timeline(df: DataFrame, keys: Sequence[str], value: str, tz: str = DE
     """
     keys = list(keys)
     first = minute_first(df, keys, "record_timestamp", [value])
-    filled = minute_fill(first, keys, [value])
+    filled = minute_fill(first, keys, [value], label="local_minute", tz=tz)
     if pad:
-        filled = pad_tail(filled, keys, [value], length=pad)
-    return filled.select(*keys, "minute", local_time("minute", tz).alias("local_minute"), value)
+        filled = pad_tail(filled, keys, [value], length=pad, span=series_span(first, keys),
+                          label="local_minute", tz=tz)
+    return filled.select(*keys, "minute", "local_minute", value)
 
 
 def _since(records: DataFrame, span: str | None, now: dt.datetime | None, tz: str) -> DataFrame:

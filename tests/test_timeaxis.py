@@ -75,3 +75,32 @@ def test_minute_timeline_labels_local_time(spark):
                "local_minute")
     assert got == [("2024-01-16 00:00:00", 3), ("2024-01-16 00:01:00", None),
                    ("2024-01-16 00:02:00", None)]
+
+
+def test_series_span_matches_filled_count(spark):
+    from stationflow.operators.timeaxis import series_span
+    df = _series(spark, [(1, "2024-01-01 10:00:00", 3), (1, "2024-01-01 12:05:00", 4),
+                         (2, "2024-01-01 10:00:00", 1)])
+    first = minute_first(df, ["k"], "record_timestamp", ["v"])
+    filled = minute_fill(first, ["k"], ["v"])
+    counted = {r.k: r[1] for r in filled.groupBy("k").count().collect()}
+    spans = {r["k"]: r["__n"] for r in series_span(first, ["k"]).collect()}
+    assert counted == spans == {1: 126, 2: 1}
+    a = pad_tail(filled, ["k"], ["v"], span=series_span(first, ["k"]))
+    b = pad_tail(filled, ["k"], ["v"])
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_local_labels_across_dst_change(spark):
+    # Gap across the autumn change (Paris 03:00 CEST → 02:00 CET on 2024-10-27).
+    df = _series(spark, [(1, "2024-10-27 00:30:00", 1), (1, "2024-10-27 01:30:00", 2),
+                         (2, "2024-01-10 10:00:00", 3), (2, "2024-01-10 11:00:00", 4)])
+    first = minute_first(df, ["k"], "record_timestamp", ["v"])
+    filled = minute_fill(first, ["k"], ["v"], label="lm", tz="Europe/Paris")
+    padded = pad_tail(filled, ["k"], ["v"], length=200, label="lm", tz="Europe/Paris")
+    exp = padded.select("lm", F.from_utc_timestamp("minute", "Europe/Paris")
+                        .cast("timestamp_ntz").alias("e"))
+    assert exp.where(F.col("lm") != F.col("e")).count() == 0
+    assert padded.count() == 400
+    labels = [r.lm for r in padded.where("k = 1").orderBy("minute").collect()]
+    assert labels[29] == ts("2024-10-27 02:59") and labels[30] == ts("2024-10-27 02:00")
