@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.status import availability_ratio
-from stationflow.functions.timefn import (DEFAULT_TZ, hhmm_label, local_time, minute_label,
-                                          ts_literal)
+from stationflow.functions.timefn import DEFAULT_TZ, hhmm_label, local_time, minute_label
+from stationflow.operators.filters import time_range
 from stationflow.operators.joins import join_stations
 from stationflow.operators.sequential import adjacent
 from stationflow.operators.timeaxis import one_minute
@@ -19,11 +19,7 @@ def frame_points(records: DataFrame, stations: DataFrame, start=None, end=None,
     """In-service readings in ``[start, end)`` with coordinates and the share of
     docks holding a bike, keyed by local minute."""
     ts = F.col("record_timestamp")
-    r = records.where(F.col("operational_state") == STATE_IN_SERVICE)
-    if start is not None:
-        r = r.where(ts >= ts_literal(start))
-    if end is not None:
-        r = r.where(ts < ts_literal(end))
+    r = time_range(records, start, end).where(F.col("operational_state") == STATE_IN_SERVICE)
     j = join_stations(r, stations)
     return j.select(
         F.date_trunc("minute", local_time(ts, tz)).alias("minute"),

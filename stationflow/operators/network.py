@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.timefn import local_time, ts_literal, weekday_index
+from stationflow.functions.timefn import local_time, weekday_index
+from stationflow.operators.filters import time_range
 from stationflow.operators.joins import join_stations
 from stationflow.schemas import STATE_IN_SERVICE, STATE_MAINTENANCE, STATE_REFORMED
 
@@ -53,7 +54,7 @@ def latest_readings(records: DataFrame, as_of: dt.datetime | str | None = None)
     from stationflow.operators.flatten import latest_per_key
     r = records.where(F.col("station_id").isNotNull() & F.col("record_timestamp").isNotNull())
     if as_of is not None:
-        r = r.where(F.col("record_timestamp") < ts_literal(as_of))
+        r = time_range(r, None, as_of)
     return latest_per_key(r, "station_id", ["record_timestamp", "last_update"])
 
 
@@ -67,7 +68,7 @@ def hourly_profile(records: DataFrame, start: dt.datetime | str, end: dt.datetim
     result to one chart; hours without data are absent (no padding).
     """
     ts = F.col("record_timestamp")
-    r = records.where((ts >= ts_literal(start)) & (ts < ts_literal(end)))
+    r = time_range(records, start, end)
     if station is not None:
         r = r.where(F.col("station_id") == F.lit(station))
     t = ts if tz == "UTC" else local_time(ts, tz)
@@ -84,10 +85,8 @@ def empty_station_events(records: DataFrame, stations: DataFrame,
                          start: dt.datetime | str, end: dt.datetime | str) -> DataFrame:
     """In-service readings with no bike in ``[start, end)``, with the station name,
     ordered by time then name."""
-    ts = F.col("record_timestamp")
-    r = records.where((ts >= ts_literal(start)) & (ts < ts_literal(end))
-                      & (F.col("nb_available_bikes") == 0)
-                      & (F.col("operational_state") == STATE_IN_SERVICE))
+    r = time_range(records, start, end).where(
+        (F.col("nb_available_bikes") == 0) & (F.col("operational_state") == STATE_IN_SERVICE))
     return (join_stations(r.select("station_id", "record_timestamp"),
                           stations.select("id", "name"))
             .select("record_timestamp", "station_id", "name")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.timefn import to_utc_datetime, ts_literal
+from stationflow.operators.filters import outside_removed, time_range
 from stationflow.operators.flatten import flatten_snapshots
 from stationflow.schemas import RECORD_COLUMNS
 
@@ -22,9 +23,7 @@ WEEK = dt.timedelta(days=7)
 def keep_window(df: DataFrame, start, end, ts: str = "record_timestamp") -> DataFrame:
     """``DELETE WHERE ts < start OR ts >= end``: rows whose predicate is not true
     survive, so rows with a null timestamp are kept."""
-    c = F.col(ts)
-    outside = (c < ts_literal(start)) | (c >= ts_literal(end))
-    return df.where(~F.coalesce(outside, F.lit(False)))
+    return outside_removed(df, start, end, ts)
 
 
 def drop_closed_window(df: DataFrame, start, end, ts: str = "record_timestamp") -> DataFrame:
@@ -34,7 +33,7 @@ def drop_closed_window(df: DataFrame, start, end, ts: str = "record_timestamp")
 
 
 def select_closed_window(df: DataFrame, start, end, ts: str = "record_timestamp") -> DataFrame:
-    return df.where(F.col(ts).between(ts_literal(start), ts_literal(end)))
+    return time_range(df, start, end, ts, closed=True)
 
 
 def repair_window(records: DataFrame, start, end, shift: dt.timedelta = WEEK) -> DataFrame:

@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.timefn import DEFAULT_TZ, local_day_bounds, local_time, ts_literal
+from stationflow.functions.timefn import DEFAULT_TZ, local_day_bounds, local_time
+from stationflow.operators.filters import time_range
 from stationflow.operators.sequential import adjacent
 from stationflow.operators.timeaxis import hour_axis
 
@@ -16,8 +17,7 @@ def _day_filter(records: DataFrame, day: dt.date | None, tz: str) -> DataFrame:
     if day is None:
         return records
     lo, hi = local_day_bounds(day, tz)  # UTC range: pushes down, DST-correct
-    ts = F.col("record_timestamp")
-    return records.where((ts >= ts_literal(lo)) & (ts < ts_literal(hi)))
+    return time_range(records, lo, hi)
 
 
 def station_deltas(records: DataFrame, tz: str = DEFAULT_TZ,

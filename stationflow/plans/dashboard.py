@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions.timefn import (DEFAULT_TZ, local_date, local_time, local_today,
                                           span_bounds, ts_literal)
+from stationflow.operators.filters import time_range
 from stationflow.operators.flatten import latest_per_key
 from stationflow.operators.network import in_band, network_kpis, network_total
 from stationflow.operators.timeaxis import minute_fill, minute_first, pad_tail, series_span
@@ -41,7 +42,7 @@ def _since(records: DataFrame, span: str | None, now: dt.datetime | None, tz: st
     if span is None:
         return records
     lower = span_bounds(span, now or dt.datetime.utcnow(), tz)
-    return records.where(F.col("record_timestamp") >= ts_literal(lower))
+    return time_range(records, lower, None)
 
 
 def station_timeline(records: DataFrame, station: int | None = None, span: str | None = "today",
@@ -87,8 +88,7 @@ def network_timeline(records: DataFrame, span: str | None = "today",
 def index_kpis(records: DataFrame, now: dt.datetime, tz: str = DEFAULT_TZ) -> DataFrame:
     """Headline measures of the latest reading of every station before ``now``,
     plus the loans of the local day of ``now``."""
-    r = records.where(F.col("station_id").isNotNull()
-                      & (F.col("record_timestamp") < ts_literal(now)))
+    r = time_range(records, None, now).where(F.col("station_id").isNotNull())
     latest = latest_per_key(r, "station_id", ["record_timestamp", "last_update"])
     loans = loans_total(records, tz, local_today(now, tz))
     loan_count = loans.agg(F.coalesce(F.sum("loans"), F.lit(0)).cast("bigint")
