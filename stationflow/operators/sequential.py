@@ -43,7 +43,12 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     d = d.withColumn(name, shift(payload, 1).over(inner))
 
     # One row per (key, bucket): the row a neighbouring bucket needs.
-    edge = F.max_by(payload, ordering) if direction == "prev" else F.min_by(payload, ordering)
+    if cols == order and len(cols) == 1:
+        # Payload is the ordering column itself: a plain max/min (hash aggregate).
+        extreme = F.max if direction == "prev" else F.min
+        edge = F.struct(extreme(F.col(cols[0])).alias(cols[0]))
+    else:
+        edge = F.max_by(payload, ordering) if direction == "prev" else F.min_by(payload, ordering)
     edges = d.groupBy(*keys, _BUCKET).agg(edge.alias(_EDGE))
     across = Window.partitionBy(*keys).orderBy(_BUCKET)
     edges = edges.select(*keys, _BUCKET, shift(_EDGE, 1).over(across).alias(_CARRY))
