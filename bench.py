@@ -70,9 +70,9 @@ def main() -> None:
     # (2) one day of the full network state, one document per minute and page.
     records, stations = testdata.load_model(spark, sf_dir)
     docs = testdata.snapshots_from_records(records, stations).drop("capture_minute")
-    docs.write.mode("overwrite").json(raw_dir)
+    sinks.write_snapshots_json(docs, raw_dir)
     dense = testdata.snapshots_from_records(dense_day(records, DAY), stations)
-    dense.drop("capture_minute").write.mode("overwrite").json(dense_dir)
+    sinks.write_snapshots_json(dense.drop("capture_minute"), dense_dir)
     _run(records)  # warm-up
 
     timings: dict[str, float] = {}

@@ -10,6 +10,8 @@ pandas as different types).
 from __future__ import annotations
 
 import datetime as dt
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +23,12 @@ from stationflow.operators import flatten, frames, network, repair, transactions
 from stationflow.operators.timeaxis import minute_first, pad_tail
 from stationflow.plans import dashboard
 from stationflow.sources import testdata
+from stationflow.functions.codec import json_field
+from stationflow.schemas import RECORD_COLUMNS
+from stationflow.session import scratch_path
+from stationflow.sources.sinks import write_snapshots_json
 from stationflow.sources.tables import row_count
+from stationflow.streaming.ingest import ingest_stream
 
 # Parameters of the registered queries. The generated data covers 2024-01-01 to
 # 2024-01-30 (UTC); every query looks at it from NOW.
@@ -214,6 +221,23 @@ def q_row_count(spark, sf_dir):
     return row_count(_records(spark, sf_dir))
 
 
+def q_json_fields(spark, sf_dir):
+    e = testdata.load_table(spark, sf_dir, "events")
+    return e.select("event_id", json_field("props", "k").alias("k"))
+
+
+def q_stream_ingest(spark, sf_dir):
+    """The minute ingest end to end: snapshot documents derived from the tables
+    are written as JSON files, a Structured Streaming query picks them up
+    (``availableNow``) and appends to a Parquet sink; the sink is returned."""
+    work = scratch_path(spark, f"stream-ingest-{uuid.uuid4().hex[:12]}")
+    src, sink, ckpt = (os.path.join(work, n) for n in ("raw", "records", "_checkpoint"))
+    write_snapshots_json(_snapshots(spark, sf_dir).drop("capture_minute"), src)
+    query = ingest_stream(spark, src, sink, ckpt, available_now=True)
+    query.awaitTermination()
+    return spark.read.parquet(sink).select(*RECORD_COLUMNS)
+
+
 QUERIES: dict[str, Query] = {
     "transactions_by_hour": q_transactions_by_hour,
     "transactions_by_hour_padded": q_transactions_by_hour_padded,
@@ -246,6 +270,8 @@ QUERIES: dict[str, Query] = {
     "animation_frames": q_animation_frames,
     "timemap_frames": q_timemap_frames,
     "row_count": q_row_count,
+    "json_fields": q_json_fields,
+    "stream_ingest": q_stream_ingest,
 }
 
 
@@ -565,6 +591,10 @@ WHERE record_timestamp IS NOT NULL AND latitude IS NOT NULL AND longitude IS NOT
   AND nb_velos_dispo IS NOT NULL AND ratio IS NOT NULL AND NOT isnan(ratio)""",
 
     "row_count": _with(_RECORDS) + "SELECT count(*) AS row_count FROM records",
+
+    "json_fields": "SELECT event_id, CAST(props->>'k' AS BIGINT) AS k FROM events",
+
+    "stream_ingest": _with(_RECORDS) + "SELECT * FROM records WHERE station_id IS NOT NULL",
 }
 
 

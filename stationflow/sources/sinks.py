@@ -14,6 +14,14 @@ from pyspark.sql import functions as F
 from stationflow.functions.timefn import local_time
 from stationflow.schemas import RECORD_COLUMNS, RECORD_DATE
 
+# JSON text keeps microseconds (Spark's default writer format stops at millis).
+JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+
+
+def write_snapshots_json(snapshots: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Raw documents as JSON lines, full timestamp precision."""
+    snapshots.write.mode(mode).option("timestampFormat", JSON_TIMESTAMP_FORMAT).json(path)
+
 
 def with_record_date(records: DataFrame) -> DataFrame:
     return records.select(*RECORD_COLUMNS,
@@ -52,7 +60,8 @@ def archive_raw(snapshots: DataFrame, path: str, captured_at: str = "captured_at
     """
     day = F.date_format(local_time(F.col(captured_at), tz), "yyyy_MM_dd").alias("capture_date")
     docs = snapshots.select("*", day)
-    docs.write.mode(mode).partitionBy("capture_date").json(path)
+    (docs.write.mode(mode).option("timestampFormat", JSON_TIMESTAMP_FORMAT)
+     .partitionBy("capture_date").json(path))
 
 
 def write_frames_json(frames: DataFrame, path: str, mode: str = "overwrite") -> None:
