@@ -22,7 +22,8 @@ _CARRY = "__adj_carry"
 
 
 def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
-             cols: Sequence[str], direction: str = "prev", name: str = "adjacent") -> DataFrame:
+             cols: Sequence[str], direction: str = "prev", name: str = "adjacent",
+             partitions: int | None = None) -> DataFrame:
     """Add ``name``: a struct of ``cols`` taken from the previous (``"prev"``) or
     next (``"next"``) row of the same ``keys`` in ``order``; null at the ends.
 
@@ -30,6 +31,12 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     day of the ordering timestamp). ``order`` should be unique within a key,
     otherwise ties are resolved arbitrarily, as with a window function. Keys must
     not be null.
+
+    ``partitions`` fixes the number of partitions of the window's shuffle (hash
+    of keys and bucket). Use it when the next step multiplies rows (gap filling):
+    adaptive execution would otherwise size the stage by its small input and run
+    the expansion in a handful of tasks. No shuffle is added: the window needs
+    exactly this clustering anyway.
     """
     if direction not in ("prev", "next"):
         raise ValueError("direction must be 'prev' or 'next'")
@@ -39,6 +46,8 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     ordering = F.struct(*[F.col(c) for c in order])
 
     d = df.withColumn(_BUCKET, bucket)
+    if partitions:
+        d = d.repartition(partitions, *keys, _BUCKET)
     inner = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
     d = d.withColumn(name, shift(payload, 1).over(inner))
 

@@ -19,6 +19,15 @@ from stationflow.schemas import MINUTES_PER_DAY
 MICROS_PER_MINUTE = 60_000_000
 
 
+def expansion_partitions(df: DataFrame) -> int:
+    """Partitions for a stage whose output is much larger than its input: the
+    session's shuffle partition count (sized to the cluster), at least the
+    default parallelism."""
+    spark = df.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(configured, spark.sparkContext.defaultParallelism)
+
+
 def _local_offset(start, steps, tz: str) -> Column:
     """UTC offset (µs) valid for the whole span ``start + [0, steps]`` minutes,
     or null when the span may contain an offset change (different offsets at
@@ -68,7 +77,8 @@ def minute_fill(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     """
     keys, values = list(keys), list(values)
     bucket = F.date_trunc("day", F.col(minute)) if bucket is None else bucket
-    d = adjacent(df, keys, [minute], bucket, [minute], direction="next", name="__next")
+    d = adjacent(df, keys, [minute], bucket, [minute], direction="next", name="__next",
+                 partitions=expansion_partitions(df))
     # Generate minute offsets as longs and rebuild timestamps with integer
     # arithmetic: about twice as fast as a timestamp sequence with an interval step.
     start = F.unix_micros(F.col(minute))
@@ -115,6 +125,10 @@ def pad_tail(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     count = (F.lit(length) - F.col("__n")).cast("bigint")
     s = span.where(F.col("__n") < length).select(*keys, last.alias("__start"),
                                                  count.alias("__count"))
+    # Up to ``length`` rows come out of one small row: spread them round-robin
+    # (a hash on the keys would merge with the aggregation's own shuffle, which
+    # adaptive execution then coalesces by its tiny input size).
+    s = s.repartition(expansion_partitions(df)) if keys else s
     if label:
         s = s.withColumn("__off", _local_offset(F.col("__start"), F.col("__count"), tz))
     pads = s.select(*keys, "__start", *(["__off"] if label else []),
