@@ -73,6 +73,12 @@ def q_transactions_by_hour_padded(spark, sf_dir):
     return t.select(_day_text(), "hour_of_day", "borrowed", "returned")
 
 
+def q_transactions_by_hour_fixed_offset(spark, sf_dir):
+    """The legacy display convention: a fixed +02:00 offset all year."""
+    t = transactions.transactions_by_hour(_records(spark, sf_dir), "+02:00", pad=True)
+    return t.select(_day_text(), "hour_of_day", "borrowed", "returned")
+
+
 def q_loans_total(spark, sf_dir):
     t = transactions.loans_total(_records(spark, sf_dir), TZ)
     return t.select(_day_text(), "loans")
@@ -241,6 +247,7 @@ def q_stream_ingest(spark, sf_dir):
 QUERIES: dict[str, Query] = {
     "transactions_by_hour": q_transactions_by_hour,
     "transactions_by_hour_padded": q_transactions_by_hour_padded,
+    "transactions_by_hour_fixed_offset": q_transactions_by_hour_fixed_offset,
     "loans_total": q_loans_total,
     "station_delta": q_station_delta,
     "weekday_hour_profile": q_weekday_hour_profile,
@@ -406,6 +413,16 @@ SELECT strftime(local_date, '%Y-%m-%d') AS local_date, hour_of_day, borrowed, re
   SELECT DISTINCT CAST({_local('record_timestamp')} AS DATE) AS local_date
   FROM records WHERE record_timestamp IS NOT NULL),
 axis AS (SELECT local_date, CAST(h AS INTEGER) AS hour_of_day FROM days, range(24) t(h))""") + """
+SELECT strftime(a.local_date, '%Y-%m-%d') AS local_date, a.hour_of_day,
+       coalesce(h.borrowed, 0) AS borrowed, coalesce(h.returned, 0) AS returned
+FROM axis a LEFT JOIN hourly h USING (local_date, hour_of_day)""",
+
+    "transactions_by_hour_fixed_offset": _with(
+        _RECORDS, _DELTAS.replace(_local('record_timestamp'), "record_timestamp + INTERVAL 2 HOUR"),
+        """days AS (
+  SELECT DISTINCT CAST(record_timestamp + INTERVAL 2 HOUR AS DATE) AS local_date
+  FROM records WHERE record_timestamp IS NOT NULL),
+axis AS (SELECT local_date, CAST(h AS INTEGER) AS hour_of_day FROM days, range(24) t(h))""") + """
 SELECT strftime(a.local_date, '%Y-%m-%d') AS local_date, a.hour_of_day,
        coalesce(h.borrowed, 0) AS borrowed, coalesce(h.returned, 0) AS returned
 FROM axis a LEFT JOIN hourly h USING (local_date, hour_of_day)""",

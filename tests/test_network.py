@@ -86,3 +86,17 @@ def test_network_timeline_and_chart_series(spark):
     packed = chart_series(t.withColumn("k", F.lit(1)), ["k"], "minute", "local_minute",
                           ["total_bikes"]).first()
     assert packed["values"] == [7, 7, 7, 5] and len(packed["labels"]) == 4
+
+
+def test_station_timeline_spans(spark):
+    from stationflow.plans.dashboard import station_timeline
+    r = records_df(spark, [(7, S, 1, 0, "2024-01-10 08:00:00"), (7, S, 2, 0, "2024-01-14 22:00:00"),
+                           (7, S, 3, 0, "2024-01-15 08:00:00"), (8, S, 9, 0, "2024-01-15 08:00:00")])
+    now = dt.datetime(2024, 1, 15, 12, 0)
+    today = station_timeline(r, 7, "today", now, "Europe/Paris")
+    assert today.count() == 1440                       # 23:00 UTC .. padded
+    assert today.orderBy("minute").first().nb_available_bikes == 3  # 22:00 UTC is before local midnight
+    last24 = station_timeline(r, 7, "24h", now, "Europe/Paris", pad=None)
+    assert last24.count() == 601 and last24.agg(F.max("nb_available_bikes")).first()[0] == 3
+    week = station_timeline(r, 7, "7d", now, "Europe/Paris", pad=None)
+    assert week.orderBy("minute").first().nb_available_bikes == 1
