@@ -35,9 +35,12 @@ def test_repair_outside_rows_unchanged(spark):
     data = [(k, S, k, 0, f"2023-11-{d:02d} 12:00:00") for k in range(3) for d in range(1, 29)]
     r = records_df(spark, data)
     out = repair_window(r, "2023-11-22 00:00:00 UTC", "2023-11-22 23:59:59 UTC")
-    assert r.subtract(out).count() == 0 or \
-        r.where("record_timestamp < '2023-11-22' or record_timestamp > '2023-11-23'") \
-         .subtract(out).count() == 0
+    outside = "record_timestamp < timestamp'2023-11-22 00:00:00' or " \
+              "record_timestamp > timestamp'2023-11-22 23:59:59'"
+    assert r.where(outside).subtract(out).count() == 0      # rows outside survive unchanged
+    assert out.where(outside).count() == r.where(outside).count()
+    inside = out.where(f"not ({outside})").collect()        # the copy of the week before
+    assert sorted(x.nb_available_bikes for x in inside) == [0, 1, 2]
     assert out.count() == r.count()
     assert touched_dates("2023-11-22 22:35:00 UTC", "2023-11-23 13:40:00 UTC") == \
         [dt.date(2023, 11, 22), dt.date(2023, 11, 23)]
