@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.status import availability_ratio
-from stationflow.functions.timefn import DEFAULT_TZ, hhmm_label, local_time, minute_label
+from stationflow.functions.timefn import (DEFAULT_TZ, hhmm_label, local_time, minute_label,
+                                          one_minute)
 from stationflow.operators.filters import time_range
 from stationflow.operators.joins import join_stations
 from stationflow.operators.sequential import adjacent
-from stationflow.operators.timeaxis import one_minute
 from stationflow.schemas import STATE_IN_SERVICE
 
 

@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.timefn import one_minute  # noqa: F401  (re-exported)
 from stationflow.operators.sequential import adjacent
 from stationflow.schemas import MINUTES_PER_DAY
 

@@ -17,15 +17,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.functions.status import availability_ratio, station_status
-from stationflow.functions.timefn import axis_label, local_date, local_time
+from stationflow.functions.codec import json_field
+from stationflow.functions.status import station_status
+from stationflow.functions.timefn import axis_label, local_date
 from stationflow.operators import flatten, frames, network, repair, transactions
 from stationflow.operators.timeaxis import minute_first, pad_tail
 from stationflow.plans import dashboard
-from stationflow.sources import testdata
-from stationflow.functions.codec import json_field
 from stationflow.schemas import RECORD_COLUMNS
 from stationflow.session import scratch_path
+from stationflow.sources import testdata
 from stationflow.sources.sinks import write_snapshots_json
 from stationflow.sources.tables import row_count
 from stationflow.streaming.ingest import ingest_stream

@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.timefn import (DEFAULT_TZ, local_date, local_time, local_today,
-                                          span_bounds, ts_literal)
+from stationflow.functions.timefn import DEFAULT_TZ, local_date, local_today, span_bounds
 from stationflow.operators.filters import time_range
 from stationflow.operators.flatten import latest_per_key
 from stationflow.operators.network import in_band, network_kpis, network_total
