@@ -32,7 +32,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 EVENT_STATE = {"click": STATE_IN_SERVICE, "view": STATE_IN_SERVICE,
                "purchase": STATE_IN_SERVICE, "error": STATE_MAINTENANCE,
                "signup": STATE_REFORMED}
-DATASET_ID = "vlille-realtime"
+DATASET_ID = "station-realtime"
 SNAPSHOT_PAGE_ROWS = 300
 
 
