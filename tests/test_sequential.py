@@ -35,3 +35,14 @@ def test_adjacent_keeps_null_values_distinct_from_missing_row(spark):
     got = adjacent(df, ["k"], ["t"], F.col("t"), ["v"], "prev", "p").orderBy("t").collect()
     assert got[0]["p"] is None            # first row: no previous row at all
     assert got[1]["p"] is not None and got[1]["p"]["v"] is None  # previous row, null value
+
+
+def test_adjacent_with_a_hot_key_holding_a_third_of_rows(spark):
+    rnd = random.Random(11)
+    data = [(0 if i % 3 == 0 else rnd.randrange(1, 50), i, rnd.randrange(100)) for i in range(3000)]
+    df = spark.createDataFrame(data, "k int, t int, v int")
+    w = Window.partitionBy("k").orderBy("t")
+    got = adjacent(df, ["k"], ["t"], F.floor(F.col("t") / 25), ["v"], "prev", "p", partitions=8)
+    got = got.select("k", "t", F.col("p.v").alias("pv"))
+    exp = df.select("k", "t", F.lag("v").over(w).alias("pv"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))

@@ -104,3 +104,28 @@ def test_local_labels_across_dst_change(spark):
     assert padded.count() == 400
     labels = [r.lm for r in padded.where("k = 1").orderBy("minute").collect()]
     assert labels[29] == ts("2024-10-27 02:59") and labels[30] == ts("2024-10-27 02:00")
+
+
+def test_minute_timeline_matches_pandas_resample(spark):
+    """Brute force: first non-null per minute, then resample('1min').ffill()."""
+    import random
+
+    import pandas as pd
+    rnd = random.Random(5)
+    data = []
+    for k in range(3):
+        t = pd.Timestamp("2024-01-01 08:00:00")
+        for _ in range(25):
+            t += pd.Timedelta(seconds=rnd.choice([5, 20, 50, 130, 600, 3700]))
+            data.append((k, t.strftime("%Y-%m-%d %H:%M:%S"), rnd.choice([None, rnd.randrange(30)])))
+    r = records_df(spark, [(k, "EN SERVICE", v, 0, t) for k, t, v in data])
+    got = minute_timeline(r, ["station_id"], "nb_available_bikes", "UTC", pad=None).toPandas()
+    for k in range(3):
+        p = pd.DataFrame([(pd.Timestamp(t), v) for kk, t, v in data if kk == k], columns=["t", "v"])
+        p["v"] = p["v"].astype("float")
+        p.index = p["t"].dt.floor("min")
+        exp = p.groupby(level=0)["v"].first().resample("1min").ffill()
+        mine = got[got.station_id == k].set_index("minute")["nb_available_bikes"].astype("float")
+        mine.index = pd.to_datetime(mine.index).tz_localize(None)
+        assert list(mine.index) == list(exp.index)
+        assert mine.fillna(-1).tolist() == exp.fillna(-1).tolist()
