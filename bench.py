@@ -24,7 +24,7 @@ from stationflow.operators import frames, network, repair, transactions  # noqa:
 from stationflow.operators.filters import time_range  # noqa: E402
 from stationflow.operators.flatten import flatten_snapshots  # noqa: E402
 from stationflow.operators.timeaxis import minute_fill, minute_first  # noqa: E402
-from stationflow.schemas import RECORD_COLUMNS  # noqa: E402
+from stationflow.schemas import RECORD_COLUMNS, SNAPSHOT_FOR_RECORDS  # noqa: E402
 from stationflow.plans import dashboard  # noqa: E402
 from stationflow.session import build_session, scratch_path  # noqa: E402
 from stationflow.sources import sinks, testdata  # noqa: E402
@@ -84,14 +84,14 @@ def main() -> None:
 
     # (a) load: JSON → unnest → cast → window → partitioned Parquet
     def load():
-        snaps = read_snapshots(spark, raw_dir)
+        snaps = read_snapshots(spark, raw_dir, schema=SNAPSHOT_FOR_RECORDS)
         sinks.overwrite_records(repair.backfill(snaps, START, NOW), fact_dir)
     timed("ingest_json_to_parquet", load)
     load_report = read_snapshots(spark, raw_dir).agg(
         F.count(F.lit(1)).alias("docs"), F.sum(F.size("records")).alias("rows")).first()
 
     def load_dense():
-        snaps = read_snapshots(spark, dense_dir)
+        snaps = read_snapshots(spark, dense_dir, schema=SNAPSHOT_FOR_RECORDS)
         sinks.overwrite_records(repair.backfill(snaps, START, NOW), os.path.join(work, "dense"))
     timed("ingest_dense_day", load_dense)
     dense_report = read_snapshots(spark, dense_dir).agg(

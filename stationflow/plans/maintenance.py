@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions.timefn import to_utc_datetime
 from stationflow.operators.repair import WEEK, backfill, repair_window, touched_dates
-from stationflow.schemas import RECORD_DATE
+from stationflow.schemas import RECORD_DATE, SNAPSHOT_FOR_RECORDS
 from stationflow.session import scratch_path
 from stationflow.sources import sinks
 from stationflow.sources.snapshots import read_snapshots
@@ -30,7 +30,7 @@ def load_window(spark: SparkSession, raw_paths: str | Sequence[str], fact_path:
     ``replace=False`` appends (re-running duplicates rows, as a plain INSERT
     does); ``replace=True`` replaces the dates present in the load.
     """
-    rows = backfill(read_snapshots(spark, raw_paths), start, end, strict)
+    rows = backfill(read_snapshots(spark, raw_paths, schema=SNAPSHOT_FOR_RECORDS), start, end, strict)
     if replace:
         sinks.overwrite_records(rows, fact_path)
     else:

@@ -62,6 +62,18 @@ SNAPSHOT = T.StructType([
     T.StructField("records", T.ArrayType(SNAPSHOT_RECORD)),
 ])
 
+# Only what the fact table needs: a JSON scan cannot prune nested fields, so the
+# loader declares the narrow schema and the parser skips the rest of each record.
+SNAPSHOT_FOR_RECORDS = T.StructType([
+    T.StructField("records", T.ArrayType(T.StructType([
+        T.StructField("fields", T.StructType([
+            T.StructField(name, SNAPSHOT_FIELDS[name].dataType)
+            for name in ("nbvelosdispo", "nbplacesdispo", "libelle", "etat", "etatconnexion",
+                         "datemiseajour")])),
+        T.StructField("record_timestamp", T.TimestampType()),
+    ]))),
+])
+
 # Fact table: one row per station and snapshot.
 RECORDS = T.StructType([
     T.StructField("station_id", T.LongType()),

@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators.flatten import flatten_snapshots
-from stationflow.schemas import RECORD_DATE, SNAPSHOT
+from stationflow.schemas import RECORD_DATE, SNAPSHOT, SNAPSHOT_FOR_RECORDS
 from stationflow.sources.sinks import with_record_date
 
 
 def snapshot_stream(spark: SparkSession, source_dir: str,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(SNAPSHOT)
+                    max_files_per_trigger: int | None = None,
+                    schema=SNAPSHOT) -> DataFrame:
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(source_dir)
@@ -31,7 +32,8 @@ def records_stream(spark: SparkSession, source_dir: str, strict: bool = False,
     """Flattened readings of new files. With ``dedup_watermark`` (e.g.
     ``"10 minutes"``) a reading delivered twice is dropped; off by default since
     delivery is at-least-once and the source appends blindly."""
-    flat = flatten_snapshots(snapshot_stream(spark, source_dir, max_files_per_trigger), strict)
+    snaps = snapshot_stream(spark, source_dir, max_files_per_trigger, SNAPSHOT_FOR_RECORDS)
+    flat = flatten_snapshots(snaps, strict)
     flat = flat.where(F.col("station_id").isNotNull())
     if dedup_watermark:
         flat = (flat.withWatermark("record_timestamp", dedup_watermark)
