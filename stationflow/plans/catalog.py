@@ -505,7 +505,10 @@ SELECT * FROM t WHERE tick_day IS NOT NULL OR tick_week IS NOT NULL""",
 
     "network_kpis": _with(_RECORDS, _LATEST) + f"SELECT {_KPIS}\nFROM latest",
 
-    "index_kpis": _with(_RECORDS, _DELTAS, """latest AS (
+    "index_kpis": _with(_RECORDS, _DELTAS.replace(
+        "FROM records WHERE station_id IS NOT NULL",
+        "FROM records WHERE record_timestamp < TIMESTAMP '2024-01-30 18:00:00' "
+        "AND station_id IS NOT NULL"), """latest AS (
   SELECT station_id,
          arg_max(operational_state, (record_timestamp, last_update)) AS operational_state,
          arg_max(nb_available_bikes, (record_timestamp, last_update)) AS nb_available_bikes,

@@ -86,10 +86,11 @@ def network_timeline(records: DataFrame, span: str | None = "today",
 
 def index_kpis(records: DataFrame, now: dt.datetime, tz: str = DEFAULT_TZ) -> DataFrame:
     """Headline measures of the latest reading of every station before ``now``,
-    plus the loans of the local day of ``now``."""
-    r = time_range(records, None, now).where(F.col("station_id").isNotNull())
-    latest = latest_per_key(r, "station_id", ["record_timestamp", "last_update"])
-    loans = loans_total(records, tz, local_today(now, tz))
+    plus the loans of the local day of ``now`` up to ``now``."""
+    before = time_range(records, None, now)
+    latest = latest_per_key(before.where(F.col("station_id").isNotNull()), "station_id",
+                            ["record_timestamp", "last_update"])
+    loans = loans_total(before, tz, local_today(now, tz))
     loan_count = loans.agg(F.coalesce(F.sum("loans"), F.lit(0)).cast("bigint")
                            .alias("todays_loan_count"))
     # Both sides are single-row aggregates: join them on a constant key.
