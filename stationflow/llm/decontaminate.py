@@ -99,8 +99,9 @@ def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id:
                               plain_words(F.col(item_text)).alias("words"))
     item_marks = _winnowed(item_words, window, gram, "item")
     short = item_words.where(F.size("words").between(1, window - 1))
-    probes = (item_marks.where(F.size("words") >= window)
-              .select("item", "words", F.explode("marks").alias("m"))
+    # explode() of a column would push a filter on its size below, and with it copies of
+    # all expressions that make it; explode_outer() doesn't.
+    probes = (item_marks.select("item", "words", F.explode_outer("marks").alias("m")).where("m is not null")
               .select("item", "words", "m.*")
               .unionByName(short.select("item", "words", F.size("words").alias("len"),
                                         F.lit(0).alias("pos"),
@@ -117,7 +118,8 @@ def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id:
         F.filter("lens", lambda m: m <= F.size("hashes")),
         lambda m: F.transform(F.sequence(F.lit(0), F.size("hashes") - m), lambda i: F.struct(
             m.alias("len"), i.alias("pos"), _run("hashes", i, m).alias("hash")))))
-    places = (marked.select(ROW_ID, ROW_TEXT, F.explode(F.concat("marks", whole)).alias("m"))
+    places = (marked.select(ROW_ID, ROW_TEXT, F.explode_outer(F.concat("marks", whole)).alias("m"))
+              .where("m is not null")
               .select(ROW_ID, ROW_TEXT, "m.*"))
     met = places.join(probes.select("len", "hash").distinct(), ["len", "hash"], "left_semi")
     found = (met.groupBy(ROW_ID, ROW_TEXT)
