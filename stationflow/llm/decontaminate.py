@@ -42,16 +42,13 @@ def _grams(hashes: str, length: int) -> Column:
 
 def _least_places(grams: str, span: int) -> Column:
     """Distinct positions of the smallest hash (the leftmost of equals) of every
-    ``span`` neighbouring hashes."""
-    n = F.size(grams)
+    ``span`` neighbouring hashes. The lowest bits of each hash give way to its offset,
+    so that the smallest value names its place."""
+    n, low = F.size(grams), (1 << (span - 1).bit_length()) - 1
 
     def place(j: Column) -> Column:
-        g = [F.get(grams, j + o) for o in range(span)]
-        least = F.least(*g)
-        found = F.lit(span - 1)
-        for o in range(span - 2, -1, -1):
-            found = F.when(g[o] == least, F.lit(o)).otherwise(found)
-        return j + found
+        marked = [F.get(grams, j + o).bitwiseAND(F.lit(~low)).bitwiseOR(F.lit(o)) for o in range(span)]
+        return j + F.least(*marked).bitwiseAND(F.lit(low)).cast("int")
 
     return F.when(n >= span, F.array_distinct(F.transform(F.sequence(F.lit(0), n - span), place))
                   ).otherwise(F.array().cast("array<int>"))
