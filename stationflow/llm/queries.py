@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, line_dedup
+from . import bpe, decontaminate, exact_dedup, line_dedup, secret_scan, simhash
 from .common import table
 
 
@@ -20,6 +20,36 @@ def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, seed=42)
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def q_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path())
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+
+    def listed(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin(*secret_scan.BASE))
+    return found.select("doc_id", *[count(k) for k in secret_scan.BASE],
+                        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", F.col("__removed").alias("n_removed"),
@@ -31,6 +61,9 @@ def queries() -> dict:
     return {
         "op1_decontamination": q_decontamination,
         "op3_exact_dedup": q_exact_dedup,
+        "op4_simhash": q_simhash,
+        "op7_bpe": q_bpe,
+        "op8_secrets": q_secrets,
         "op10_line_dedup": q_line_dedup,
     }
 
