@@ -175,8 +175,7 @@ def _encoder(spec_of):
 _HELD: dict = {}
 
 
-def encode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text",
-           with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row: id, ``n_tokens``, ``ids`` (decimal ids joined by one blank) and
     ``decoded`` (the text that decoding the ids gives, special tokens included).
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, line_dedup, secret_scan, simhash
-from .common import table
+from . import bpe, decontaminate, exact_dedup, line_dedup, secret_scan, simhash, warc
+from .common import shared_dir, table
 
 
 def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +26,21 @@ def q_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, seed=42)
 
 
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/warc-{os.urandom(8).hex()}"
+    warc.write_pages(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    back = warc.read_warc(spark, path)
+
+    def number(urn: str):
+        return F.nullif(F.regexp_extract(urn, "^<urn:page:(.*)>$", 1), F.lit("")).cast("bigint")
+
+    return back.select(
+        number("record_id").alias("page_id"),
+        F.coalesce(F.octet_length("payload").cast("bigint"), "http_length").alias("payload_bytes"),
+        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"), "record_type",
+        number("refers_to").alias("refers_to"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -62,6 +79,7 @@ def queries() -> dict:
         "op1_decontamination": q_decontamination,
         "op3_exact_dedup": q_exact_dedup,
         "op4_simhash": q_simhash,
+        "op5_warc": q_warc,
         "op7_bpe": q_bpe,
         "op8_secrets": q_secrets,
         "op10_line_dedup": q_line_dedup,
