@@ -7,7 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, exact_dedup, line_dedup, secret_scan, simhash, warc
+from . import (bpe, decontaminate, exact_dedup, line_dedup, quality, secret_scan, simhash, toxicity,
+               warc)
 from .common import shared_dir, table
 
 
@@ -18,6 +19,14 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def q_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -77,9 +86,11 @@ def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_decontamination": q_decontamination,
+        "op2_toxicity": q_toxicity,
         "op3_exact_dedup": q_exact_dedup,
         "op4_simhash": q_simhash,
         "op5_warc": q_warc,
+        "op6_quality": q_quality,
         "op7_bpe": q_bpe,
         "op8_secrets": q_secrets,
         "op10_line_dedup": q_line_dedup,
