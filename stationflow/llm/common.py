@@ -11,6 +11,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 # Java and Python spell this class alike: space, tab, LF, VT, FF, CR.
 BLANKS = r"[\x20\x09-\x0D]"
+BLANK_LETTERS = " \t\n\x0b\x0c\r"
 
 ROW_ID, ROW_TEXT = "__row_id", "__row_text"
 

@@ -15,7 +15,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, ROW_ID, ROW_TEXT, drop_row_key, join_rows, keyed, stored, with_row_key
+from .common import BLANK_LETTERS, ROW_ID, ROW_TEXT, drop_row_key, join_rows, keyed, stored, with_row_key
 
 
 def line_array(text: Column) -> Column:
@@ -24,7 +24,7 @@ def line_array(text: Column) -> Column:
 
 def line_digest(line: Column) -> Column:
     """Digest of a line without blanks around it; null for a blank line."""
-    bare = F.regexp_replace(line, f"^{BLANKS}+|{BLANKS}+$", "")
+    bare = F.trim(line, F.lit(BLANK_LETTERS))
     return F.when(bare != "", F.unhex(F.md5(bare)))
 
 
@@ -44,10 +44,10 @@ def boilerplate_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     band = max(1.0, sigmas * 1.04 / math.sqrt(2 ** lg_k) * min_sites)
     spread = stored(spread.where(F.col("sites") >= min_sites - band), "line-spread")
     near = spread.where(F.col("sites") < min_sites + band).select("digest", "first")
-    exact = (lines.where("site is not null").select("digest", "site").distinct()
-             .join(near, "digest").groupBy("digest")
-             .agg(F.count(F.lit(1)).alias("sites"), F.min("first").alias("first"))
-             .where(F.col("sites") >= min_sites).select("digest", "first"))
+    exact = (lines.where("site is not null").select("digest", "site")
+             .join(near.select("digest"), "digest", "left_semi").distinct()
+             .groupBy("digest").agg(F.count(F.lit(1)).alias("sites"))
+             .where(F.col("sites") >= min_sites).join(near, "digest").select("digest", "first"))
     far = spread.where(F.col("sites") >= min_sites + band).select("digest", "first")
     return far.unionByName(exact)
 
