@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, exact_dedup, line_dedup, quality, secret_scan, simhash, toxicity,
-               warc)
+from . import (bpe, decontaminate, exact_dedup, line_dedup, maxent, quality, secret_scan, simhash,
+               toxicity, warc)
 from .common import shared_dir, table
 
 
@@ -76,6 +76,10 @@ def q_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def q_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.lm_scores(table(spark, sf_dir, "documents"))
+
+
 def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.line_dedup(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", F.col("__removed").alias("n_removed"),
@@ -93,6 +97,7 @@ def queries() -> dict:
         "op6_quality": q_quality,
         "op7_bpe": q_bpe,
         "op8_secrets": q_secrets,
+        "op9_lm_scoring": q_lm_scoring,
         "op10_line_dedup": q_line_dedup,
     }
 
