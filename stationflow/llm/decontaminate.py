@@ -90,8 +90,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
 def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str = "item_id",
             item_text: str = "text", window: int = 10, gram: int = 6) -> DataFrame:
     reach = window - gram
-    if not 0 < gram <= window:
-        raise ValueError("gram must be between 1 and window")
+    if not 0 < gram < window:
+        raise ValueError("gram must be at least 1 and less than window")
     item_words = items.select(F.col(item_id).cast("string").alias("item"),
                               plain_words(F.col(item_text)).alias("words"))
     item_marks = _winnowed(item_words, window, gram, "item")
