@@ -1,0 +1,119 @@
+import base64
+import gzip
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from stationflow.llm import warc
+
+SCHEMA = "page_id bigint, url string, html string, record_type string, payload string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(i, u, h, "clash", "clash") for i, u, h in rows], SCHEMA)
+
+
+ROWS = [(5, "http://a/ b\r\nX: y", "<p>x</p>"), (3, "http://b", "<p>x</p>"), (8, "http://c", "<p>é</p>\r\n\r\nWARC/1.1\r\n"),
+        (7, None, None), (2, "u", ""), (9, "u", "é" * 300_000), (11, "http://b", "<p>x</p>")]
+
+
+def brute(rows, min_bytes=0):
+    out = {}
+    for i, _, h in rows:
+        payload = (h or "").encode()
+        first = min(j for j, _, g in rows if (g or "") == (h or ""))
+        revisit = len(payload) >= min_bytes and first != i
+        out[i] = (len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(),
+                  "revisit" if revisit else "response", first if revisit else None)
+    return out
+
+
+def number(urn):
+    return None if urn is None or urn == "<urn:page:>" else int(urn[len("<urn:page:"):-1])
+
+
+@pytest.mark.parametrize("min_bytes", [0, 5])
+def test_round_trip(spark, tmp_path, min_bytes):
+    path = f"file://{tmp_path}/w"
+    warc.write_pages(pages(spark, ROWS), path, min_bytes=min_bytes)
+    back = warc.read_warc(spark, path).collect()
+    got = {number(r.record_id): (r.http_length, r.payload_digest.removeprefix("sha1:"), r.record_type,
+                                 number(r.refers_to)) for r in back}
+    assert got == brute(ROWS, min_bytes)
+    html = {i: (h or "").encode() for i, _, h in ROWS}
+    assert all(bytes(r.payload) == html[number(r.record_id)] for r in back if r.record_type == "response")
+    assert all(r.payload is None for r in back if r.record_type == "revisit")
+
+
+def test_many_equal_pages(spark, tmp_path):
+    rows = [(i, "u", "hot" if i % 3 == 0 else f"page {i}") for i in range(1, 400)]
+    warc.write_pages(pages(spark, rows), str(tmp_path / "w"))
+    got = {number(r.record_id): (r.record_type, number(r.refers_to)) for r in warc.read_warc(spark, str(tmp_path / "w")).collect()}
+    assert got == {i: (k, f) for i, (_, _, k, f) in brute(rows).items()}
+
+
+def test_standard_tools_read_the_members(spark, tmp_path):
+    warc.write_pages(pages(spark, ROWS), str(tmp_path / "w"))
+    data = b"".join(gzip.open(f).read() for f in sorted((tmp_path / "w").glob("*.warc.gz")))
+    assert data.count(b"WARC/1.1\r\nWARC-Type: ") == len(ROWS)
+
+
+def plans_filter(df):
+    return re.search(r"\bFilter \(", df._jdf.queryExecution().executedPlan().toString()) is not None
+
+
+def test_predicates_on_headers_are_pushed(spark, tmp_path):
+    path = str(tmp_path / "w")
+    warc.write_pages(pages(spark, ROWS), path)
+    back = warc.read_warc(spark, path)
+    for where, n in (("record_type = 'revisit'", 3), ("record_type in ('response') and target_uri is not null", 4),
+                     ("target_uri like 'http://b%'", 2), ("refers_to is null", 4)):
+        assert back.where(where).count() == n
+        assert not plans_filter(back.where(where))
+    assert back.where("http_length > 100").count() == 1  # not a header: left to Spark
+
+
+def test_unwanted_payloads_are_not_decoded(spark, tmp_path):
+    """With damaged payloads, records can still be listed by their headers."""
+    path = tmp_path / "w"
+    r = random.Random(1)
+    warc.write_pages(pages(spark, [(1, "u", "".join(chr(r.randint(33, 122)) for _ in range(400_000)))]), str(path))
+    file = next(path.glob("*.warc.gz"))
+    data = bytearray(file.read_bytes())
+    data[-3000:-2000] = bytes(1000)
+    file.write_bytes(data)
+    assert warc.read_warc(spark, str(path), payloads=False).count() == 1
+    assert warc.read_warc(spark, str(path)).where("record_type = 'revisit'").count() == 0
+    with pytest.raises(Exception):
+        warc.read_warc(spark, str(path)).select(F.sum(F.length("payload"))).collect()
+
+
+def test_plain_files_and_members_without_skip_lengths(spark, tmp_path):
+    records = [warc.record({"record_type": "response", "record_id": f"<urn:page:{i}>", "target_uri": "u",
+                            "date": "2020-01-01T00:00:00Z", "payload": b"x" * (i * 70_000)}) for i in range(4)]
+    (tmp_path / "a.warc").write_bytes(b"".join(records))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(r, mtime=0) for r in records))
+    back = warc.read_warc(spark, str(tmp_path))
+    assert back.count() == 8 and back.select(F.sum(F.length("payload"))).first()[0] == 2 * 420_000
+    assert warc.read_warc(spark, str(tmp_path), payloads=False).where("record_type = 'response'").count() == 8
+
+
+def test_uncommitted_files_are_not_read(spark, tmp_path):
+    warc.write_pages(pages(spark, ROWS[:2]), str(tmp_path / "w"))
+    member = warc.gzip_member(warc.record({"record_type": "response", "record_id": "<urn:page:1>", "date": "x"}))
+    (tmp_path / "w" / "left-over.warc.gz").write_bytes(member)
+    assert zlib.decompressobj(31).decompress(member)
+    assert warc.read_warc(spark, str(tmp_path / "w")).count() == 2
+
+
+def test_null_ids_repeated_rows_and_empty(spark, tmp_path):
+    warc.write_pages(pages(spark, [(None, "u", "x"), (4, "u", "x"), (4, "u", "x"), (None, "u", "y")]), str(tmp_path / "w"))
+    got = sorted((r.record_id, r.record_type, str(r.refers_to)) for r in warc.read_warc(spark, str(tmp_path / "w")).collect())
+    assert got == [("<urn:page:4>", "response", "None"), ("<urn:page:4>", "response", "None"),
+                   ("<urn:page:>", "response", "None"), ("<urn:page:>", "revisit", "<urn:page:4>")]
+    warc.write_pages(pages(spark, []), str(tmp_path / "e"))
+    assert warc.read_warc(spark, str(tmp_path / "e")).count() == 0
