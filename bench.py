@@ -12,6 +12,7 @@ import datetime as dt
 import json
 import os
 import sys
+import tempfile
 import time
 import uuid
 
@@ -57,7 +58,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(f"local[{cpus}]", app_name="stationflow-bench",
                           shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.ui.enabled": "false", "spark.driver.memory": "16g",
+                          extra={"spark.ui.enabled": "false", "spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="stationflow-"),
                                  "spark.ui.showConsoleProgress": "false",
                                  "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024)})
     spark.sparkContext.setLogLevel("ERROR")

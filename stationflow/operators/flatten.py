@@ -118,6 +118,39 @@ def replicate(df: DataFrame, n: int, index: str = "copy") -> DataFrame:
     return df.withColumn(index, F.explode(F.sequence(F.lit(1), F.lit(n))))
 
 
+def rejects(snapshots: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame:
+    """What a load can't use, as (reason, detail): ``corrupt`` lines (when the scan kept
+    them), documents without records (``empty``) and records whose station id is no
+    whole number (``bad_id``, null ids included). ``detail`` is the line, or JSON."""
+    records = F.col("records")
+    line = F.col(corrupt) if corrupt in snapshots.columns else F.lit(None).cast("string")
+    documents = (snapshots.where(line.isNotNull() | records.isNull() | (F.size(records) == 0))
+                 .select(F.when(line.isNotNull(), "corrupt").otherwise("empty").alias("reason"),
+                         F.coalesce(line, F.to_json(F.struct(records))).alias("detail")))
+    ids = (explode_records(snapshots.where(line.isNull())).where(_station_id(strict=False).isNull())
+           .select(F.lit("bad_id").alias("reason"), F.to_json("r").alias("detail")))
+    return documents.unionByName(ids)
+
+
+def load_report(snapshots: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame:
+    """Documents, what is rejected and why, and station rows, in one pass: ``documents`` =
+    ``corrupt`` + ``empty`` + documents with records; ``station_rows`` = ``bad_ids`` +
+    ``loaded_rows``."""
+    broken = F.col(corrupt).isNotNull() if corrupt in snapshots.columns else F.lit(False)
+    none = F.col("records").isNull() | (F.size("records") == 0)
+    rows = F.when(broken | none, 0).otherwise(F.size("records")).cast("bigint")
+    bad = F.when(broken | none, 0).otherwise(F.size(F.filter(
+        "records", lambda r: r["fields"]["libelle"].try_cast("bigint").isNull()))).cast("bigint")
+
+    def total(c):
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    return snapshots.agg(
+        F.count(F.lit(1)).alias("documents"), F.count_if(broken).alias("corrupt"),
+        F.count_if(~broken & none).alias("empty"), total(rows).alias("station_rows"),
+        total(bad).alias("bad_ids"), total(rows - bad).alias("loaded_rows"))
+
+
 def expected_rows(snapshots: DataFrame) -> DataFrame:
     """Documents and station rows they hold (measured, not files × stations)."""
     return snapshots.agg(F.count(F.lit(1)).alias("documents"),

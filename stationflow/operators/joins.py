@@ -1,31 +1,13 @@
-"""Fact × dimension joins with a proven broadcast bound."""
+"""Fact × dimension joins."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-# A station dimension has hundreds of rows; anything beyond this is left to the
-# planner (shuffle join, or AQE's runtime broadcast when the real size is small).
-DIMENSION_BROADCAST_ROWS = 1_000_000
 
-
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows + 1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(dim: DataFrame, max_rows: int = DIMENSION_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(dim)`` only when its row count is proven ≤ ``max_rows``."""
-    return F.broadcast(dim) if fits_rows(dim, max_rows) else dim
-
-
-def join_stations(records: DataFrame, stations: DataFrame, how: str = "inner",
-                  max_broadcast_rows: int | None = DIMENSION_BROADCAST_ROWS) -> DataFrame:
+def join_stations(records: DataFrame, stations: DataFrame, how: str = "inner") -> DataFrame:
     """``records ⋈ stations ON id = station_id`` (the comma join's evident intent).
 
-    ``max_broadcast_rows=None`` skips the row check and leaves the strategy to
-    the planner's size estimate and AQE.
-    """
-    dim = stations if max_broadcast_rows is None else checked_broadcast(stations, max_broadcast_rows)
-    return records.join(dim, records["station_id"] == dim["id"], how)
+    No hint: the planner broadcasts the dimension when its bytes allow it
+    (``autoBroadcastJoinThreshold``), adaptive execution decides again from real sizes."""
+    return records.join(stations, records["station_id"] == stations["id"], how)

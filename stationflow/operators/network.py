@@ -65,7 +65,7 @@ def hourly_profile(records: DataFrame, start: dt.datetime | str, end: dt.datetim
 
     Readings in ``[start, end)``; hour and weekday are taken in ``tz`` (UTC by
     default, as the warehouse query did). ``station``/``weekday`` narrow the
-    result to one chart; hours without data are absent (no padding).
+    result to one chart (both: ordered by hour); hours without data are absent.
     """
     ts = F.col("record_timestamp")
     r = time_range(records, start, end)
@@ -77,8 +77,9 @@ def hourly_profile(records: DataFrame, start: dt.datetime | str, end: dt.datetim
     if weekday is not None:
         idx = weekday if isinstance(weekday, int) else weekday_index(weekday)
         r = r.where(F.col("day_of_week") == idx)
-    return (r.groupBy("station_id", "day_of_week", "hour_of_day")
-            .agg(F.avg("nb_available_bikes").alias("avg_nb_available_bikes")))
+    out = (r.groupBy("station_id", "day_of_week", "hour_of_day")
+           .agg(F.avg("nb_available_bikes").alias("avg_nb_available_bikes")))
+    return out.orderBy("hour_of_day") if station is not None and weekday is not None else out
 
 
 def empty_station_events(records: DataFrame, stations: DataFrame,

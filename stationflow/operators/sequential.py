@@ -22,8 +22,7 @@ _CARRY = "__adj_carry"
 
 
 def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: Column,
-             cols: Sequence[str], direction: str = "prev", name: str = "adjacent",
-             partitions: int | None = None) -> DataFrame:
+             cols: Sequence[str], direction: str = "prev", name: str = "adjacent") -> DataFrame:
     """Add ``name``: a struct of ``cols`` taken from the previous (``"prev"``) or
     next (``"next"``) row of the same ``keys`` in ``order``; null at the ends.
 
@@ -31,12 +30,6 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     day of the ordering timestamp). ``order`` should be unique within a key,
     otherwise ties are resolved arbitrarily, as with a window function. Keys must
     not be null.
-
-    ``partitions`` fixes the number of partitions of the window's shuffle (hash
-    of keys and bucket). Use it when the next step multiplies rows (gap filling):
-    adaptive execution would otherwise size the stage by its small input and run
-    the expansion in a handful of tasks. No shuffle is added: the window needs
-    exactly this clustering anyway.
     """
     if direction not in ("prev", "next"):
         raise ValueError("direction must be 'prev' or 'next'")
@@ -46,8 +39,6 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     ordering = F.struct(*[F.col(c) for c in order])
 
     d = df.withColumn(_BUCKET, bucket)
-    if partitions:
-        d = d.repartition(partitions, *keys, _BUCKET)
     inner = Window.partitionBy(*keys, _BUCKET).orderBy(*order)
     d = d.withColumn(name, shift(payload, 1).over(inner))
 
@@ -65,3 +56,30 @@ def adjacent(df: DataFrame, keys: Sequence[str], order: Sequence[str], bucket: C
     d = d.join(edges, on=[*keys, _BUCKET], how="left")
     # A row inside a bucket always has a non-null struct; only edge rows fall back.
     return d.withColumn(name, F.coalesce(F.col(name), F.col(_CARRY))).drop(_BUCKET, _CARRY)
+
+
+def with_next_minute(df: DataFrame, keys: Sequence[str], values: Sequence[str], minute: str = "minute",
+                     name: str = "__next", first: str | None = None) -> DataFrame:
+    """Rows with the next minute of their key as ``name`` (null for the last one) and, when
+    ``first`` names a column, the first minute of the key. ``df`` has at most one row for
+    each key and minute, and is read once.
+
+    The rows of a key and UTC day are at most 1440 and become one sorted array, in which
+    the neighbour is the next element. Only the first minute of the following day comes
+    from a window over the days of a key; without keys, from one narrow row a day."""
+    keys, values = list(keys), list(values)
+    rows = F.array_sort(F.collect_list(F.struct(minute, *values)))
+    days = df.groupBy(*keys, F.date_trunc("day", F.col(minute)).alias("__day")).agg(rows.alias("__rows"))
+    days = days.withColumn("__first", F.get("__rows", F.lit(0))[minute])
+    along = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("__day")
+    edges = [F.lead("__first").over(along).alias("__after"), F.min("__first").over(along).alias("__start")]
+    if keys:
+        days = days.select("*", *edges)
+    else:
+        days = days.join(days.select("__day", "__first").select("__day", *edges), "__day")
+    each = F.transform("__rows", lambda r, i: F.struct(r.alias("r"), F.coalesce(
+        F.get("__rows", i + 1)[minute], F.col("__after")).alias("next")))
+    more = [F.col("__start").alias(first)] if first else []
+    out = days.select(*keys, "__start", F.explode(each).alias("__e"))
+    return out.select(*keys, F.col("__e.r")[minute].alias(minute), *[F.col("__e.r")[v].alias(v) for v in values],
+                      F.col("__e.next").alias(name), *more)

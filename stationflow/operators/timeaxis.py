@@ -1,7 +1,7 @@
 """Minute axis operators: first value per minute, gap filling and tail padding.
 
 All of them are keyed (``keys`` may be empty for a network-wide series) and run
-as aggregations, bucketed neighbour lookups and ``explode(sequence(...))``; no
+as aggregations, neighbour lookups by day and ``explode(sequence(...))``; no
 grid join and nothing collected.
 """
 
@@ -12,44 +12,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.operators.sequential import adjacent
+from stationflow.operators.sequential import with_next_minute
 from stationflow.schemas import MINUTES_PER_DAY
 
 MICROS_PER_MINUTE = 60_000_000
 
 
-def expansion_partitions(df: DataFrame) -> int:
-    """Partitions for a stage whose output is much larger than its input: the
-    session's shuffle partition count (sized to the cluster), at least the
-    default parallelism."""
-    spark = df.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(configured, spark.sparkContext.defaultParallelism)
-
-
-def _local_offset(start, steps, tz: str) -> Column:
-    """UTC offset (µs) valid for the whole span ``start + [0, steps]`` minutes,
-    or null when the span may contain an offset change (different offsets at
-    its ends, or longer than 28 days)."""
-    def offset(micros):
-        return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(micros), tz)) - micros
-    end = start + steps * MICROS_PER_MINUTE
-    same = (offset(start) == offset(end)) & (steps < 28 * MINUTES_PER_DAY)
-    return F.when(same, offset(start))
-
-
-def _local_label(utc_micros, offset, tz: str) -> Column:
-    """Wall clock of ``utc_micros`` in ``tz``: integer arithmetic with a known
-    offset, the zone rules otherwise (only on spans that cross an offset change)."""
-    return F.when(offset.isNotNull(), F.timestamp_micros(utc_micros + offset)) \
-        .otherwise(F.from_utc_timestamp(F.timestamp_micros(utc_micros), tz)) \
-        .cast("timestamp_ntz")
+def _local_label(utc_micros, tz: str) -> Column:
+    """Wall clock of ``utc_micros`` in ``tz``, by the zone rules of that very instant."""
+    return F.from_utc_timestamp(F.timestamp_micros(utc_micros), tz).cast("timestamp_ntz")
 
 
 def minute_first(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[str],
                  tiebreak: Sequence[str] = (), minute: str = "minute") -> DataFrame:
     """One row per (keys, minute): for each value column, its first non-null
-    value in ``ts`` order within the minute (null when all are null).
+    value in ``ts`` order within the minute (null when all are null). Rows without
+    ``ts`` belong to no minute.
 
     A plain aggregation, so Spark combines map-side before the shuffle and a hot
     key costs no more than its number of distinct minutes.
@@ -59,41 +37,41 @@ def minute_first(df: DataFrame, keys: Sequence[str], ts: str, values: Sequence[s
     order = (F.unix_micros(F.col(ts)) if not tiebreak
              else F.struct(F.col(ts), *[F.col(c) for c in tiebreak]))
     aggs = [F.min_by(F.col(v), F.when(F.col(v).isNotNull(), order)).alias(v) for v in values]
-    return df.groupBy(*keys, F.date_trunc("minute", F.col(ts)).alias(minute)).agg(*aggs)
+    return (df.where(F.col(ts).isNotNull())
+            .groupBy(*keys, F.date_trunc("minute", F.col(ts)).alias(minute)).agg(*aggs))
 
 
 def minute_fill(df: DataFrame, keys: Sequence[str], values: Sequence[str],
-                minute: str = "minute", bucket: Column | None = None,
-                label: str | None = None, tz: str | None = None) -> DataFrame:
+                minute: str = "minute", label: str | None = None, tz: str | None = None,
+                pad: int | None = None) -> DataFrame:
     """Dense 1-minute series per key from its first to its last minute.
 
     ``df`` holds at most one row per (keys, minute) — see ``minute_first``. Each
     observed row is repeated up to the minute before the next observed one, so a
-    missing minute carries the last observed row, including an observed null.
-    The next observed minute comes from ``adjacent`` bucketed by day. With
-    ``label``, a wall-clock column in ``tz`` is added (offset computed once per
-    observed row, not per generated minute).
+    missing minute carries the last observed row, including an observed null. With
+    ``pad``, null-valued minutes follow the last one until the key has that many rows
+    (as ``pad_tail`` would add them, in the same pass). With ``label``, a wall-clock
+    column in ``tz`` is added.
     """
     keys, values = list(keys), list(values)
-    bucket = F.date_trunc("day", F.col(minute)) if bucket is None else bucket
-    d = adjacent(df, keys, [minute], bucket, [minute], direction="next", name="__next",
-                 partitions=expansion_partitions(df))
+    d = with_next_minute(df, keys, values, minute, first="__from")
     # Generate minute offsets as longs and rebuild timestamps with integer
     # arithmetic: about twice as fast as a timestamp sequence with an interval step.
-    start = F.unix_micros(F.col(minute))
-    gap = F.floor((F.unix_micros(F.col("__next").getField(minute)) - start) / MICROS_PER_MINUTE) - 1
-    steps = F.greatest(F.coalesce(gap, F.lit(0)), F.lit(0)).cast("bigint")
+    start, after, begin = (F.unix_micros(F.col(c)) for c in (minute, "__next", "__from"))
+    gap = F.floor((after - start) / MICROS_PER_MINUTE) - 1
+    missing = (F.lit(pad - 1) - F.floor((start - begin) / MICROS_PER_MINUTE)) if pad else F.lit(0)
+    steps = F.greatest(F.coalesce(gap, missing), F.lit(0)).cast("bigint")
     # Per-observation columns are computed in their own projection below the
     # generator; in the generator's select they would be evaluated per output row.
-    s = d.select(*keys, start.alias("__start"), steps.alias("__steps"), *values)
-    if label:
-        s = s.withColumn("__off", _local_offset(F.col("__start"), F.col("__steps"), tz))
-    g = s.select(*keys, "__start", *(["__off"] if label else []),
-                 F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__steps"))).alias("__i"),
-                 *values)
+    s = d.select(*keys, start.alias("__start"), steps.alias("__steps"),
+                 F.col("__next").isNull().alias("__last"), *values)
+    g = s.select(*keys, "__start", "__last",
+                 F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__steps"))).alias("__i"), *values)
     at = F.col("__start") + F.col("__i") * MICROS_PER_MINUTE
-    lab = [_local_label(at, F.col("__off"), tz).alias(label)] if label else []
-    return g.select(*keys, F.timestamp_micros(at).alias(minute), *lab, *values)
+    lab = [_local_label(at, tz).alias(label)] if label else []
+    padded = F.col("__last") & (F.col("__i") > 0)
+    return g.select(*keys, F.timestamp_micros(at).alias(minute), *lab,
+                    *[F.when(~padded, F.col(v)).alias(v) for v in values])
 
 
 def series_span(df: DataFrame, keys: Sequence[str], minute: str = "minute") -> DataFrame:
@@ -122,18 +100,12 @@ def pad_tail(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     types = dict(df.dtypes)
     last = F.unix_micros(F.col("__last"))
     count = (F.lit(length) - F.col("__n")).cast("bigint")
-    s = span.where(F.col("__n") < length).select(*keys, last.alias("__start"),
-                                                 count.alias("__count"))
-    # Up to ``length`` rows come out of one small row: spread them round-robin
-    # (a hash on the keys would merge with the aggregation's own shuffle, which
-    # adaptive execution then coalesces by its tiny input size).
-    s = s.repartition(expansion_partitions(df)) if keys else s
-    if label:
-        s = s.withColumn("__off", _local_offset(F.col("__start"), F.col("__count"), tz))
-    pads = s.select(*keys, "__start", *(["__off"] if label else []),
-                    F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__count"))).alias("__i"))
+    # An empty series without keys has one span row without a last minute.
+    s = span.where((F.col("__n") < length) & F.col("__last").isNotNull()).select(
+        *keys, last.alias("__start"), count.alias("__count"))
+    pads = s.select(*keys, "__start", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__count"))).alias("__i"))
     at = F.col("__start") + F.col("__i") * MICROS_PER_MINUTE
-    lab = [_local_label(at, F.col("__off"), tz).alias(label)] if label else []
+    lab = [_local_label(at, tz).alias(label)] if label else []
     pads = pads.select(*keys, F.timestamp_micros(at).alias(minute), *lab,
                        *[F.lit(None).cast(types[v]).alias(v) for v in values])
     return df.select(*keys, minute, *([label] if label else []), *values).unionByName(pads)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions.codec import json_field
 from stationflow.functions.status import station_status
-from stationflow.functions.timefn import axis_label, local_date
+from stationflow.functions.timefn import axis_label, local_date, local_time
 from stationflow.operators import flatten, frames, network, repair, transactions
 from stationflow.operators.timeaxis import minute_first, pad_tail
 from stationflow.plans import dashboard
@@ -212,8 +212,9 @@ def q_repair_window(spark, sf_dir):
 
 def q_animation_frames(spark, sf_dir):
     records, stations = _model(spark, sf_dir)
-    e = frames.frame_entries(frames.frame_points(records, stations, tz=TZ))
-    return e.select("minute", "observed_minute", "station_id", "record_timestamp",
+    e = frames.frame_entries(frames.frame_points(records, stations, tz=TZ), TZ)
+    return e.select(F.col("local_minute").alias("minute"),
+                    local_time("observed_minute", TZ).alias("observed_minute"), "station_id", "record_timestamp",
                     "latitude", "longitude", "taux_velos_dispo")
 
 

@@ -16,7 +16,7 @@ from stationflow.functions.timefn import DEFAULT_TZ, local_date, local_today, sp
 from stationflow.operators.filters import time_range
 from stationflow.operators.flatten import latest_per_key
 from stationflow.operators.network import in_band, network_kpis, network_total
-from stationflow.operators.timeaxis import minute_fill, minute_first, pad_tail, series_span
+from stationflow.operators.timeaxis import minute_fill, minute_first
 from stationflow.operators.transactions import loans_total
 from stationflow.schemas import MINUTES_PER_DAY, NETWORK_BAND
 
@@ -30,17 +30,14 @@ def minute_timeline(df: DataFrame, keys: Sequence[str], value: str, tz: str = DE
     """
     keys = list(keys)
     first = minute_first(df, keys, "record_timestamp", [value])
-    filled = minute_fill(first, keys, [value], label="local_minute", tz=tz)
-    if pad:
-        filled = pad_tail(filled, keys, [value], length=pad, span=series_span(first, keys),
-                          label="local_minute", tz=tz)
+    filled = minute_fill(first, keys, [value], label="local_minute", tz=tz, pad=pad)
     return filled.select(*keys, "minute", "local_minute", value)
 
 
 def _since(records: DataFrame, span: str | None, now: dt.datetime | None, tz: str) -> DataFrame:
     if span is None:
         return records
-    lower = span_bounds(span, now or dt.datetime.utcnow(), tz)
+    lower = span_bounds(span, now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), tz)
     return time_range(records, lower, None)
 
 
@@ -53,7 +50,8 @@ def station_timeline(records: DataFrame, station: int | None = None, span: str |
     if station is not None:
         r = r.where(F.col("station_id") == F.lit(station))
     r = r.where(F.col("station_id").isNotNull())
-    return minute_timeline(r, ["station_id"], "nb_available_bikes", tz, pad)
+    out = minute_timeline(r, ["station_id"], "nb_available_bikes", tz, pad)
+    return out.orderBy("minute") if station is not None else out
 
 
 def station_day_timelines(records: DataFrame, tz: str = DEFAULT_TZ,
@@ -84,19 +82,21 @@ def network_timeline(records: DataFrame, span: str | None = "today",
     return minute_timeline(series, keys, "total_bikes", tz, pad)
 
 
-def index_kpis(records: DataFrame, now: dt.datetime, tz: str = DEFAULT_TZ) -> DataFrame:
+def index_kpis(records: DataFrame, now: dt.datetime, tz: str = DEFAULT_TZ,
+               latest: DataFrame | None = None) -> DataFrame:
     """Headline measures of the latest reading of every station before ``now``,
-    plus the loans of the local day of ``now`` up to ``now``."""
+    plus the loans of the local day of ``now`` up to ``now``.
+
+    ``latest`` is the table of latest readings that the ingest keeps (see
+    ``maintenance.merge_latest``); with it, only today's partitions of ``records`` are
+    read. Without it the latest readings are taken from all of ``records``."""
     before = time_range(records, None, now)
-    latest = latest_per_key(before.where(F.col("station_id").isNotNull()), "station_id",
-                            ["record_timestamp", "last_update"])
+    if latest is None:
+        latest = latest_per_key(before.where(F.col("station_id").isNotNull()), "station_id",
+                                ["record_timestamp", "last_update"])
     loans = loans_total(before, tz, local_today(now, tz))
-    loan_count = loans.agg(F.coalesce(F.sum("loans"), F.lit(0)).cast("bigint")
-                           .alias("todays_loan_count"))
-    # Both sides are single-row aggregates: join them on a constant key.
-    one = F.lit(1).alias("__one")
-    return (network_kpis(latest).select("*", one).join(loan_count.select("*", one), "__one")
-            .drop("__one"))
+    loan_count = loans.agg(F.coalesce(F.sum("loans"), F.lit(0)).cast("bigint"))
+    return network_kpis(latest).select("*", loan_count.scalar().alias("todays_loan_count"))
 
 
 def chart_series(df: DataFrame, keys: Sequence[str], order: str, label: str,

@@ -1,9 +1,11 @@
 """Stored fact table maintenance: window loads and dead-data repair.
 
-Both rewrite only the date partitions they touch (dynamic partition overwrite).
-A repair first writes its result to a staging folder under the shared checkpoint
-folder, so the job never reads and overwrites one path at once and the lineage
-to the replaced files is cut before the swap.
+Both rewrite only the dates they touch. The new content of these dates is written to a
+staging folder under the shared checkpoint folder first, so no job reads and overwrites
+one path, and a failure leaves either the old table or a finished staged copy. Then the
+dates are overwritten, each at once as far as the file system renames folders at once;
+dates left without rows are deleted last. A reader meanwhile sees some dates new and some
+old, never a missing one. The staged copy goes when all of that is done.
 """
 
 from __future__ import annotations
@@ -12,29 +14,51 @@ import datetime as dt
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.functions.timefn import to_utc_datetime
+from stationflow.functions.timefn import to_utc_datetime, ts_literal
+from stationflow.operators.flatten import latest_per_key, load_report, rejects
 from stationflow.operators.repair import WEEK, backfill, repair_window, touched_dates
-from stationflow.schemas import RECORD_DATE, SNAPSHOT_FOR_RECORDS
-from stationflow.session import scratch_path
+from stationflow.schemas import RECORD_COLUMNS, RECORD_DATE, RECORDS, SNAPSHOT_FOR_RECORDS
+from stationflow.session import delete_path, path_exists, scratch_path
 from stationflow.sources import sinks
-from stationflow.sources.snapshots import read_snapshots
+from stationflow.sources.snapshots import CORRUPT, read_snapshots
 
 
 def load_window(spark: SparkSession, raw_paths: str | Sequence[str], fact_path: str, start, end,
-                replace: bool = False, strict: bool = True) -> None:
-    """Raw snapshots → records of ``[start, end)`` → the fact table.
+                replace: bool = False, strict: bool = True,
+                quarantine_path: str | None = None) -> DataFrame:
+    """Raw snapshots → records of ``[start, end)`` → the fact table; returns the load report
+    (``flatten.load_report``).
 
-    ``replace=False`` appends (re-running duplicates rows, as a plain INSERT
-    does); ``replace=True`` replaces the dates present in the load.
+    ``replace=False`` appends (re-running duplicates rows, as a plain INSERT does);
+    ``replace=True`` puts the load in the place of the stored rows of the window. Stored
+    rows outside it, and stored rows without a timestamp, stay. ``strict`` fails on a
+    station id that is no whole number; otherwise such records are left out. With
+    ``quarantine_path`` all rejects are written there.
     """
-    rows = backfill(read_snapshots(spark, raw_paths, schema=SNAPSHOT_FOR_RECORDS), start, end, strict)
-    if replace:
-        sinks.overwrite_records(rows, fact_path)
+    docs = read_snapshots(spark, raw_paths, schema=SNAPSHOT_FOR_RECORDS, keep_corrupt=True)
+    if quarantine_path:
+        rejects(docs).write.mode("overwrite").json(quarantine_path)
+    rows = backfill(docs.where(F.col(CORRUPT).isNull()), start, end, strict)
+    if replace and path_exists(spark, fact_path):
+        replace_window(spark, rows, fact_path, start, end)
     else:
         sinks.append_records(rows, fact_path)
+    return load_report(docs)
+
+
+def replace_window(spark: SparkSession, rows: DataFrame, fact_path: str, start, end) -> None:
+    """Put ``rows`` in the place of the stored rows of ``[start, end)``. Rows without a
+    timestamp are added to the stored ones."""
+    dates = touched_dates(start, end)
+    stored = sinks.read_records(spark, fact_path)
+    stored = stored.where(F.col(RECORD_DATE).between(dates[0], dates[-1]) | F.col(RECORD_DATE).isNull())
+    ts = F.col("record_timestamp")
+    inside = (ts >= ts_literal(start)) & (ts < ts_literal(end))
+    kept = stored.where(~F.coalesce(inside, F.lit(False))).select(*RECORD_COLUMNS)
+    _swap_dates(spark, kept.unionByName(rows.select(*RECORD_COLUMNS)), fact_path, dates)
 
 
 def repair_stored(spark: SparkSession, fact_path: str, start, end, shift: dt.timedelta = WEEK,
@@ -50,23 +74,48 @@ def repair_stored(spark: SparkSession, fact_path: str, start, end, shift: dt.tim
             .partitionBy(RECORD_DATE).parquet(backup_path)
     fixed = repair_window(part, lo, hi, shift) \
         .where(F.to_date("record_timestamp").isin(touched))
-    staging = scratch_path(spark, f"repair-{uuid.uuid4().hex[:12]}")
-    sinks.with_record_date(fixed).write.mode("errorifexists").parquet(staging)
-    staged = spark.read.parquet(staging).drop(RECORD_DATE)
-    # Dates emptied by the repair must be rewritten too: an empty result would
-    # leave their old files in place, so drop them explicitly first.
-    present = {r[0] for r in staged.select(F.to_date("record_timestamp")).distinct().collect()}
-    for day in set(touched) - present:
-        _drop_partition(spark, fact_path, day)
-    sinks.overwrite_records(staged, fact_path)
+    _swap_dates(spark, fixed, fact_path, touched)
     return touched
 
 
-def _drop_partition(spark: SparkSession, fact_path: str, day: dt.date) -> None:
-    """Remove one date partition folder through the Hadoop file system API."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(f"{fact_path.rstrip('/')}/{RECORD_DATE}={day.isoformat()}")
-    fs = path.getFileSystem(conf)
-    if fs.exists(path):
-        fs.delete(path, True)
+def _swap_dates(spark: SparkSession, rows: DataFrame, fact_path: str, dates: Sequence[dt.date]) -> None:
+    """Make ``rows`` the whole content of their dates, and empty those of ``dates`` that
+    they don't have."""
+    staging = scratch_path(spark, f"swap-{uuid.uuid4().hex[:12]}")
+    sinks.with_record_date(rows).write.mode("errorifexists").parquet(staging)
+    staged = spark.read.parquet(staging)
+    sinks.overwrite_records(staged, fact_path)
+    present = {r[0] for r in staged.select(RECORD_DATE).distinct().collect()}  # a few dates
+    for day in set(dates) - present:
+        delete_path(spark, f"{fact_path.rstrip('/')}/{RECORD_DATE}={day.isoformat()}")
+    delete_path(spark, staging)
+
+
+def merge_latest(spark: SparkSession, records: DataFrame, path: str) -> None:
+    """Keep the table of the latest reading of every station current: ``records`` are merged
+    by time, so late ones don't replace newer ones and no station is lost however old its
+    last reading is. Each merge writes a new version; the newest complete one counts."""
+    versions = _versions(spark, path)
+    known = records.select(*RECORD_COLUMNS).where("station_id is not null and record_timestamp is not null")
+    if versions:
+        known = known.unionByName(read_latest(spark, path))
+    latest = latest_per_key(known, "station_id", ["record_timestamp", "last_update"])
+    latest.select(*RECORD_COLUMNS).write.mode("overwrite").parquet(
+        f"{path}/version={(versions[-1] if versions else 0) + 1}")
+    for old in versions[:-1]:  # the one before stays for readers that have begun
+        delete_path(spark, f"{path}/version={old}")
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """One row per station: its latest reading."""
+    return spark.read.schema(RECORDS).parquet(f"{path}/version={_versions(spark, path)[-1]}")
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    if not path_exists(spark, path):
+        return []
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    names = [f.getPath().getName() for f in found]
+    return sorted(int(n.partition("=")[2]) for n in names
+                  if n.startswith("version=") and path_exists(spark, f"{path}/{n}/_SUCCESS"))

@@ -10,7 +10,6 @@ from runtime statistics.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -19,6 +18,9 @@ SESSION_DEFAULTS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Gap filling makes hundreds of rows of one: small inputs of such a stage must not be
+    # merged into a few tasks, so every core gets a share of them.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
@@ -47,31 +49,36 @@ def build_session(master: str | None = None, app_name: str = "stationflow",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable defaults to an existing session."""
+    """Apply the defaults to an existing session; all of them are runtime settings.
+    A session that refuses one of them raises."""
     for key, value in SESSION_DEFAULTS.items():
-        try:
+        if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave as is
-            pass
     return spark
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
-
-    Only when the session names none (local tests, the bench) is a private
-    folder created and registered, so that ``DataFrame.checkpoint()`` works.
-    """
+    """The shared folder named by ``spark.checkpoint.dir``, which the session must be built
+    with: executors on other machines have to see what is written there."""
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="stationflow-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if not current:
+        raise ValueError("build the session with spark.checkpoint.dir set to a folder "
+                         "that the driver and all executors share")
+    spark.sparkContext.setCheckpointDir(current)
+    return current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A folder for intermediate tables, under the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any file system that Spark knows; missing ones are fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -8,7 +8,7 @@ reload or repair replaces only the dates it touches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.functions.timefn import local_time
@@ -39,10 +39,29 @@ def balanced_by_date(records: DataFrame) -> DataFrame:
     return with_record_date(records).hint("rebalance", RECORD_DATE)
 
 
-def append_records(records: DataFrame, path: str) -> None:
+def append_records(records: DataFrame, path: str, mode: str = "append") -> None:
     """Append to the fact table (no key: re-appending duplicates rows)."""
-    (balanced_by_date(records).write.mode("append")
-     .partitionBy(RECORD_DATE).parquet(path))
+    (balanced_by_date(records).write.mode(mode)
+     .option("partitionOverwriteMode", "static").partitionBy(RECORD_DATE).parquet(path))
+
+
+def move_into(spark: SparkSession, staging: str, path: str, prefix: str) -> None:
+    """Move the data files of a finished, date-partitioned folder into the fact table, as
+    ``prefix-<name>`` in the same date folders. Files that were moved before are gone from
+    ``staging``, so a repeated call moves the rest."""
+    jvm = spark._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path
+    source = fs_path(staging)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    for day in fs.listStatus(source):
+        name = day.getPath().getName()
+        if not name.startswith(f"{RECORD_DATE}="):
+            continue
+        fs.mkdirs(fs_path(f"{path}/{name}"))
+        for file in fs.listStatus(day.getPath()):
+            part = file.getPath().getName()
+            if not fs.rename(file.getPath(), fs_path(f"{path}/{name}/{prefix}-{part}")):
+                raise OSError(f"could not move {file.getPath()} to {path}/{name}")
 
 
 def overwrite_records(records: DataFrame, path: str, dynamic: bool = True) -> None:
@@ -70,7 +89,7 @@ def archive_raw(snapshots: DataFrame, path: str, captured_at: str = "captured_at
     Spark names the part files itself, so no ':' ever reaches a path.
     """
     day = F.date_format(local_time(F.col(captured_at), tz), "yyyy_MM_dd").alias("capture_date")
-    docs = snapshots.select("*", day)
+    docs = snapshots.select("*", day).hint("rebalance", "capture_date")
     (docs.write.mode(mode).option("timestampFormat", JSON_TIMESTAMP_FORMAT)
      .partitionBy("capture_date").json(path))
 
@@ -83,5 +102,12 @@ def write_frames_json(frames: DataFrame, path: str, mode: str = "overwrite") ->
 def write_timemap_csv(frames: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One CSV folder per ``time_index`` (``time_index=HHmm/part-*.csv``)."""
     (frames.select("time_index", "record_timestamp", "latitude", "longitude",
-                   "nb_velos_dispo", "ratio")
+                   "nb_velos_dispo", "ratio").hint("rebalance", "time_index")
      .write.mode(mode).option("header", True).partitionBy("time_index").csv(path))
+
+
+def read_timemap_csv(spark: SparkSession, path: str) -> DataFrame:
+    """All frames written by ``write_timemap_csv``; ``time_index`` stays text (``0030``)."""
+    schema = ("record_timestamp timestamp, latitude double, longitude double, nb_velos_dispo int, "
+              "ratio double, time_index string")
+    return spark.read.schema(schema).option("header", True).csv(path)

@@ -40,14 +40,8 @@ def with_source_file(snapshots: DataFrame, tz: str = "Europe/Paris") -> DataFram
                             capture_time_from_name(name, tz).alias("captured_at"))
 
 
-def load_report(snapshots: DataFrame) -> DataFrame:
-    """Files, documents, rejected lines and station rows of a scan."""
-    cols = snapshots.columns
-    rejected = (F.count_if(F.col(CORRUPT).isNotNull()) if CORRUPT in cols
-                else F.lit(0).cast("bigint"))
-    return snapshots.agg(
-        F.count_distinct(F.col("_metadata.file_path")).alias("files"),
-        F.count(F.lit(1)).alias("documents"),
-        rejected.alias("rejected"),
-        F.coalesce(F.sum(F.size("records").cast("bigint")), F.lit(0)).cast("bigint")
-        .alias("station_rows"))
+def file_report(snapshots: DataFrame) -> DataFrame:
+    """Source files of a scan and the documents they hold; see ``flatten.load_report`` for
+    what of them a load can use."""
+    return snapshots.agg(F.count_distinct(F.col("_metadata.file_path")).alias("files"),
+                         F.count(F.lit(1)).alias("documents"))

@@ -1,56 +1,70 @@
 """Minute ingest as a Structured Streaming job.
 
-New snapshot files in a folder are picked up per micro-batch, flattened by the
-same function as the batch backfill and appended to the date-partitioned fact
-table. The checkpoint makes the file source and the sink exactly-once across
-restarts (a restart neither loses nor re-appends a file).
+New snapshot files in a folder are picked up per micro-batch, flattened by the same
+function as the batch load and added to the date-partitioned fact table, which stays a
+plain Parquet folder: batch appends, window loads and repairs may use it as well.
+
+A micro-batch is written to a folder of its own first; then its files are moved into the
+table under names that tell the batch. A replayed batch finds its finished folder and
+moves what is left, so a restart neither loses nor repeats rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stationflow.operators.flatten import flatten_snapshots
-from stationflow.schemas import RECORD_DATE, SNAPSHOT, SNAPSHOT_FOR_RECORDS
-from stationflow.sources.sinks import with_record_date
+from stationflow.operators.flatten import flatten_snapshots, rejects
+from stationflow.schemas import SNAPSHOT, SNAPSHOT_FOR_RECORDS
+from stationflow.session import path_exists
+from stationflow.sources.sinks import append_records, move_into
+from stationflow.sources.snapshots import CORRUPT
 
 
 def snapshot_stream(spark: SparkSession, source_dir: str,
                     max_files_per_trigger: int | None = None,
-                    schema=SNAPSHOT) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+                    schema: T.StructType = SNAPSHOT) -> DataFrame:
+    """Snapshot documents of new files; lines that can't be parsed keep their text in
+    ``_corrupt_record``."""
+    reader = (spark.readStream.schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())]))
+              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.json(source_dir)
 
 
-def records_stream(spark: SparkSession, source_dir: str, strict: bool = False,
-                   dedup_watermark: str | None = None,
-                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Flattened readings of new files. With ``dedup_watermark`` (e.g.
-    ``"10 minutes"``) a reading delivered twice is dropped; off by default since
-    delivery is at-least-once and the source appends blindly."""
-    snaps = snapshot_stream(spark, source_dir, max_files_per_trigger, SNAPSHOT_FOR_RECORDS)
-    flat = flatten_snapshots(snaps, strict)
-    flat = flat.where(F.col("station_id").isNotNull())
-    if dedup_watermark:
-        flat = (flat.withWatermark("record_timestamp", dedup_watermark)
-                .dropDuplicatesWithinWatermark(["station_id", "record_timestamp"]))
-    return flat
-
-
 def ingest_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
                   trigger: str | None = "1 minute", available_now: bool = False,
-                  strict: bool = False, dedup_watermark: str | None = None,
+                  strict: bool = True, quarantine_path: str | None = None,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start the ingest: every trigger appends the new files' rows."""
-    rows = with_record_date(records_stream(spark, source_dir, strict, dedup_watermark,
-                                           max_files_per_trigger))
-    writer = (rows.writeStream.format("parquet").option("path", sink_path)
-              .option("checkpointLocation", checkpoint).partitionBy(RECORD_DATE)
-              .outputMode("append"))
+    """Start the ingest: every trigger adds the rows of the new files.
+
+    ``strict`` is the policy of the batch load: a station id that is no whole number
+    fails the job. With ``strict=False`` such records are left out of the table. What
+    can't be loaded (``flatten.rejects``) goes to ``quarantine_path``, one folder for each
+    batch, which a replay overwrites. Without that path a corrupt line or (not strict) a
+    bad id fails the batch, so that nothing is dropped unseen."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        docs = batch.persist()
+        try:
+            refused = rejects(docs).where(F.lit(not strict) | (F.col("reason") != "bad_id"))
+            if quarantine_path:
+                refused.write.mode("overwrite").json(f"{quarantine_path}/batch={batch_id}")
+            elif not refused.where("reason <> 'empty'").isEmpty():
+                raise ValueError(f"batch {batch_id} has rejects; give quarantine_path to keep them")
+            staging = f"{checkpoint}/staged/{batch_id}"
+            if not path_exists(spark, f"{staging}/_SUCCESS"):
+                good = flatten_snapshots(docs.where(F.col(CORRUPT).isNull()), strict)
+                append_records(good.where(F.col("station_id").isNotNull()), staging, mode="overwrite")
+            move_into(spark, staging, sink_path, f"batch-{batch_id}")
+        finally:
+            docs.unpersist()
+
+    docs = snapshot_stream(spark, source_dir, max_files_per_trigger, SNAPSHOT_FOR_RECORDS)
+    writer = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif trigger:

@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -14,6 +15,7 @@ from stationflow.session import build_session, checkpoint_dir  # noqa: E402
 def spark():
     s = build_session("local[4]", shuffle_partitions=4,
                       extra={"spark.ui.enabled": "false",
+                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="stationflow-"),
                              "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"})
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import flatten, repair
 from stationflow.schemas import RECORD_COLUMNS, SNAPSHOT
-from stationflow.sources.snapshots import load_report, read_snapshots, with_source_file
+from stationflow.sources.snapshots import file_report, read_snapshots, with_source_file
 
 from conftest import rows, ts
 
@@ -45,8 +45,10 @@ def snapshot_dir(tmp_path):
 
 def test_scan_counts_rejects_and_rows(spark, snapshot_dir):
     snaps = read_snapshots(spark, snapshot_dir, keep_corrupt=True)
-    rep = load_report(snaps).first()
-    assert (rep.files, rep.documents, rep.rejected, rep.station_rows) == (5, 5, 1, 4)
+    rep = flatten.load_report(snaps).first()
+    assert (rep.documents, rep.corrupt, rep.station_rows, rep.bad_ids, rep.loaded_rows) == (5, 1, 4, 1, 3)
+    assert rep.empty == 2 and tuple(file_report(snaps).first()) == (5, 5)
+    assert sorted(r.reason for r in flatten.rejects(snaps).collect()) == ["bad_id", "corrupt", "empty", "empty"]
     named = with_source_file(read_snapshots(spark, snapshot_dir))
     caps = {r.source_file: r.captured_at for r in named.collect()}
     assert caps["data___2023_09_27_10_00_00.json"] == ts("2023-09-27 08:00:00")

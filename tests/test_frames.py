@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from stationflow.operators import frames
 from stationflow.sources.csvio import read_csv
-from stationflow.sources.sinks import write_frames_json, write_timemap_csv
+from stationflow.sources.sinks import read_timemap_csv, write_frames_json, write_timemap_csv
 
 from conftest import records_df
 
@@ -44,3 +44,27 @@ def test_timemap_frames_and_csv_per_index(spark, tmp_path):
     assert [d for d in os.listdir(out) if d.startswith("time_index=")] == ["time_index=1000"]
     back = read_csv(spark, os.path.join(out, "time_index=1000"))
     assert back.count() == 1 and back.first().latitude == 50.1
+
+
+def test_frames_follow_instants_across_clock_changes(spark):
+    """As many frames as minutes pass, in autumn (an hour twice) and in spring (one skipped)."""
+    for times, n in ((["2024-10-27 00:30:00", "2024-10-27 01:30:00", "2024-10-27 01:31:00"], 62),
+                     (["2024-03-31 00:59:00", "2024-03-31 01:00:00"], 2)):
+        r = records_df(spark, [(1, S, 1, 1, t) for t in times])
+        e = frames.frame_entries(frames.frame_points(r, _stations(spark), tz="Europe/Paris"), "Europe/Paris")
+        assert e.select("minute").distinct().count() == e.count() == n
+        assert frames.animation_frames(r, _stations(spark), tz="Europe/Paris").count() == n
+    labels = [x.local_minute.strftime("%H:%M") for x in e.orderBy("minute").collect()]
+    assert labels == ["01:59", "03:00"]
+
+
+def test_timemap_csv_has_one_file_a_frame_and_keeps_labels(spark, tmp_path):
+    data = [(k, S, 3, 1, f"2024-01-01 {h:02d}:30:00") for h in range(3) for k in (1, 2, 3)]
+    rows = frames.timemap_frames(frames.timemap_rows(records_df(spark, data).repartition(6), _stations(spark)))
+    out = str(tmp_path / "timemap")
+    write_timemap_csv(rows, out)
+    for day in (d for d in os.listdir(out) if d.startswith("time_index=")):
+        assert len([f for f in os.listdir(os.path.join(out, day)) if f.endswith(".csv")]) == 1
+    back = read_timemap_csv(spark, out)
+    assert {x.time_index for x in back.collect()} == {"0030", "0130", "0230"} and back.count() == 9
+    assert frames.frame(back, "0030").count() == 3

@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from stationflow.operators.sequential import adjacent
+from stationflow.operators.sequential import adjacent, with_next_minute
 
 
 def _frame(spark, n=600, keys=5, seed=7):
@@ -42,7 +42,19 @@ def test_adjacent_with_a_hot_key_holding_a_third_of_rows(spark):
     data = [(0 if i % 3 == 0 else rnd.randrange(1, 50), i, rnd.randrange(100)) for i in range(3000)]
     df = spark.createDataFrame(data, "k int, t int, v int")
     w = Window.partitionBy("k").orderBy("t")
-    got = adjacent(df, ["k"], ["t"], F.floor(F.col("t") / 25), ["v"], "prev", "p", partitions=8)
+    got = adjacent(df, ["k"], ["t"], F.floor(F.col("t") / 25), ["v"], "prev", "p")
     got = got.select("k", "t", F.col("p.v").alias("pv"))
     exp = df.select("k", "t", F.lag("v").over(w).alias("pv"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, exp.collect()))
+
+
+def test_next_minute_equals_window_lead(spark):
+    rnd = random.Random(3)
+    minutes = sorted(rnd.sample(range(0, 6 * 1440), 900))
+    df = spark.createDataFrame([(rnd.randrange(3), m, m % 7) for m in minutes], "k int, m int, v int").select(
+        "k", F.timestamp_micros(F.col("m").cast("bigint") * 60_000_000).alias("minute"), "v")
+    for keys in (["k"], []):
+        w = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("minute")
+        exp = df.select(*keys, "minute", "v", F.lead("minute").over(w), F.min("minute").over(w))
+        got = with_next_minute(df, keys, ["v"], first="f")
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, exp.collect()), key=str)

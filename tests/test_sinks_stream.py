@@ -3,9 +3,11 @@ import json
 import os
 import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from stationflow.operators.flatten import flatten_snapshots
+from stationflow.plans.maintenance import repair_stored
 from stationflow.sources import sinks, tables
 from stationflow.sources.snapshots import read_snapshots
 from stationflow.streaming.ingest import ingest_stream
@@ -63,3 +65,37 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
     q = ingest_stream(spark, src, sink, ckpt, available_now=True)   # restart: nothing new
     q.awaitTermination(120)
     assert spark.read.parquet(sink).count() == 9
+
+
+def test_stream_table_takes_appends_and_repairs_and_replays_nothing(spark, tmp_path):
+    src, sink, ckpt, bad = (str(tmp_path / n) for n in ("src", "sink", "ckpt", "bad"))
+    os.makedirs(src)
+    docs = [json.dumps(_doc([_rec("1", t="2023-09-20T08:00:00Z"), _rec("x", t="2023-09-20T08:00:00Z")])),
+            json.dumps(_doc([])), '{"nhits": 1, "records": [{"da']
+    for i, doc in enumerate(docs):
+        with open(os.path.join(src, f"data___{i}.json"), "w") as fh:
+            fh.write(doc)
+    ingest_stream(spark, src, sink, ckpt, available_now=True, strict=False, quarantine_path=bad).awaitTermination(120)
+    assert sorted(r.reason for r in spark.read.json(bad).collect()) == ["bad_id", "corrupt", "empty"]
+    sinks.append_records(records_df(spark, [(2, S, 5, 0, "2023-09-27 09:00:00")]), sink)
+    assert sorted(r.station_id for r in sinks.read_records(spark, sink).collect()) == [1, 2]
+    repair_stored(spark, sink, "2023-09-27 00:00:00 UTC", "2023-09-27 23:00:00 UTC")
+    got = sorted((r.station_id, r.record_timestamp) for r in sinks.read_records(spark, sink).collect())
+    assert got == [(1, ts("2023-09-20 08:00")), (1, ts("2023-09-27 08:00"))]
+    # A batch whose commit was lost is replayed: its finished folder has nothing left to move.
+    for kind in ("commits",):
+        for f in os.listdir(os.path.join(ckpt, kind)):
+            os.replace(os.path.join(ckpt, kind, f), str(tmp_path / f"lost-{f}"))
+    ingest_stream(spark, src, sink, ckpt, available_now=True, strict=False, quarantine_path=bad).awaitTermination(120)
+    assert sinks.read_records(spark, sink).count() == 2
+    assert spark.read.json(bad).count() == 3
+
+
+def test_stream_without_quarantine_drops_nothing_unseen(spark, tmp_path):
+    src = str(tmp_path / "src")
+    os.makedirs(src)
+    with open(os.path.join(src, "data___0.json"), "w") as fh:
+        fh.write('{"nhits": 1, "records": [{"da')
+    q = ingest_stream(spark, src, str(tmp_path / "sink"), str(tmp_path / "ckpt"), available_now=True)
+    with pytest.raises(Exception, match="rejects"):
+        q.awaitTermination(120)

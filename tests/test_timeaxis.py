@@ -66,6 +66,23 @@ def test_pad_tail_lengths(spark):
             assert out.where(F.col("v").isNull()).count() == 1440 - n
     empty = spark.createDataFrame([], "k int, minute timestamp, v bigint")
     assert pad_tail(empty, ["k"], ["v"]).count() == 0
+    assert pad_tail(empty.drop("k"), [], ["v"]).count() == 0
+    assert minute_fill(empty.drop("k"), [], ["v"], pad=1440).count() == 0
+
+
+def test_readings_without_a_time_are_in_no_minute(spark):
+    r = records_df(spark, [(7, "EN SERVICE", 3, 1, "2024-01-15 23:00:10"), (7, "EN SERVICE", 4, 1, None),
+                           (8, "EN SERVICE", 4, 1, None)])
+    got = minute_timeline(r, ["station_id"], "nb_available_bikes", "UTC", pad=2).orderBy("minute").collect()
+    assert [(x.station_id, x.nb_available_bikes) for x in got] == [(7, 3), (7, None)]
+
+
+def test_padding_in_the_fill_equals_pad_tail(spark):
+    df = _series(spark, [(1, "2024-01-01 23:00:00", 3), (1, "2024-01-02 12:05:00", None),
+                         (2, "2024-01-01 10:00:00", 1), (3, "2024-01-01 10:00:00", 1), (3, "2024-01-03 10:00:00", 2)])
+    first = minute_first(df, ["k"], "record_timestamp", ["v"])
+    apart = pad_tail(minute_fill(first, ["k"], ["v"]), ["k"], ["v"])
+    assert sorted(map(str, minute_fill(first, ["k"], ["v"], pad=1440).collect())) == sorted(map(str, apart.collect()))
 
 
 def test_minute_timeline_labels_local_time(spark):
