@@ -48,6 +48,22 @@ def token_counts(texts: DataFrame, text: str = "__text") -> DataFrame:
     return counts.unionByName(ends)
 
 
+def head_tokens(counts: DataFrame) -> DataFrame:
+    """The most frequent tokens of at most HEAD_BYTES bytes, HEAD of them at most.
+
+    A histogram over eighths of powers of two tells from which count on they fit, so
+    nothing is sorted and no task gathers candidates of all others."""
+    short = counts.where(F.octet_length("token") <= HEAD_BYTES)
+    level = F.floor(F.log2("c") * 8)
+    least, room = 0, HEAD
+    for at, n in short.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():  # under 512 rows
+        room -= n
+        if room < 0:
+            least = at + 1
+            break
+    return short.where(level >= least)
+
+
 def _rows(first: np.ndarray, second: np.ndarray | int, kind: int, size: int) -> np.ndarray:
     """Row of weights for a feature: multiplicative hashing of its parts."""
     x = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind)
@@ -181,8 +197,7 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = 1) -> Model:
     """A model of ``texts`` (column __text): every round, each task trains on all its texts."""
     spark = texts.sparkSession
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    head = (counts.where(F.octet_length("token") <= HEAD_BYTES)
-            .orderBy(F.desc("c"), "token").limit(HEAD).toPandas())
+    head = head_tokens(counts).toPandas().sort_values(["c", "token"], ascending=[False, True])
     model = Model(head["token"].tolist(), head["c"].tolist(), int(n), int(v))
     cells = [f"w{i}" for i in range(max(CLASSES, CLASS_WORDS))]
     schema = "part int, row int, used double, " + ", ".join(f"{c} float" for c in cells)

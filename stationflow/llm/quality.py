@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold, small_batches
+from .common import fold, sampled, small_batches
 
 #: Bounds of the training sample: rows of each label, and bytes of a training text.
 MAX_ROWS_A_LABEL, MAX_TRAIN_BYTES = 600, 8192
@@ -173,7 +173,7 @@ def fit(texts: list[bytes], y: np.ndarray, epochs: int = 10, batch: int = 16, ra
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "quality", held_out_fold: int = 0) -> Network:
     """Fit on at most MAX_ROWS_A_LABEL rows of each label with texts of up to MAX_TRAIN_BYTES
-    bytes, the first by a hash of their ids, none from the held-out fold. Both labels
+    bytes, taken from the first labelled ids by a hash, none from the held-out fold. Both labels
     weigh alike in the sample; the bias is then set right for their shares among the
     labelled rows. Without examples of both labels, every score is the share of label 1
     (one half if there is none)."""
@@ -181,9 +181,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     marked = (labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("y"))
               .where("id is not null and y in (0, 1)").groupBy("id").agg(F.max("y").alias("y")).where(usable))
     share = dict(marked.groupBy("y").count().collect())
+    chosen = sampled(marked.where("y = 0"), 2 * MAX_ROWS_A_LABEL).unionByName(
+        sampled(marked.where("y = 1"), 2 * MAX_ROWS_A_LABEL))
     small = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("content")).where(
-        (F.octet_length("content") <= MAX_TRAIN_BYTES) & usable)
-    known = small.join(marked, "id")
+        F.octet_length("content") <= MAX_TRAIN_BYTES)
+    known = small.join(F.broadcast(chosen), "id")  # four times MAX_ROWS_A_LABEL ids at most
     rows = [r for y in (0, 1) for r in known.where(F.col("y") == y)
             .orderBy(F.xxhash64("id"), "id").limit(MAX_ROWS_A_LABEL).collect()]
     y = np.array([r.y for r in rows], np.float32)

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (ROW_ID, ROW_TEXT, drop_row_key, fold, join_rows, keyed, small_batches, stored,
-                     with_row_key)
+from .common import (ROW_ID, ROW_TEXT, drop_row_key, fold, join_rows, keyed, sampled, small_batches,
+                     stored, with_row_key)
 
 #: Bounds of the sample and of the classifier; they don't depend on the size of the data.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 12000, 8192
@@ -105,12 +105,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     prior = min(max(n_pos / n, 0.001), 0.9) if n else 0.01
     ids = docs.select(F.col(doc_id).alias("id")).where("id is not null").where(usable)
 
-    def first(rows: DataFrame, count: int, salt: int) -> DataFrame:
-        return rows.orderBy(F.xxhash64("id", F.lit(salt)), "id").limit(count)
-
-    chosen = (first(marked.where("y = 1").select("id"), MAX_POSITIVE, 1)
+    chosen = (sampled(marked.where("y = 1").select("id"), MAX_POSITIVE, 1)
               .select("id", F.lit(1).alias("positive"), F.lit(0).alias("unlabelled"))
-              .unionByName(first(ids, MAX_UNLABELLED, 2)
+              .unionByName(sampled(ids, MAX_UNLABELLED, 2)
                            .select("id", F.lit(0).alias("positive"), F.lit(1).alias("unlabelled")))
               .groupBy("id").agg(F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled")))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("content"))
