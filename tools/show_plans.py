@@ -57,7 +57,8 @@ def main(argv):
     target = argv[2] if len(argv) > 2 else os.path.join(os.path.dirname(os.path.dirname(
         os.path.abspath(__file__))), "PLANS.md")
     spark = build_session("local[8]", shuffle_partitions=8,
-                          extra={"spark.ui.enabled": "false", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="stationflow-"), "spark.ui.showConsoleProgress": "false"})
+                          extra={"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
+                                 "spark.checkpoint.dir": tempfile.mkdtemp(prefix="stationflow-")})
     spark.sparkContext.setLogLevel("ERROR")
     records, stations = testdata.load_model(spark, sf_dir)
     fact_dir = scratch_path(spark, f"plans-{uuid.uuid4().hex[:8]}")
