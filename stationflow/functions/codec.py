@@ -40,10 +40,6 @@ def json_field(col, field: str, ddl_type: str = "bigint") -> Column:
     return F.from_json(_c(col), f"`{field}` {ddl_type}").getField(field)
 
 
-def encode_json(col) -> Column:
-    return F.to_json(_c(col))
-
-
 def decode_base64_text(col) -> Column:
     """Message payload: base64 text → UTF-8 string."""
     return F.unbase64(_c(col)).cast("string")

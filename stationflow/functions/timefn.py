@@ -28,16 +28,6 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def shift_hours(col, hours: int) -> Column:
-    """TIMESTAMP_ADD / TIMESTAMP_SUB by whole hours (negative subtracts)."""
-    return _c(col) + F.make_dt_interval(hours=F.lit(hours))
-
-
-def shift_minutes(col, minutes) -> Column:
-    m = minutes if isinstance(minutes, Column) else F.lit(minutes)
-    return _c(col) + F.make_dt_interval(mins=m)
-
-
 def local_time(col, tz: str = DEFAULT_TZ) -> Column:
     """Wall-clock time in ``tz`` of a UTC instant, as TIMESTAMP_NTZ."""
     return F.from_utc_timestamp(_c(col), tz).cast("timestamp_ntz")
@@ -80,11 +70,6 @@ def weekday_index(name: str) -> int:
         raise ValueError(f"unknown weekday {name!r}") from None
 
 
-def parse_timestamp(col, fmt: str | None = None) -> Column:
-    """``TIMESTAMP(x)``: ISO text (with or without zone suffix) → instant."""
-    return F.to_timestamp(_c(col), fmt) if fmt else F.to_timestamp(_c(col))
-
-
 def axis_label(local_minute, span: str) -> Column:
     """Tick label of a minute axis: ``HHh`` every 3 hours for 'today'/'24h',
     ``dd/MM`` at midnight for '7d'; null elsewhere."""

@@ -54,7 +54,7 @@ def repair_window(records: DataFrame, start, end, shift: dt.timedelta = WEEK) ->
     return kept.select(*RECORD_COLUMNS).unionByName(moved.select(*RECORD_COLUMNS))
 
 
-def touched_dates(start, end, shift: dt.timedelta = WEEK) -> list[dt.date]:
+def touched_dates(start, end) -> list[dt.date]:
     """UTC dates whose partitions a repair rewrites (the window's dates)."""
     lo, hi = to_utc_datetime(start), to_utc_datetime(end)
     days, d = [], lo.date()

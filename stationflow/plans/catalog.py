@@ -370,16 +370,16 @@ _NET = f"""net AS (
 _NET_DAY = f"""netd AS (
   SELECT CAST({_local('record_timestamp')} AS DATE) AS local_date, * FROM net)"""
 
-_LATEST = """latest AS (
-  SELECT station_id,
-         arg_max(operational_state, (record_timestamp, last_update)) AS operational_state,
-         arg_max(nb_available_bikes, (record_timestamp, last_update)) AS nb_available_bikes,
-         arg_max(nb_available_places, (record_timestamp, last_update)) AS nb_available_places,
-         arg_max(connexion, (record_timestamp, last_update)) AS connexion,
-         arg_max(last_update, (record_timestamp, last_update)) AS last_update,
-         max(record_timestamp) AS record_timestamp
-  FROM records WHERE station_id IS NOT NULL AND record_timestamp IS NOT NULL
-  GROUP BY station_id)"""
+def _newest(condition: str = "") -> str:
+    """The row with the latest time of every station; ``arg_max`` would skip nulls."""
+    return f"""latest AS (
+  SELECT * EXCLUDE (place) FROM (
+    SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY record_timestamp DESC, last_update DESC) AS place
+    FROM records WHERE station_id IS NOT NULL AND record_timestamp IS NOT NULL{condition})
+  WHERE place = 1)"""
+
+
+_LATEST = _newest()
 
 _KPIS = """
   CAST(SUM(nb_available_bikes) AS BIGINT) AS nb_available_bikes,
@@ -509,13 +509,7 @@ SELECT * FROM t WHERE tick_day IS NOT NULL OR tick_week IS NOT NULL""",
     "index_kpis": _with(_RECORDS, _DELTAS.replace(
         "FROM records WHERE station_id IS NOT NULL",
         "FROM records WHERE record_timestamp < TIMESTAMP '2024-01-30 18:00:00' "
-        "AND station_id IS NOT NULL"), """latest AS (
-  SELECT station_id,
-         arg_max(operational_state, (record_timestamp, last_update)) AS operational_state,
-         arg_max(nb_available_bikes, (record_timestamp, last_update)) AS nb_available_bikes,
-         arg_max(nb_available_places, (record_timestamp, last_update)) AS nb_available_places
-  FROM records WHERE station_id IS NOT NULL AND record_timestamp < TIMESTAMP '2024-01-30 18:00:00'
-  GROUP BY station_id)""") + f"""
+        "AND station_id IS NOT NULL"), _newest(" AND record_timestamp < TIMESTAMP '2024-01-30 18:00:00'")) + f"""
 SELECT {_KPIS},
   (SELECT CAST(coalesce(SUM(borrowed), 0) AS BIGINT) FROM hourly
    WHERE local_date = DATE '2024-01-30') AS todays_loan_count

@@ -19,8 +19,9 @@ from stationflow.functions.timefn import local_date, local_time
 from stationflow.operators import flatten, frames, network, transactions
 from stationflow.operators.timeaxis import minute_first
 from stationflow.plans import dashboard, maintenance
-from stationflow.plans.catalog import (_KPIS, _NET, _RECORDS, _STATIONS, BAND, NOW, REPAIR_WINDOW, SERVICE_START, TZ,
-                                       _day_text, _fill, _local, _model, _pad, _records, _snapshots, _ts, _with)
+from stationflow.plans.catalog import (_KPIS, _LATEST, _NET, _RECORDS, _STATIONS, BAND, NOW, REPAIR_WINDOW,
+                                       SERVICE_START, TZ, _day_text, _fill, _local, _model, _pad, _records,
+                                       _snapshots, _ts, _with)
 from stationflow.plans.catalog import ORACLE_SQL as _BASE
 from stationflow.schemas import RECORD_COLUMNS
 from stationflow.session import scratch_path
@@ -282,12 +283,6 @@ _UNEVEN = _RECORDS.replace("floor(value)", "floor(CASE WHEN event_id % 7 <> 0 TH
     "props->>'k'", "CASE WHEN event_id % 11 <> 0 THEN props END->>'k'").replace(
     "ts AS record_timestamp", "date_trunc('hour', ts) AS record_timestamp")
 
-_NEWEST = """latest AS (
-  SELECT * EXCLUDE (place) FROM (
-    SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY record_timestamp DESC, last_update DESC) AS place
-    FROM records WHERE station_id IS NOT NULL AND record_timestamp IS NOT NULL)
-  WHERE place = 1)"""
-
 _ALL_DELTAS = f"""c AS (
   SELECT station_id, record_timestamp, CAST({_local('record_timestamp')} AS DATE) AS local_date,
          CAST(hour({_local('record_timestamp')}) AS INTEGER) AS hour_of_day,
@@ -370,9 +365,9 @@ FROM kinds""",
 SELECT minute, {_local('minute')} AS local_minute, observed_minute, station_id, record_timestamp, taux_velos_dispo
 FROM entries"""),
 
-    "network_kpis_uneven": _with(_UNEVEN, _NEWEST) + f"SELECT {_KPIS}\nFROM latest",
+    "network_kpis_uneven": _with(_UNEVEN, _LATEST) + f"SELECT {_KPIS}\nFROM latest",
 
-    "realtime_uneven": _with(_UNEVEN, _NEWEST) + "SELECT * FROM latest",
+    "realtime_uneven": _with(_UNEVEN, _LATEST) + "SELECT * FROM latest",
 
     "station_delta_uneven": _with(_UNEVEN, _ALL_DELTAS) + """
 SELECT station_id, record_timestamp, strftime(local_date, '%Y-%m-%d') AS local_date, hour_of_day,

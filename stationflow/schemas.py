@@ -15,12 +15,11 @@ WEEKDAY_INDEX = {"Sunday": 1, "Monday": 2, "Tuesday": 3, "Wednesday": 4,
                  "Thursday": 5, "Friday": 6, "Saturday": 7}
 # Plausibility band of the network bike total, exclusive bounds.
 NETWORK_BAND = (1500, 2300)
-# Stations in the network; one snapshot per minute holds one record per station.
-NETWORK_STATIONS = 289
 MINUTES_PER_DAY = 1440
 # Raw snapshot file names: prefix + local capture time, ':' and '-' replaced by '_'.
 SNAPSHOT_FILE_PREFIX = "data___"
 SNAPSHOT_FILE_TIME_FORMAT = "yyyy_MM_dd_HH_mm_ss"
+# The field and column names of the schemas below are fixed values too.
 # ---------------------------------------------------------------------------
 
 # Raw snapshot document: one JSON object per file and minute.
