@@ -95,10 +95,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: the lineage is cut, and a
-    lost executor costs a re-read instead of a recomputation."""
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write a table to the shared folder and read it back, with its path: the lineage is
+    cut, and a lost executor costs a re-read instead of a recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{os.urandom(8).hex()}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    return stored_at(df, name)[0]

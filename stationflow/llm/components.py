@@ -2,7 +2,8 @@
 
 Each round relinks every node to the smallest one it can see, until nothing changes. A
 round is two aggregations and two joins; its result is written to the shared folder, so
-the lineage stays short. Nothing but a count and a checksum reaches the driver.
+the lineage stays short, and the table of the round before is deleted. Nothing but a
+count and a checksum reaches the driver.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from stationflow.session import delete_path
+
+from .common import stored_at
 
 
 def _sum(links: DataFrame) -> tuple:
@@ -23,7 +26,7 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     No links give no rows."""
     links = (links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
              .where((F.col(a) != F.col(b))).distinct())
-    links = stored(links, "links")
+    links, path = stored_at(links, "links")
     before = _sum(links)
     while before[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -33,8 +36,10 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        links = stored(small, "links")
+        links, new = stored_at(small, "links")
         after = _sum(links)
+        delete_path(links.sparkSession, path)
+        path = new
         if after == before:
             break
         before = after
