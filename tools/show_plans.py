@@ -22,7 +22,7 @@ import uuid
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from stationflow.operators import frames, network, repair, transactions  # noqa: E402
-from stationflow.plans import dashboard  # noqa: E402
+from stationflow.plans import dashboard, maintenance  # noqa: E402
 from stationflow.session import build_session, scratch_path  # noqa: E402
 from stationflow.sources import sinks, testdata  # noqa: E402
 
@@ -65,6 +65,8 @@ def main(argv):
     sinks.overwrite_records(records, fact_dir)
     fact = sinks.read_records(spark, fact_dir)
     now = dt.datetime(2024, 1, 20, 12)
+    latest_dir = scratch_path(spark, f"latest-{uuid.uuid4().hex[:8]}")
+    maintenance.merge_latest(spark, fact, latest_dir)
     views = {
         "T4 transactions by hour, one local day (stored table)":
             transactions.transactions_by_hour(fact, TZ, dt.date(2024, 1, 15)),
@@ -79,6 +81,8 @@ def main(argv):
             network.hourly_profile(fact, "2024-01-01 00:00:00 UTC", now, 7, "Monday"),
         "T9 KPIs of the latest reading per station":
             network.network_kpis(network.latest_readings(fact)),
+        "T9 index KPIs from the table of latest readings and today's partitions":
+            dashboard.index_kpis(fact, now, TZ, maintenance.read_latest(spark, latest_dir)),
         "T10 empty-station events, one day":
             network.empty_station_events(fact, stations, "2024-01-15 00:00:00 UTC",
                                          "2024-01-16 00:00:00 UTC"),
