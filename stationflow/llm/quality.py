@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from .common import fold, sampled, small_batches
 
 #: Bounds of the training sample: rows of each label, and bytes of a training text.
-MAX_ROWS_A_LABEL, MAX_TRAIN_BYTES = 600, 8192
+MAX_ROWS_A_LABEL, MAX_TRAIN_BYTES = 1200, 8192
 STEP, BLOCK = 4, 32  # bytes a step, steps a block; a chunk is two neighbouring blocks
 WIDTH, FILTERS, HIDDEN = 8, 32, 16  # of the embedding, and of the two layers
 BUFFER_BYTES = 1 << 20
