@@ -5,19 +5,22 @@ training texts. The ``head`` most frequent tokens (a fixed number, of bounded le
 broadcast; the other tokens of each text are joined with the full table of counts.
 
 The model predicts each token from the word before it, the word before that (a skip
-feature) and both together (an n-gram feature), hashed to rows of weights. The softmax is
-factored: first the class of the token, then the word in its class. The most frequent
-words have classes of their own; class 0 holds all others, which share its probability
-as in the base. With no weights learned the model is the base.
-
-Training is distributed: each task takes gradient steps over all its texts and returns
-what it added to each row of weights; Spark averages these by row, weighted by use. The
-weights have a fixed size, whatever the size of the data.
+feature) and both together (an n-gram feature). The softmax is factored: first the class of
+the token, then the word in its class, each by the yes-or-no decisions along a Huffman
+tree. Every head token has a leaf of its own; one more leaf holds all tokens beyond the
+head, which share its probability as in the base. A weight belongs to a feature and a
+decision, hashed to a cell; with no weights learned the model is the base.
+
+Training is distributed and goes by rounds of generalized iterative scaling: with fixed
+weights, each task counts for each cell how often it was met and how often the decision was
+yes, and adds up how often the model expected yes; Spark sums these over all tasks and the
+weights move once by the totals. So they depend on the tokens and not on how rows are
+split into tasks. The number of cells grows with the tokens, up to a broadcast of 32 MB.
 """
 
 from __future__ import annotations
 
-import math
+import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -33,11 +36,13 @@ from .common import (ROW_ID, ROW_TEXT, blank_words, fold, join_rows, keyed, lowe
                      stored)
 
 HEAD, HEAD_BYTES = 1 << 18, 64
-CLASSES, CLASS_WORDS = 16, 16
-ROWS = (1 << 14, 1 << 15)  # of weights for classes, and for words in their classes
-SLICE = 1 << 16  # tokens at a time
+CLASSES, CLASS_WORDS = 513, 512  # class 0 is all beyond the head
+CELLS = (16, 23)  # bits of the number of weights, at least and at most
+DEPTH = 4  # decisions of a run; its part of the tree has 15, in 16 neighbouring cells
+BLOCK = 1 << 10  # cells in a row of sums
+FEATURES, CALM = 3, 8.0
+SLICE = 1 << 13  # tokens at a time
 END = ""
-_NONE = -1e9
 
 
 def token_counts(texts: DataFrame, text: str = "__text") -> DataFrame:
@@ -64,12 +69,17 @@ def head_tokens(counts: DataFrame) -> DataFrame:
     return short.where(level >= least)
 
 
-def _rows(first: np.ndarray, second: np.ndarray | int, kind: int, size: int) -> np.ndarray:
-    """Row of weights for a feature: multiplicative hashing of its parts."""
+def _mix(first: np.ndarray, second: np.ndarray | int, kind: int) -> np.ndarray:
+    """64-bit hash of a feature or a decision by its parts."""
     x = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind)
     x = (x ^ (x >> np.uint64(29))) + np.asarray(second).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-    x = x * np.uint64(0xFF51AFD7ED558CCD)
-    return ((x >> np.uint64(40)) & np.uint64(size - 1)).astype(np.int64)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
+    return x ^ (x >> np.uint64(33))
+
+
+def cell_bits(n: int) -> int:
+    """Bits of the number of cells for ``n`` training tokens: one a token or more, up to the most."""
+    return min(max(n.bit_length(), CELLS[0]), CELLS[1])
 
 
 @dataclass
@@ -80,8 +90,7 @@ class Model:
     counts: list[int]
     n: int
     v: int
-    weights: list[np.ndarray] = field(default_factory=lambda: [
-        np.zeros((ROWS[0], CLASSES), np.float32), np.zeros((ROWS[1], CLASS_WORDS), np.float32)])
+    weights: list[np.ndarray] = field(default_factory=lambda: [np.zeros(1 << CELLS[0], np.float32)])
 
     @property
     def mass(self) -> float:
@@ -92,20 +101,64 @@ class Model:
         if hasattr(self, "index"):
             return self
         raw = [t.encode("utf-8", "surrogatepass") for t in self.tokens]
-        self.index = {t: i for i, t in enumerate(raw)}
         self.hashes = np.array([zlib.crc32(t) for t in raw] or [0], np.int64)
         self.base = np.log10((np.array(self.counts or [0], float) + 0.5) / self.mass)
-        p = np.zeros((CLASSES - 1) * CLASS_WORDS)
-        own = np.array(self.counts[:len(p)], float)
-        p[:len(own)] = (own + 0.5) / self.mass
-        p = p.reshape(CLASSES - 1, CLASS_WORDS)
-        self.other = max(1 - p.sum(), 1e-300)
-        classes = np.concatenate([[self.other], p.sum(1)])
-        with np.errstate(divide="ignore"):
-            self.class_bias = np.maximum(np.log(classes), _NONE).astype(np.float32)
-            self.word_bias = np.maximum(np.log(np.vstack([np.ones(CLASS_WORDS), p])), _NONE).astype(np.float32)
+        self.unseen = np.log10(0.5 / self.mass)
+        beyond = self.n - sum(self.counts) + 0.5 * (self.v + 1 - len(self.counts))
+        self.other = np.log10(beyond / self.mass)
+        self._tree([*(c + 0.5 for c in self.counts), beyond])
+        self.index = {t: i for i, t in enumerate(raw)}
         return self
 
+    def _tree(self, weight: list[float]) -> None:
+        """Huffman trees of the words of each class and of the classes. ``code`` lists for
+        each leaf (the last is all beyond the head), from the root on, twice the decision
+        plus the side. Every DEPTH levels make a run, whose decisions are neighbouring cells."""
+        words = len(weight) - 1
+        parent, side = [0] * len(weight), [0] * len(weight)
+
+        def joined(nodes: list[int]) -> int:
+            heap = [(weight[i], i) for i in nodes]
+            heapq.heapify(heap)
+            while len(heap) > 1:
+                (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+                new = len(weight)
+                parent[i] = parent[j] = new
+                side[j] = 1
+                weight.append(a + b)
+                parent.append(new)
+                side.append(0)
+                yes.append(b / a)
+                heapq.heappush(heap, (a + b, new))
+            return heap[0][1]
+
+        yes: list[float] = []
+        roots = [joined(list(range(a, min(a + CLASS_WORDS, words)))) for a in range(0, words, CLASS_WORDS)]
+        root = joined([words, *roots])
+        up, sides = np.array(parent), np.array(side)
+        self.bias = np.log(np.array(yes or [1.0])).astype(np.float32)
+        leaf = np.arange(words + 1)
+        at, found = leaf, []
+        while len(at):
+            on = at != root
+            leaf, at = leaf[on], at[on]
+            found.append((leaf, 2 * (up[at] - words - 1) + sides[at]))
+            at = up[at]
+        leaves = np.concatenate([x for x, _ in found[::-1]])
+        order = np.argsort(leaves, kind="stable")
+        self.code = np.concatenate([x for _, x in found[::-1]])[order].astype(np.int32)
+        self.length = np.bincount(leaves, minlength=words + 1)
+        self.start = np.cumsum(self.length) - self.length
+        inner = max(len(weight) - words - 1, 1)
+        depth, top, slot = [0] * inner, list(range(inner)), [1] * inner
+        for i in range(inner - 2, -1, -1):  # parents come after their children
+            above = parent[i + words + 1] - words - 1
+            depth[i] = depth[above] + 1
+            if depth[i] % DEPTH:
+                top[i], slot[i] = top[above], 2 * slot[above] + side[i + words + 1]
+        self.slot = np.array(slot)
+        self.run_hash = _mix(np.array(top), 0, 7)
+
 
 @dataclass
 class Tokens:
@@ -140,94 +193,106 @@ def tokenize(texts: list[str | None], model: Model) -> Tokens:
     return Tokens(words, ids, hashes, first, before, skipped)
 
 
-def _softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
-    np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
-    return logits
-
-
-def _parts(model: Model, t: Tokens, a: int, z: int):
-    """For both steps of the softmax: tokens, rows of their features, targets, probabilities."""
-    ids, before, skipped = t.ids[a:z], t.before[a:z], t.skipped[a:z]
-    own = (ids >= 0) & (ids < (CLASSES - 1) * CLASS_WORDS)
-    kinds = np.where(own, 1 + ids // CLASS_WORDS, 0)
-    rows = [_rows(before, 0, 1, ROWS[0]), _rows(skipped, 0, 2, ROWS[0]), _rows(before, skipped, 3, ROWS[0])]
+def _decisions(model: Model, t: Tokens, a: int, z: int):
+    """All decisions of the tokens: token, whether yes, logit, and the cells of its features."""
+    leaf = np.where(t.ids[a:z] < 0, len(model.tokens), t.ids[a:z])
+    before, skipped = t.before[a:z], t.skipped[a:z]
+    lengths = model.length[leaf]
+    runs = -(-lengths // DEPTH)
+    of = np.repeat(np.arange(z - a), runs)  # the token of each run
+    nth = np.arange(len(of)) - np.repeat(np.cumsum(runs) - runs, runs)
+    sizes = np.minimum(lengths[of] - nth * DEPTH, DEPTH)
+    first = model.start[leaf][of] + nth * DEPTH
+    run = np.repeat(np.arange(len(of)), sizes)
+    code = model.code[np.arange(len(run)) + (first - np.cumsum(sizes) + sizes)[run]]
+    decision = code >> 1
+    run_hash = model.run_hash[model.code[first] >> 1]
     table = model.weights[0]
-    yield None, rows, kinds, _softmax(table[rows[0]] + table[rows[1]] + table[rows[2]] + model.class_bias)
-    at = np.nonzero(own)[0]
-    k, b, s = kinds[at], before[at], skipped[at]
-    rows = [_rows(b, k, 4, ROWS[1]), _rows(s, k, 5, ROWS[1]), _rows(b, s * CLASSES + k, 6, ROWS[1])]
-    table = model.weights[1]
-    yield at, rows, ids[at] % CLASS_WORDS, _softmax(table[rows[0]] + table[rows[1]] + table[rows[2]] + model.word_bias[k])
+    shift = np.uint64(64 - (len(table).bit_length() - 1))
+    logit, slot, cells = model.bias[decision], model.slot[decision], []
+    for feature in (_mix(before, 0, 1), _mix(skipped, 0, 2), _mix(before, skipped, 3)):
+        x = ((feature[of] ^ run_hash) * np.uint64(0x9E3779B97F4A7C15)) >> shift
+        cells.append(x.view(np.int64)[run] ^ slot)
+        logit += table[cells[-1]]
+    return of[run], (code & 1).astype(bool), logit, cells
 
 
 def model_scores(model: Model, t: Tokens) -> np.ndarray:
-    """log10 probability of each token; for a token of class 0 without its share in it."""
-    out = np.empty(len(t.ids))
+    """log10 probability of each token; a token beyond the head counts as one not seen in training."""
+    out = np.where(t.ids < 0, model.unseen - model.other, 0.0)
     for a in range(0, len(out), SLICE):
         z = min(a + SLICE, len(out))
-        for at, _, target, p in _parts(model, t, a, z):
-            chosen = np.log10(np.maximum(p[np.arange(len(target)), target], 1e-30))
-            if at is None:
-                out[a:z] = chosen - np.where(target == 0, math.log10(model.other), 0)
-            else:
-                out[a + at] += chosen
+        token, yes, logit, _ = _decisions(model, t, a, z)
+        against = np.exp(np.minimum(np.where(yes, -logit, logit), 80))
+        out[a:z] -= np.bincount(token, weights=np.log(1 + against), minlength=z - a) / np.log(10)
     return out
 
 
-def gradient_steps(model: Model, t: Tokens, seen: list, used: list, rate: float = 0.3, calm: float = 10.0) -> None:
-    """One pass of adaptive gradient steps over the tokens. ``seen`` has the squared slopes
-    so far, ``used`` how often each row was met."""
-    for a in range(0, len(t.ids), SLICE):
-        for k, (_, rows, target, p) in enumerate(_parts(model, t, a, min(a + SLICE, len(t.ids)))):
-            p[np.arange(len(target)), target] -= 1
-            width, size = p.shape[1], model.weights[k].size
-            flat, cells = p.ravel().astype(float), np.arange(width)
-            slope = np.zeros(size)
-            for r in rows:
-                slope += np.bincount((r[:, None] * width + cells).ravel(), weights=flat, minlength=size)
-                used[k] += np.bincount(r, minlength=len(used[k]))
-            slope = slope.reshape(model.weights[k].shape)
-            seen[k] += slope ** 2
-            model.weights[k] -= (rate * slope / np.sqrt(calm + seen[k])).astype(np.float32)
+class Sums:
+    """For each cell: how often met (times 2^32) and how often the decision was yes, in one
+    number, and how often yes was expected."""
+
+    def __init__(self, size: int):
+        self.seen, self.expected = np.zeros(size, np.int64), np.zeros(size)
+
+    def add(self, model: Model, t: Tokens) -> None:
+        for a in range(0, len(t.ids), SLICE):
+            _, yes, logit, cells = _decisions(model, t, a, min(a + SLICE, len(t.ids)))
+            p = (1 / (1 + np.exp(-np.maximum(logit, -80)))).astype(float)
+            once = yes + np.int64(1 << 32)
+            for cell in cells:
+                np.add.at(self.seen, cell, once)
+                np.add.at(self.expected, cell, p)
+
+
+def moves(met: np.ndarray, yes: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    """What a round adds to weights: the log odds of what was seen, eased by CALM expected
+    decisions, against what was expected, shared among the features of a decision."""
+    n = np.maximum(met, 1)
+    p = np.clip(expected / n, 1e-6, 1 - 1e-6)
+    seen = (yes + CALM * p) / (n + CALM)
+    move = np.log(seen / (1 - seen)) - np.log(p / (1 - p))
+    return np.where(met > 0, move / FEATURES, 0).astype(np.float32)
 
 
 def train(texts: DataFrame, counts: DataFrame, rounds: int = 1) -> Model:
-    """A model of ``texts`` (column __text): every round, each task trains on all its texts."""
+    """A model of ``texts`` (column __text): every round sums over all texts and moves once."""
     spark = texts.sparkSession
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     head = head_tokens(counts).toPandas().sort_values(["c", "token"], ascending=[False, True])
-    model = Model(head["token"].tolist(), head["c"].tolist(), int(n), int(v))
-    cells = [f"w{i}" for i in range(max(CLASSES, CLASS_WORDS))]
-    schema = "part int, row int, used double, " + ", ".join(f"{c} float" for c in cells)
+    size = 1 << cell_bits(int(n))
+    model = Model(head["token"].tolist(), head["c"].tolist(), int(n), int(v), [np.zeros(size, np.float32)])
     small_batches(spark)
     for _ in range(rounds if n else 0):
-        sent = spark.sparkContext.broadcast(model)  # head and weights: of fixed size
+        sent = spark.sparkContext.broadcast(model)  # head and weights: of bounded size
 
         def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             given = sent.value.ready()
-            own = Model(given.tokens, given.counts, given.n, given.v, [w.copy() for w in given.weights])
-            own.__dict__ = {**given.__dict__, "weights": own.weights}
-            seen = [np.zeros(w.shape) for w in own.weights]
-            used = [np.zeros(len(w)) for w in own.weights]
+            sums = Sums(size)
             for pdf in batches:
-                gradient_steps(own, tokenize(pdf["__text"].tolist(), own), seen, used)
-            for part, (new, old) in enumerate(zip(own.weights, given.weights)):
-                met = np.nonzero(used[part])[0]
-                for a in range(0, len(met), 4096):
-                    rows = met[a:a + 4096]
-                    added = np.zeros((len(rows), len(cells)), np.float32)
-                    added[:, :new.shape[1]] = new[rows] - old[rows]
-                    yield pd.DataFrame({"part": np.int32(part), "row": rows.astype(np.int32), "used": used[part][rows]}
-                                       | {c: added[:, i] for i, c in enumerate(cells)})
-
-        moved = texts.select("__text").mapInPandas(learn, schema)
-        mean = moved.groupBy("part", "row").agg(*[
-            (F.sum(F.col(c) * F.col("used")) / F.sum("used")).alias(c) for c in cells]).toPandas()
-        for part, w in enumerate(model.weights):
-            own = mean[mean["part"] == part]
-            w[own["row"].to_numpy()] += own[cells[:w.shape[1]]].to_numpy(np.float32)
+                sums.add(given, tokenize(pdf["__text"].tolist(), given))
+            blocks = np.nonzero(sums.seen.reshape(-1, BLOCK).any(1))[0]
+            for a in range(0, len(blocks), 64):
+                rows = blocks[a:a + 64]
+                part = {c: [x.reshape(-1, BLOCK)[i].astype(kind).tobytes() for i in rows] for c, x, kind in (
+                    ("seen", sums.seen, np.int64), ("expected", sums.expected, np.float32))}
+                yield pd.DataFrame({"block": rows.astype(np.int32)} | part)
+
+        def total(pdf: pd.DataFrame) -> pd.DataFrame:
+            met, yes, expected = np.zeros((3, BLOCK))
+            for seen, hoped in zip(pdf["seen"], pdf["expected"]):
+                both = np.frombuffer(seen, np.int64)
+                met += both >> 32
+                yes += both & 0xFFFFFFFF
+                expected += np.frombuffer(hoped, np.float32)
+            move = moves(met, yes, expected)
+            return pd.DataFrame({"block": pdf["block"].iloc[:1], "move": [move.tobytes()]})
+
+        summed = texts.select("__text").mapInPandas(learn, "block int, seen binary, expected binary")
+        moved = summed.groupBy("block").applyInPandas(total, "block int, move binary").toPandas()
+        table = model.weights[0].reshape(-1, BLOCK)
+        for block, move in zip(moved["block"], moved["move"]):
+            table[block] += np.frombuffer(move, np.float32)
     return model
 
 
@@ -254,12 +319,11 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = sent.value.ready()
-        own = (CLASSES - 1) * CLASS_WORDS
         for pdf in batches:
             t = tokenize(pdf["__text"].tolist(), m)
             in_head = t.ids >= 0
             base = np.where(in_head, m.base[np.maximum(t.ids, 0)], 0.0)
-            full = model_scores(m, t) + np.where(t.ids >= own, base, 0.0)
+            full = model_scores(m, t) - np.where(in_head, 0.0, m.unseen)  # their counts are joined
             ends = np.append(t.starts[1:], len(t.ids))
             rest = [[{"token": w.decode("utf-8", "surrogatepass"), "k": k} for w, k in Counter(
                 [t.words[i] for i in (np.nonzero(~in_head[a:z])[0] + a).tolist()]).items()]

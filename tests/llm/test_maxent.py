@@ -75,3 +75,12 @@ def test_repeated_rows_nothing_to_learn_from_and_empty(documents):
     r = maxent.lm_scores(documents([(only_held, "a b")])).first()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0) and abs(r.score) < 1e-6
     assert maxent.lm_scores(documents([])).count() == 0
+
+
+CHAIN = [" ".join(f"w{(7 * i + j) % 1000}" for j in range(50)) for i in range(400)]
+
+
+def test_all_words_of_the_head_are_predicted_from_their_context(documents):
+    """A thousand words of like frequency, each followed by the same one."""
+    held = [r for r in maxent.lm_scores(documents(CHAIN)).collect() if r.held_out]
+    assert held and sum(r.score for r in held) > 0.6 * sum(r.base_score for r in held)
