@@ -255,8 +255,9 @@ def moves(met: np.ndarray, yes: np.ndarray, expected: np.ndarray) -> np.ndarray:
     return np.where(met > 0, move / FEATURES, 0).astype(np.float32)
 
 
-def train(texts: DataFrame, counts: DataFrame, rounds: int = 1) -> Model:
-    """A model of ``texts`` (column __text): every round sums over all texts and moves once."""
+def train(texts: DataFrame, counts: DataFrame, rounds: int = 2) -> Model:
+    """A model of ``texts`` (column __text): every round sums over all texts and moves once.
+    More rounds bring the weights nearer to what was seen; two is the documented schedule."""
     spark = texts.sparkSession
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     head = head_tokens(counts).toPandas().sort_values(["c", "token"], ascending=[False, True])
@@ -297,7 +298,7 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = 1) -> Model:
 
 
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out_fold: int = 1,
-              rounds: int = 1) -> DataFrame:
+              rounds: int = 2) -> DataFrame:
     """One row per document row: id, ``held_out`` (crc32 of the id as text mod 5 is
     ``held_out_fold``; a null id is not), ``n_tokens``, ``n_known`` (tokens seen in training),
     ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities of the text).

@@ -84,3 +84,9 @@ def test_all_words_of_the_head_are_predicted_from_their_context(documents):
     """A thousand words of like frequency, each followed by the same one."""
     held = [r for r in maxent.lm_scores(documents(CHAIN)).collect() if r.held_out]
     assert held and sum(r.score for r in held) > 0.6 * sum(r.base_score for r in held)
+
+
+def test_scores_do_not_depend_on_the_split(documents):
+    docs = documents(CHAIN)
+    one, many = (by_id(maxent.lm_scores(docs.repartition(n))) for n in (1, 64))
+    assert all(many[i].score == pytest.approx(r.score, rel=1e-4) for i, r in one.items())
