@@ -37,7 +37,7 @@ from .common import (ROW_ID, ROW_TEXT, blank_words, fold, join_rows, keyed, lowe
 
 HEAD, HEAD_BYTES = 1 << 18, 64
 CLASSES, CLASS_WORDS = 513, 512  # class 0 is all beyond the head
-CELLS = (16, 23)  # bits of the number of weights, at least and at most
+CELLS, TOKENS_A_CELL = (16, 23), 4  # bits of the number of weights, at least and at most
 DEPTH = 4  # decisions of a run; its part of the tree has 15, in 16 neighbouring cells
 BLOCK = 1 << 10  # cells in a row of sums
 FEATURES, CALM = 3, 8.0
@@ -78,8 +78,8 @@ def _mix(first: np.ndarray, second: np.ndarray | int, kind: int) -> np.ndarray:
 
 
 def cell_bits(n: int) -> int:
-    """Bits of the number of cells for ``n`` training tokens: one a token or more, up to the most."""
-    return min(max(n.bit_length(), CELLS[0]), CELLS[1])
+    """Bits of the number of cells for ``n`` training tokens, up to the most."""
+    return min(max((n // TOKENS_A_CELL).bit_length(), CELLS[0]), CELLS[1])
 
 
 @dataclass
@@ -229,11 +229,11 @@ def model_scores(model: Model, t: Tokens) -> np.ndarray:
 
 
 class Sums:
-    """For each cell: how often met (times 2^32) and how often the decision was yes, in one
-    number, and how often yes was expected."""
+    """For each cell: how often yes was expected and, if asked for, how often it was met (times
+    2^32) and how often the decision was yes, in one number."""
 
-    def __init__(self, size: int):
-        self.seen, self.expected = np.zeros(size, np.int64), np.zeros(size)
+    def __init__(self, size: int, count: bool = True):
+        self.expected, self.seen = np.zeros(size), np.zeros(size if count else 0, np.int64)
 
     def add(self, model: Model, t: Tokens) -> None:
         for a in range(0, len(t.ids), SLICE):
@@ -241,8 +241,9 @@ class Sums:
             p = (1 / (1 + np.exp(-np.maximum(logit, -80)))).astype(float)
             once = yes + np.int64(1 << 32)
             for cell in cells:
-                np.add.at(self.seen, cell, once)
                 np.add.at(self.expected, cell, p)
+                if len(self.seen):
+                    np.add.at(self.seen, cell, once)
 
 
 def moves(met: np.ndarray, yes: np.ndarray, expected: np.ndarray) -> np.ndarray:
@@ -264,36 +265,41 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = 2) -> Model:
     size = 1 << cell_bits(int(n))
     model = Model(head["token"].tolist(), head["c"].tolist(), int(n), int(v), [np.zeros(size, np.float32)])
     small_batches(spark)
-    for _ in range(rounds if n else 0):
+    # A task returns a sum for each cell, so none is cut smaller than two tokens a cell.
+    fewer = texts.select("__text").coalesce(max(spark.sparkContext.defaultParallelism, int(n or 0) // (2 * size)))
+    met, yes = np.zeros((2, size), np.float32)
+    for nth in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)  # head and weights: of bounded size
+        first = nth == 0  # what was seen stays the same in all rounds
 
         def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             given = sent.value.ready()
-            sums = Sums(size)
+            sums = Sums(size, first)
             for pdf in batches:
                 sums.add(given, tokenize(pdf["__text"].tolist(), given))
-            blocks = np.nonzero(sums.seen.reshape(-1, BLOCK).any(1))[0]
+            expected, seen = sums.expected.reshape(-1, BLOCK), sums.seen.reshape(-1, BLOCK)
+            blocks = np.nonzero(expected.any(1))[0].astype(np.int32)
             for a in range(0, len(blocks), 64):
                 rows = blocks[a:a + 64]
-                part = {c: [x.reshape(-1, BLOCK)[i].astype(kind).tobytes() for i in rows] for c, x, kind in (
-                    ("seen", sums.seen, np.int64), ("expected", sums.expected, np.float32))}
-                yield pd.DataFrame({"block": rows.astype(np.int32)} | part)
+                yield pd.DataFrame({"block": rows, "expected": [expected[i].astype(np.float32).tobytes() for i in rows],
+                                    "seen": [seen[i].tobytes() if first else b"" for i in rows]})
 
         def total(pdf: pd.DataFrame) -> pd.DataFrame:
-            met, yes, expected = np.zeros((3, BLOCK))
-            for seen, hoped in zip(pdf["seen"], pdf["expected"]):
-                both = np.frombuffer(seen, np.int64)
-                met += both >> 32
-                yes += both & 0xFFFFFFFF
-                expected += np.frombuffer(hoped, np.float32)
-            move = moves(met, yes, expected)
-            return pd.DataFrame({"block": pdf["block"].iloc[:1], "move": [move.tobytes()]})
-
-        summed = texts.select("__text").mapInPandas(learn, "block int, seen binary, expected binary")
-        moved = summed.groupBy("block").applyInPandas(total, "block int, move binary").toPandas()
-        table = model.weights[0].reshape(-1, BLOCK)
-        for block, move in zip(moved["block"], moved["move"]):
-            table[block] += np.frombuffer(move, np.float32)
+            expected, both = np.zeros(BLOCK), np.zeros((2, BLOCK if first else 0))
+            for x, y in zip(pdf["expected"], pdf["seen"]):
+                expected += np.frombuffer(x, np.float32)
+                seen = np.frombuffer(y, np.int64)
+                both += seen >> 32, seen & 0xFFFFFFFF
+            return pd.DataFrame({"block": pdf["block"].iloc[:1], "expected": [expected.astype(np.float32).tobytes()],
+                                 "seen": [both.astype(np.float32).tobytes()]})
+
+        schema = "block int, expected binary, seen binary"
+        summed = fewer.mapInPandas(learn, schema).groupBy("block").applyInPandas(total, schema).toPandas()
+        for block, x, y in zip(summed["block"], summed["expected"], summed["seen"]):
+            at = slice(block * BLOCK, (block + 1) * BLOCK)
+            if first:
+                met[at], yes[at] = np.frombuffer(y, np.float32).reshape(2, BLOCK)
+            model.weights[0][at] += moves(met[at], yes[at], np.frombuffer(x, np.float32).astype(float))
     return model
 
 
