@@ -13,14 +13,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import fold, sampled, small_batches
 
-#: Bounds of the training sample: rows of each label, and bytes of a training text.
-MAX_ROWS_A_LABEL, MAX_TRAIN_BYTES = 1200, 8192
+#: Bounds of the training sample: rows of each label, and bytes of a training text. Of a longer
+#: one, pieces of PIECE bytes are taken in even steps from its first to its last byte.
+MAX_ROWS_A_LABEL, MAX_TRAIN_BYTES, PIECE = 1200, 8192, 512
 STEP, BLOCK = 4, 32  # bytes a step, steps a block; a chunk is two neighbouring blocks
 WIDTH, FILTERS, HIDDEN = 8, 32, 16  # of the embedding, and of the two layers
 BUFFER_BYTES = 1 << 20
@@ -170,10 +171,19 @@ def fit(texts: list[bytes], y: np.ndarray, epochs: int = 10, batch: int = 16, ra
     return net
 
 
+def training_bytes(content: Column) -> Column:
+    """The bytes of a text, or of a long one MAX_TRAIN_BYTES // PIECE pieces, spread over all of it."""
+    raw = F.coalesce(content, F.lit("")).cast("binary")
+    last = MAX_TRAIN_BYTES // PIECE - 1
+    pieces = F.aggregate(F.sequence(F.lit(0), F.lit(last)), F.lit(b""), lambda done, i: F.concat(
+        done, F.substring(raw, F.floor(i.cast("bigint") * (F.octet_length(raw) - PIECE) / last).cast("int") + 1, F.lit(PIECE))))
+    return F.when(F.octet_length(raw) <= MAX_TRAIN_BYTES, raw).otherwise(pieces)
+
+
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
           label: str = "quality", held_out_fold: int = 0) -> Network:
-    """Fit on at most MAX_ROWS_A_LABEL rows of each label with texts of up to MAX_TRAIN_BYTES
-    bytes, taken from the first labelled ids by a hash, none from the held-out fold. Both labels
+    """Fit on at most MAX_ROWS_A_LABEL rows of each label, long texts by MAX_TRAIN_BYTES bytes,
+    taken from the first labelled ids by a hash, none from the held-out fold. Both labels
     weigh alike in the sample; the bias is then set right for their shares among the
     labelled rows. Without examples of both labels, every score is the share of label 1
     (one half if there is none)."""
@@ -183,9 +193,9 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     share = dict(marked.groupBy("y").count().collect())
     chosen = sampled(marked.where("y = 0"), 2 * MAX_ROWS_A_LABEL).unionByName(
         sampled(marked.where("y = 1"), 2 * MAX_ROWS_A_LABEL))
-    small = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("content")).where(
-        F.octet_length("content") <= MAX_TRAIN_BYTES)
+    small = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("content"))
     known = small.join(F.broadcast(chosen), "id")  # four times MAX_ROWS_A_LABEL ids at most
+    known = known.select("id", "y", training_bytes(F.col("content")).alias("content"))
     rows = [r for y in (0, 1) for r in known.where(F.col("y") == y)
             .orderBy(F.xxhash64("id"), "id").limit(MAX_ROWS_A_LABEL).collect()]
     y = np.array([r.y for r in rows], np.float32)
@@ -195,7 +205,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         net.p["out"][:] = 0
         net.p["out_bias"][:] = np.log((share.get(1, 0) + 1) / (share.get(0, 0) + 1))
         return net
-    net = fit([(r.content or "").encode("utf-8", "surrogatepass") for r in rows], y)
+    net = fit([bytes(r.content) for r in rows], y)
     net.p["out_bias"] += np.float32(np.log(share[1] / share[0]) - np.log(n1 / n0))
     return net
 

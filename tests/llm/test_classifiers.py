@@ -138,3 +138,13 @@ def test_without_labels_or_rows(spark, documents):
     assert {r.score for r in quality.quality(docs, none).collect()} == {0.5}
     assert toxicity.toxicity(documents([]), none).count() == 0
     assert quality.quality(documents([]), none).select(F.col("score")).count() == 0
+
+
+def test_labels_of_long_texts_are_learned_from(spark, documents, corpus):
+    """Every labelled text is longer than MAX_TRAIN_BYTES, and its beginning tells nothing."""
+    rows, labels = corpus
+    rows = [(i, ". " * quality.MAX_TRAIN_BYTES + t * (1 + 4 * quality.MAX_TRAIN_BYTES // len(t))) for i, t in rows[:200]]
+    got = by_id(quality.quality(documents(rows), spark.createDataFrame(labels[:140], LABELS)))
+    kept = [got[i].score for i in got if held_out(i) and i % 7 != 2]
+    junk = [got[i].score for i in got if held_out(i) and i % 7 == 2]
+    assert np.mean(kept) > np.mean(junk) + 0.3
