@@ -3,8 +3,8 @@
 ``spark.read.format("warc")`` plans one partition for each group of files, tests pushed
 predicates on the record type and other headers as soon as the headers are parsed, and
 then skips the rest of a record: in ``.warc`` files by its Content-Length, in
-``.warc.gz`` files (one gzip member a record) by the skip length that the writer leaves
-in the member's extra field. Payloads are only decoded when the schema asks for them.
+``.warc.gz`` files by the skip length that the writer, with one gzip member a record, leaves
+in the member's extra field; members of several records are inflated to their end. Payloads are only decoded when the schema asks for them.
 
 ``df.write.format("warc")`` writes such files. Files of failed or repeated tasks are
 never read: the commit lists the files that count, and the reader goes by that list.
@@ -168,43 +168,73 @@ def _parse(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, sep, v in (x.partition(":") for x in lines[1:]) if sep}
 
 
+class _Member:
+    """The inflated bytes of a gzip member, record after record."""
+
+    def __init__(self, window: _Window):
+        self.window, self.inflater, self.text = window, zlib.decompressobj(-15), b""
+
+    def more(self) -> bytes:
+        """The next bytes; none at the end of the member."""
+        while not self.inflater.eof:
+            data = self.inflater.unconsumed_tail or self.window.take(CHUNK)
+            part = self.inflater.decompress(data, CHUNK) if data else b""
+            if part:
+                return part
+            if not data:
+                raise ValueError("truncated record")
+        return b""
+
+    def head(self) -> bytes | None:
+        """Headers of the next record, None if nothing but line ends is left."""
+        while not (text := self.text.lstrip(b"\r\n")) and (part := self.more()):
+            self.text = part
+        while (end := text.find(b"\r\n\r\n")) < 0 and (part := self.more()):
+            text += part
+        if end < 0 and text:
+            raise ValueError("truncated record")
+        self.text = text[end + 4:] if text else b""
+        return text[:end] if text else None
+
+    def block(self, size: int, keep: bool) -> bytes | None:
+        parts = []
+        while len(self.text) < size:
+            size -= len(self.text)
+            if keep:
+                parts.append(self.text)
+            if not (part := self.more()):
+                raise ValueError("truncated record")
+            self.text = part
+        parts.append(self.text[:size])
+        self.text = self.text[size:]
+        return b"".join(parts) if keep else None
+
+
 def _gzip_records(window: _Window, wanted) -> Iterator[tuple[dict, bytes | None]]:
-    """(headers, block) of each record; the block is None where it was not wanted."""
+    """(headers, block) of each record of each member; the block is None where it was not wanted."""
     while len(start := window.take(10)) == 10:
-        origin, size = window.at() - 10, 0
-        if start[:3] != b"\x1f\x8b\x08" or start[3] & ~4:
-            raise ValueError("not a gzip member without name and comment")
+        origin, size, plain = window.at() - 10, 0, 0
+        if start[:3] != b"\x1f\x8b\x08" or start[3] & 0xE0:
+            raise ValueError("not a gzip member")
         if start[3] & 4:
             extra = window.take(struct.unpack("<H", window.take(2))[0])
             if extra[:2] == b"sl":
-                size = struct.unpack("<I", extra[4:8])[0]
-        inflater = zlib.decompressobj(-15)
-        text, head = b"", None
-
-        def more() -> bytes:
-            data = inflater.unconsumed_tail or window.take(CHUNK)
-            return inflater.decompress(data, CHUNK) if data else b""
-
-        while (end := text.find(b"\r\n\r\n")) < 0 and not inflater.eof:
-            part = more()
-            if not part and not inflater.eof:
-                raise ValueError("truncated record")
-            text += part
-        head = _parse(text[:end])
-        if wanted(head):
-            parts = [text[end + 4:]]
-            while not inflater.eof:
-                part = more()
-                if not part and not inflater.eof:
-                    raise ValueError("truncated record")
-                parts.append(part)
-            yield head, b"".join(parts)[:int(head["content-length"])]
-        else:
-            yield head, None
-            while not size and not inflater.eof:
-                if not more() and not inflater.eof:
-                    raise ValueError("truncated record")
-        window.go(origin + size if size else window.at() - len(inflater.unused_data) + 8)
+                size, plain = struct.unpack("<II", extra[4:12])
+        for _ in range((start[3] >> 3 & 1) + (start[3] >> 4 & 1)):  # name and comment
+            while window.take(1) not in (b"\0", b""):
+                pass
+        if start[3] & 2:
+            window.take(2)
+        member, skip = _Member(window), 0
+        while not skip and (raw := member.head()) is not None:
+            head = _parse(raw)
+            length, keep = int(head["content-length"]), wanted(head)
+            if not keep and size and (len(raw) + length + 8) & 0xFFFFFFFF == plain:  # alone in its member
+                skip = size
+                yield head, None
+            else:
+                yield head, member.block(length, keep)
+        window.go(origin + skip if skip else window.at() - len(member.inflater.unused_data) + 8)
 
 
 def _plain_records(window: _Window, wanted) -> Iterator[tuple[dict, bytes | None]]:

@@ -117,3 +117,18 @@ def test_null_ids_repeated_rows_and_empty(spark, tmp_path):
                    ("<urn:page:>", "response", "None"), ("<urn:page:>", "revisit", "<urn:page:4>")]
     warc.write_pages(pages(spark, []), str(tmp_path / "e"))
     assert warc.read_warc(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_members_of_several_records(spark, tmp_path):
+    records = [warc.record({"record_type": "response", "record_id": f"<urn:page:{i}>", "date": "x",
+                            "payload": b"%d" % i * 100_000}) for i in range(5)]
+    whole = b"".join(records)
+    (tmp_path / "a.warc.gz").write_bytes(gzip.compress(whole, mtime=0))
+    with open(tmp_path / "b.warc.gz", "wb") as f, gzip.GzipFile("name.warc", "wb", fileobj=f) as named:
+        named.write(whole)
+    (tmp_path / "c.warc.gz").write_bytes(warc.gzip_member(whole) + warc.gzip_member(records[0]))
+    back = warc.read_warc(spark, str(tmp_path))
+    want = sorted([f"<urn:page:{i}>" for i in range(5)] * 3 + ["<urn:page:0>"])
+    assert sorted(r.record_id for r in back.select("record_id", "payload").collect()) == want
+    bare = warc.read_warc(spark, str(tmp_path), payloads=False)
+    assert sorted(r.record_id for r in bare.select("record_id").collect()) == want
