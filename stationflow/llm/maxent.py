@@ -37,7 +37,7 @@ from .common import (ROW_ID, ROW_TEXT, blank_words, fold, join_rows, keyed, lowe
 
 HEAD, HEAD_BYTES = 1 << 18, 64
 CLASSES, CLASS_WORDS = 513, 512  # class 0 is all beyond the head
-CELLS, TOKENS_A_CELL = (16, 23), 16  # bits of the number of weights, at least and at most
+CELLS, TOKENS_A_CELL = (16, 23), 1  # bits of the number of weights, at least and at most
 DEPTH = 4  # decisions of a run; its part of the tree has 15, in 16 neighbouring cells
 BLOCK = 1 << 10  # cells in a row of sums
 FEATURES, CALM = 3, 8.0
