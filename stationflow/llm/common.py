@@ -81,9 +81,11 @@ def drop_row_key(df: DataFrame) -> DataFrame:
     return df.drop(ROW_ID, ROW_TEXT)
 
 
-def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Rows per Arrow batch, so that a Python worker holds a few MB of text at a time."""
+def small_batches(spark: SparkSession, rows: int = 1000, size: str = "8m") -> None:
+    """Rows and bytes per Arrow batch, so that a Python worker holds a few MB of text at a time,
+    however long single texts are."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def shared_dir(spark: SparkSession) -> str:

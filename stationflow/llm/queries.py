@@ -7,9 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, decontaminate, exact_dedup, line_dedup, maxent, quality, secret_scan, simhash,
-               toxicity, warc)
-from .common import shared_dir, table
+from . import (bpe, decontaminate, exact_dedup, jaccard_join, line_dedup, maxent, prefix_trie, quality,
+               secret_scan, simhash, token_align, toxicity, warc)
+from .common import shared_dir, stored, table
 
 
 def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +87,26 @@ def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2("text", 256).alias("text_sha256"))
 
 
+def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), shingle=5, percent=80)
+
+
+def q_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokenizer_path("piece_bpe_32k.model")
+    aligned = stored(token_align.alignments(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                            model), "token-groups")
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    rows = aligned.select("doc_id", "n_a", "n_b", digest.alias("groups_sha256"), "links")
+    found = token_align.count_links(rows, token_align.pieces(model))
+    return found.select("doc_id", "n_a", "n_b", F.col("n_links").alias("n_groups"), "n_links", "n_best", "count_sum",
+                        "groups_sha256")
+
+
+def q_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = prefix_trie.rebuilt_paths(table(spark, sf_dir, "conversations"), every=20, turns=4)
+    return prefix_trie.prefix_trie(rebuilt)
+
+
 def queries() -> dict:
     return {
         "op1_decontamination": q_decontamination,
@@ -99,6 +119,9 @@ def queries() -> dict:
         "op8_secrets": q_secrets,
         "op9_lm_scoring": q_lm_scoring,
         "op10_line_dedup": q_line_dedup,
+        "op11_jaccard_join": q_jaccard_join,
+        "op12_token_alignment": q_token_alignment,
+        "op13_prefix_trie": q_prefix_trie,
     }
 
 
@@ -141,10 +164,38 @@ clean AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed,
           FROM marked GROUP BY doc_id)
 SELECT doc_id, n_removed, length(t) AS n_chars, sha256(t) AS text_sha256 FROM clean"""
 
+_CRC32 = """xor(list_reduce(list_transform(range(0, length({0}) + 1), lambda i: CASE WHEN i = 0 THEN 4294967295::BIGINT
+                                           ELSE ascii(({0})[i::INT])::BIGINT END),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                             lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
+_TRIE = rf"""
+WITH t AS (SELECT conv_id, turn, dense_rank() OVER (ORDER BY coalesce(role, ''), coalesce(text, '')) AS id,
+                  len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+           FROM conversations WHERE conv_id IS NOT NULL),
+words AS (SELECT DISTINCT id, w FROM t),
+own AS (SELECT conv_id, list(id ORDER BY turn NULLS FIRST) AS ids, {_CRC32.format('conv_id::VARCHAR')} % 4 AS h
+        FROM t GROUP BY conv_id),
+rebuilt AS (SELECT o.conv_id, list_concat(coalesce(b.ids, [])[1:o.h], o.ids[o.h + 1:]) AS ids
+            FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 20),
+members AS (SELECT conv_id AS c, ids[1:d] AS k, d, d = len(ids) AS ends FROM rebuilt, unnest(range(0, len(ids) + 1)) u(d)),
+nodes AS (SELECT k, d AS depth, min(c) AS conv_id, count(*) AS n_convs,
+                 coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '') AS ends
+          FROM members GROUP BY k, d),
+below AS (SELECT k[1:depth - 1] AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(w, 0) AS saved
+               FROM nodes n LEFT JOIN below USING (k) LEFT JOIN words ON words.id = k[len(k)]),
+totals AS (SELECT k[1:i] AS k, sum(saved) AS saved_tokens, count_if(n_children = 0) AS n_leaves
+           FROM full_nodes, unnest(range(0, depth + 1)) u(i) GROUP BY 1)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, t.n_leaves::BIGINT AS n_leaves,
+       t.saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM full_nodes n JOIN totals t USING (k) LEFT JOIN nodes p ON n.depth > 0 AND p.k = n.k[1:n.depth - 1]"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_decontamination": _DECONTAMINATION,
         "op3_exact_dedup": _EXACT,
         "op10_line_dedup": _LINES,
+        "op13_prefix_trie": _TRIE,
     }

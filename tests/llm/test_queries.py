@@ -12,7 +12,7 @@ from tools.oracle_check import frame_hash
 
 def test_one_query_for_each_operator_and_the_pipeline():
     names = entry.queries()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()) == list(range(1, 14))
     assert set(queries.queries()) | {"pipeline"} <= set(names)
     assert set(queries.oracle_sql()) <= set(entry.oracle_sql()) <= set(names)
 
@@ -23,7 +23,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels", "pages"):
+    for t in ("documents", "benchmark", "labels", "pages", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got, exp = entry.queries()[name](spark, SF).toPandas(), con.execute(entry.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(exp.columns) and frame_hash(got) == frame_hash(exp)
