@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.schemas import RECORD_COLUMNS, REALTIME_COLUMNS, STATION_COLUMNS
@@ -132,10 +132,8 @@ def rejects(snapshots: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame
     return documents.unionByName(ids)
 
 
-def load_report(snapshots: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame:
-    """Documents, what is rejected and why, and station rows, in one pass: ``documents`` =
-    ``corrupt`` + ``empty`` + documents with records; ``station_rows`` = ``bad_ids`` +
-    ``loaded_rows``."""
+def report_columns(snapshots: DataFrame, corrupt: str = "_corrupt_record") -> list[Column]:
+    """The aggregates of ``load_report``, for reports by file or by any other key."""
     broken = F.col(corrupt).isNotNull() if corrupt in snapshots.columns else F.lit(False)
     none = F.col("records").isNull() | (F.size("records") == 0)
     rows = F.when(broken | none, 0).otherwise(F.size("records")).cast("bigint")
@@ -145,10 +143,16 @@ def load_report(snapshots: DataFrame, corrupt: str = "_corrupt_record") -> DataF
     def total(c):
         return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
 
-    return snapshots.agg(
-        F.count(F.lit(1)).alias("documents"), F.count_if(broken).alias("corrupt"),
-        F.count_if(~broken & none).alias("empty"), total(rows).alias("station_rows"),
-        total(bad).alias("bad_ids"), total(rows - bad).alias("loaded_rows"))
+    return [F.count(F.lit(1)).alias("documents"), F.count_if(broken).alias("corrupt"),
+            F.count_if(~broken & none).alias("empty"), total(rows).alias("station_rows"),
+            total(bad).alias("bad_ids"), total(rows - bad).alias("loaded_rows")]
+
+
+def load_report(snapshots: DataFrame, corrupt: str = "_corrupt_record") -> DataFrame:
+    """Documents, what is rejected and why, and station rows, in one pass: ``documents`` =
+    ``corrupt`` + ``empty`` + documents with records; ``station_rows`` = ``bad_ids`` +
+    ``loaded_rows``."""
+    return snapshots.agg(*report_columns(snapshots, corrupt))
 
 
 def expected_rows(snapshots: DataFrame) -> DataFrame:

@@ -66,17 +66,15 @@ def with_next_minute(df: DataFrame, keys: Sequence[str], values: Sequence[str],
 
     The rows of a key and UTC day are at most 1440 and become one sorted array, in which
     the neighbour is the next element. Only the first minute of the following day comes
-    from a window over the days of a key; without keys, from one narrow row a day."""
+    from a window, over one narrow row for each key and day."""
     keys, values = list(keys), list(values)
     rows = F.array_sort(F.collect_list(F.struct(minute, *values)))
     days = df.groupBy(*keys, F.date_trunc("day", F.col(minute)).alias("__day")).agg(rows.alias("__rows"))
-    days = days.withColumn("__first", F.get("__rows", F.lit(0))[minute])
     along = (Window.partitionBy(*keys) if keys else Window.partitionBy()).orderBy("__day")
-    edges = [F.lead("__first").over(along).alias("__after"), F.min("__first").over(along).alias("__start")]
-    if keys:
-        days = days.select("*", *edges)
-    else:
-        days = days.join(days.select("__day", "__first").select("__day", *edges), "__day")
+    edges = (df.groupBy(*keys, F.date_trunc("day", F.col(minute)).alias("__day")).agg(F.min(minute).alias("__first"))
+             .select(*keys, "__day", F.lead("__first").over(along).alias("__after"),
+                     F.min("__first").over(along).alias("__start")))
+    days = days.join(edges, [*keys, "__day"])
     each = F.transform("__rows", lambda r, i: F.struct(r.alias("r"), F.coalesce(
         F.get("__rows", i + 1)[minute], F.col("__after")).alias("next")))
     more = [F.col("__start").alias(first)] if first else []

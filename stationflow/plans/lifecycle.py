@@ -15,24 +15,30 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationflow.functions.timefn import local_date, local_time
-from stationflow.operators import flatten, frames, network, transactions
+from stationflow.functions.timefn import local_date, local_time, ts_literal
+from stationflow.operators import flatten, frames, intervals, network, transactions
+from stationflow.operators.filters import time_range
+from stationflow.operators.repair import touched_dates
 from stationflow.operators.timeaxis import minute_first
-from stationflow.plans import dashboard, maintenance
+from stationflow.plans import dashboard, ledger, maintenance, rollups
 from stationflow.plans.catalog import (_KPIS, _LATEST, _NET, _RECORDS, _STATIONS, BAND, NOW, REPAIR_WINDOW,
                                        SERVICE_START, TZ, _day_text, _fill, _local, _model, _pad, _records,
                                        _snapshots, _ts, _with)
 from stationflow.plans.catalog import ORACLE_SQL as _BASE
-from stationflow.schemas import RECORD_COLUMNS
+from stationflow.schemas import RECORD_COLUMNS, RECORD_DATE, SNAPSHOT
 from stationflow.session import scratch_path
-from stationflow.sources import sinks, tables, testdata
+from stationflow.sources import dated, sinks, tables, testdata
 from stationflow.sources.snapshots import read_snapshots
 from stationflow.streaming.ingest import ingest_stream
+from stationflow.streaming.transactions import kept_transactions, transactions_stream
 
 REPLACED = ("2024-01-05 10:30:00 UTC", "2024-01-07 16:45:00 UTC")
 SHIFTS = (280, 75)  # days onto the autumn and the spring change of 2024
 KPI_NOW = dt.datetime(2024, 1, 30, 18, 0)
 STATION, WEEKDAY = 42, "Monday"
+FIRST_DAY = ("2024-01-05 00:00:00 UTC", "2024-01-05 10:30:00 UTC")  # before the replaced window
+BEFORE = ("2023-12-31 00:00:00 UTC", "2024-01-12 07:30:00 UTC")
+TWO_HOURS = ("2024-01-10 23:00:00 UTC", "2024-01-11 01:00:00 UTC")
 
 
 def _work(spark: SparkSession, name: str) -> str:
@@ -58,7 +64,7 @@ def q_stream_then_repair(spark, sf_dir):
     table = f"{work}/records"
     sinks.write_snapshots_json(_snapshots(spark, sf_dir).drop("capture_minute"), f"{work}/raw")
     ingest_stream(spark, f"{work}/raw", table, f"{work}/_checkpoint", available_now=True).awaitTermination()
-    sinks.append_records(_records(spark, sf_dir).where("station_id % 10 = 0"), table)
+    sinks.append_records(_records(spark, sf_dir), table)
     maintenance.repair_stored(spark, table, *REPAIR_WINDOW)
     return sinks.read_records(spark, table).select(*RECORD_COLUMNS)
 
@@ -129,6 +135,119 @@ def q_load_report(spark, sf_dir):
     return flatten.load_report(read_snapshots(spark, path, keep_corrupt=True))
 
 
+def q_replace_with_concurrent_writers(spark, sf_dir):
+    """A window is replaced while another writer appends the readings of its first day again and
+    a reader has begun: the reader's rows, and the table's rows afterwards."""
+    table = f"{_work(spark, 'concurrent')}/records"
+    records = _records(spark, sf_dir)
+    dated.append(sinks.with_record_date(records), table)
+    before = dated.read(spark, table)
+    first_day = time_range(records, *FIRST_DAY)
+    halved = records.withColumn("nb_available_bikes", F.expr("nb_available_bikes div 2"))
+    calls = []
+
+    def build(stored):
+        if not calls:  # once, after the table was read
+            sinks.append_records(first_day, table)
+        calls.append(1)
+        inside = (F.col("record_timestamp") >= ts_literal(REPLACED[0])) & (F.col("record_timestamp") < ts_literal(REPLACED[1]))
+        kept = stored.where(F.col(RECORD_DATE).isin(days)).where(~inside).select(*RECORD_COLUMNS)
+        return sinks.with_record_date(kept.unionByName(halved.where(inside)))
+
+    days = touched_dates(*REPLACED)
+    dated.replace(spark, table, days, build)
+    after = dated.read(spark, table)
+    return (before.select(F.lit("before").alias("seen"), *RECORD_COLUMNS)
+            .unionByName(after.select(F.lit("after").alias("seen"), *RECORD_COLUMNS)))
+
+
+def q_load_by_ledger(spark, sf_dir):
+    """A folder is loaded in batches of three files, then again, then with more files; the table
+    holds every record once."""
+    work = _work(spark, "ledger")
+    table, raw, book = (f"{work}/{n}" for n in ("records", "raw", "ledger"))
+    docs, late = _snapshots(spark, sf_dir), F.col("capture_minute") >= F.lit(dt.datetime(2024, 1, 16))
+    sinks.write_snapshots_json(docs.where(~late).drop("capture_minute").repartition(8), f"{raw}/first")
+    ledger.load_new(spark, raw, table, book, max_files=3)
+    ledger.load_new(spark, raw, table, book)
+    sinks.write_snapshots_json(docs.where(late).drop("capture_minute"), f"{raw}/second")
+    ledger.load_new(spark, raw, table, book)
+    return dated.read(spark, table).select(*RECORD_COLUMNS)
+
+
+def q_ledger_report(spark, sf_dir):
+    """What the ledger says of two loads: documents and rows by folder; files changed since."""
+    work = _work(spark, "ledger")
+    table, raw, book = (f"{work}/{n}" for n in ("records", "raw", "ledger"))
+    docs, late = _snapshots(spark, sf_dir), F.col("capture_minute") >= F.lit(dt.datetime(2024, 1, 16))
+    sinks.write_snapshots_json(docs.where(~late).drop("capture_minute"), f"{raw}/first")
+    ledger.load_new(spark, raw, table, book)
+    sinks.write_snapshots_json(docs.where(late).drop("capture_minute"), f"{raw}/second")
+    ledger.load_new(spark, raw, table, book)
+    changed = ledger.changed_files(spark, raw, book).agg(F.count(F.lit(1)).alias("changed_files"))
+    folder = F.regexp_extract("path", "/raw/([a-z]+)/", 1).alias("folder")
+    loaded = ledger.loaded_files(spark, book).groupBy(folder).agg(*[F.sum(c).alias(c) for c in ledger.COUNTS])
+    return loaded.select("*", changed.scalar().alias("changed_files"))
+
+
+def _streamed_transactions(reverse: bool):
+    def query(spark, sf_dir):
+        work = _work(spark, "stream-transactions")
+        docs = _snapshots(spark, sf_dir).withColumn("part", F.dayofmonth("capture_minute") % 3)
+        for part in sorted(range(3), reverse=reverse):  # three files that take turns in every three days
+            sinks.write_snapshots_json(docs.where(F.col("part") == part).drop("capture_minute", "part").coalesce(1),
+                                       f"{work}/part-{part}")
+            sinks.write_snapshots_json(spark.read.schema(SNAPSHOT).json(f"{work}/part-{part}").coalesce(1),
+                                       f"{work}/raw", mode="append")
+        transactions_stream(spark, f"{work}/raw", f"{work}/hours", f"{work}/_checkpoint", TZ, lateness="60 days",
+                            available_now=True, max_files_per_trigger=1).awaitTermination()
+        kept = kept_transactions(spark, f"{work}/hours")
+        return kept.select(_day_text(), "hour_of_day", "borrowed", "returned")
+    return query
+
+
+def q_rollup_profile(spark, sf_dir):
+    """Partials kept up over two loads, a replacement and a repair; the profile of all dates."""
+    return rollups.kept_profile(spark, _kept(spark, sf_dir)[1])
+
+
+def q_rollup_network(spark, sf_dir):
+    return rollups.kept_totals(spark, _kept(spark, sf_dir)[1]).select("record_timestamp", "total_bikes", "readings")
+
+
+def _kept(spark, sf_dir) -> tuple[str, str]:
+    work = _work(spark, "rollups")
+    table, kept = f"{work}/records", f"{work}/rollups"
+    records, middle = _records(spark, sf_dir), F.lit(dt.datetime(2024, 1, 12, 7, 30))
+    wrong = records.withColumn("nb_available_bikes", F.col("nb_available_bikes") + 100)
+    rollups.append_kept(wrong.where(F.col("record_timestamp") < middle), table, kept)
+    rollups.append_kept(records.where(F.col("record_timestamp") >= middle), table, kept)
+    rollups.replace_kept(spark, records, table, kept, *BEFORE)
+    rollups.repair_kept(spark, table, kept, *REPAIR_WINDOW)
+    return table, kept
+
+
+def q_value_ranges(spark, sf_dir):
+    """Validity ranges of the bikes of every station, cut at midnight."""
+    ranges = intervals.value_ranges(_records(spark, sf_dir), ["station_id"], ["nb_available_bikes"])
+    return ranges.withColumn(intervals.DAY, F.date_format(intervals.DAY, "yyyy-MM-dd"))
+
+
+def q_value_at(spark, sf_dir):
+    """Bikes of the next station, 37 minutes after each reading."""
+    records = _records(spark, sf_dir)
+    ranges = intervals.value_ranges(records, ["station_id"], ["nb_available_bikes"])
+    points = records.select((F.col("station_id") + 1).alias("station_id"),
+                            (F.col("record_timestamp") + F.make_dt_interval(mins=F.lit(37))).alias("at"))
+    return intervals.value_at(points, ranges, ["station_id"], ["nb_available_bikes"])
+
+
+def q_minutes_on_demand(spark, sf_dir):
+    """Two hours of the dense series of every station, made from the ranges."""
+    ranges = intervals.value_ranges(_records(spark, sf_dir), ["station_id"], ["nb_available_bikes"])
+    return intervals.minutes_between(ranges, *TWO_HOURS, ["station_id"], ["nb_available_bikes"])
+
+
 # --------------------------------------------------------------------------- clock changes
 
 def _shifted(spark, sf_dir, query) -> DataFrame:
@@ -242,6 +361,16 @@ def q_realtime_lookup(spark, sf_dir):
 QUERIES = {
     "load_window_replace": q_load_window_replace,
     "stream_then_repair": q_stream_then_repair,
+    "replace_with_concurrent_writers": q_replace_with_concurrent_writers,
+    "load_by_ledger": q_load_by_ledger,
+    "ledger_report": q_ledger_report,
+    "stream_transactions": _streamed_transactions(reverse=False),
+    "stream_transactions_out_of_order": _streamed_transactions(reverse=True),
+    "rollup_profile": q_rollup_profile,
+    "rollup_network": q_rollup_network,
+    "value_ranges": q_value_ranges,
+    "value_at": q_value_at,
+    "minutes_on_demand": q_minutes_on_demand,
     "index_kpis_latest": q_index_kpis_latest,
     "table_backup_roundtrip": q_table_backup_roundtrip,
     "bronze_roundtrip": q_bronze_roundtrip,
@@ -291,6 +420,27 @@ _ALL_DELTAS = f"""c AS (
   FROM records WHERE station_id IS NOT NULL AND record_timestamp IS NOT NULL)"""
 
 
+_RANGES = """first AS (
+  SELECT station_id, date_trunc('minute', record_timestamp) AS minute,
+         arg_min(nb_available_bikes, record_timestamp) FILTER (nb_available_bikes IS NOT NULL) AS nb_available_bikes
+  FROM records WHERE record_timestamp IS NOT NULL GROUP BY 1, 2),
+spans AS (
+  SELECT *, coalesce(lead(minute) OVER (PARTITION BY station_id ORDER BY minute), minute + INTERVAL 1 MINUTE) AS till
+  FROM first),
+cut AS (
+  SELECT *, CAST(unnest(generate_series(date_trunc('day', minute), till - INTERVAL 1 MINUTE, INTERVAL 1 DAY)) AS DATE) AS d
+  FROM spans),
+ranges AS (
+  SELECT station_id, d AS range_date, greatest(minute, d::TIMESTAMP) AS valid_from,
+         least(till, d::TIMESTAMP + INTERVAL 1 DAY) AS valid_to, nb_available_bikes
+  FROM cut)"""
+
+
+def _repaired(sql: str) -> str:
+    """``sql`` over ``fixed``, the rows that the oracle of the repair gives."""
+    return "WITH fixed AS (" + _BASE["repair_window"] + ")" + sql
+
+
 def _lower(span: str) -> str:
     return {"today": "TIMESTAMP '2024-01-29 23:00:00'", "24h": "TIMESTAMP '2024-01-29 18:00:00'",
             "7d": "TIMESTAMP '2024-01-22 23:00:00'"}[span]
@@ -327,9 +477,51 @@ FROM records""",
 
     "stream_then_repair": _BASE["repair_window"].replace("WITH records AS (", "WITH once AS (", 1).replace(
         "kept AS (", """records AS (
-  SELECT * FROM once WHERE station_id IS NOT NULL UNION ALL SELECT * FROM once WHERE station_id % 10 = 0),
+  SELECT * FROM once WHERE station_id IS NOT NULL UNION ALL SELECT * FROM once),
 kept AS (""", 1),
 
+    "replace_with_concurrent_writers": _with(_RECORDS) + f"""
+SELECT 'before' AS seen, * FROM records
+UNION ALL
+SELECT 'after' AS seen, * REPLACE (CASE WHEN record_timestamp >= {_ts(REPLACED[0])} AND record_timestamp < {_ts(REPLACED[1])}
+                                        THEN nb_available_bikes // 2 ELSE nb_available_bikes END AS nb_available_bikes)
+FROM records
+UNION ALL
+SELECT 'after' AS seen, * FROM records
+WHERE record_timestamp >= {_ts(FIRST_DAY[0])} AND record_timestamp < {_ts(REPLACED[0])}""",
+
+    "load_by_ledger": _with(_RECORDS) + "SELECT * FROM records",
+
+    "ledger_report": _with(_RECORDS) + """
+SELECT CASE WHEN record_timestamp >= TIMESTAMP '2024-01-16' THEN 'second' ELSE 'first' END AS folder,
+       count(DISTINCT (date_trunc('minute', record_timestamp), floor(station_id / 300))) AS documents,
+       0 AS corrupt, 0 AS empty, count(*) AS station_rows, 0 AS bad_ids, count(*) AS loaded_rows, 0 AS changed_files
+FROM records GROUP BY 1""",
+
+    "stream_transactions": _BASE["transactions_by_hour"],
+    "stream_transactions_out_of_order": _BASE["transactions_by_hour"],
+
+    "rollup_profile": _repaired("""
+SELECT station_id, CAST(dayofweek(record_timestamp) + 1 AS INTEGER) AS day_of_week,
+       CAST(hour(record_timestamp) AS INTEGER) AS hour_of_day, avg(nb_available_bikes) AS avg_nb_available_bikes
+FROM fixed WHERE record_timestamp IS NOT NULL GROUP BY 1, 2, 3"""),
+
+    "rollup_network": _repaired("""
+SELECT record_timestamp, CAST(sum(nb_available_bikes) AS BIGINT) AS total_bikes, count(*) AS readings
+FROM fixed WHERE record_timestamp IS NOT NULL GROUP BY 1"""),
+
+    "value_ranges": _with(_RECORDS, _RANGES) + """
+SELECT * REPLACE (strftime(range_date, '%Y-%m-%d') AS range_date) FROM ranges""",
+
+    "value_at": _with(_RECORDS, _RANGES, """points AS (
+  SELECT station_id + 1 AS station_id, record_timestamp + INTERVAL 37 MINUTE AS at FROM records)""") + """
+SELECT p.station_id, p.at, r.nb_available_bikes
+FROM points p LEFT JOIN ranges r ON r.station_id = p.station_id AND p.at >= r.valid_from AND p.at < r.valid_to""",
+
+    "minutes_on_demand": _with(_RECORDS, _fill("records", ["station_id"], "nb_available_bikes", "filled")) + f"""
+SELECT station_id, minute, nb_available_bikes FROM filled
+WHERE minute >= {_ts(TWO_HOURS[0])} AND minute < {_ts(TWO_HOURS[1])}""",
+
     "index_kpis_latest": _BASE["index_kpis"],
 
     "table_backup_roundtrip": _with(_RECORDS) + "SELECT * FROM records",

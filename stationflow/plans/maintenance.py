@@ -1,17 +1,13 @@
 """Stored fact table maintenance: window loads and dead-data repair.
 
-Both rewrite only the dates they touch. The new content of these dates is written to a
-staging folder under the shared checkpoint folder first, so no job reads and overwrites
-one path, and a failure leaves either the old table or a finished staged copy. Then the
-dates are overwritten, each at once as far as the file system renames folders at once;
-dates left without rows are deleted last. A reader meanwhile sees some dates new and some
-old, never a missing one. The staged copy goes when all of that is done.
+The fact table is a dated table (``sources.dated``): the new content of the dates that a load
+or a repair touches becomes visible at one instant, a failure before leaves the old table,
+and rows that the stream or another load appends meanwhile are kept.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,11 +17,15 @@ from stationflow.functions.timefn import to_utc_datetime, ts_literal
 from stationflow.operators.flatten import latest_per_key, load_report, rejects
 from stationflow.operators.repair import WEEK, backfill, repair_window, touched_dates
 from stationflow.schemas import RECORD_COLUMNS, RECORD_DATE, RECORDS, SNAPSHOT_FOR_RECORDS
-from stationflow.session import delete_path, path_exists, scratch_path
-from stationflow.sources import sinks
+from stationflow.session import delete_path, path_exists
+from stationflow.sources import dated, sinks
 from stationflow.sources.snapshots import CORRUPT, read_snapshots
 
 
+class Rejected(ValueError):
+    """A load has rejects and no place to keep them."""
+
+
 def load_window(spark: SparkSession, raw_paths: str | Sequence[str], fact_path: str, start, end,
                 replace: bool = False, strict: bool = True,
                 quarantine_path: str | None = None) -> DataFrame:
@@ -33,32 +33,50 @@ def load_window(spark: SparkSession, raw_paths: str | Sequence[str], fact_path:
     (``flatten.load_report``).
 
     ``replace=False`` appends (re-running duplicates rows, as a plain INSERT does);
-    ``replace=True`` puts the load in the place of the stored rows of the window. Stored
-    rows outside it, and stored rows without a timestamp, stay. ``strict`` fails on a
-    station id that is no whole number; otherwise such records are left out. With
-    ``quarantine_path`` all rejects are written there.
-    """
+    ``replace=True`` puts the load in the place of the stored rows of the window, so that
+    it can be run again. Stored rows outside it, and stored rows without a timestamp, stay.
+    ``strict`` fails on a station id that is no whole number; otherwise such records are left
+    out. All rejects are written to ``quarantine_path``; without it, a cut-off line or (not
+    strict) a bad id fails the load before it writes, as in the stream."""
     docs = read_snapshots(spark, raw_paths, schema=SNAPSHOT_FOR_RECORDS, keep_corrupt=True)
-    if quarantine_path:
-        rejects(docs).write.mode("overwrite").json(quarantine_path)
+    keep_rejects(docs, strict, quarantine_path)
     rows = backfill(docs.where(F.col(CORRUPT).isNull()), start, end, strict)
-    if replace and path_exists(spark, fact_path):
+    dated.adopt(spark, fact_path)
+    if replace and dated.exists(spark, fact_path):
         replace_window(spark, rows, fact_path, start, end)
     else:
-        sinks.append_records(rows, fact_path)
+        dated.append(sinks.with_record_date(rows), fact_path)
     return load_report(docs)
 
 
-def replace_window(spark: SparkSession, rows: DataFrame, fact_path: str, start, end) -> None:
-    """Put ``rows`` in the place of the stored rows of ``[start, end)``. Rows without a
-    timestamp are added to the stored ones."""
-    dates = touched_dates(start, end)
-    stored = sinks.read_records(spark, fact_path)
-    stored = stored.where(F.col(RECORD_DATE).between(dates[0], dates[-1]) | F.col(RECORD_DATE).isNull())
+def keep_rejects(docs: DataFrame, strict: bool, quarantine_path: str | None, what: str = "the load") -> None:
+    """Write what can't be loaded to ``quarantine_path``; without it, fail if there is anything
+    but empty documents. In a strict load a bad id fails the load itself."""
+    if quarantine_path:
+        refused = rejects(docs).where(F.lit(not strict) | (F.col("reason") != "bad_id"))
+        refused.write.mode("overwrite").json(quarantine_path)
+        return
+    report = load_report(docs).first()
+    if report.corrupt or (not strict and report.bad_ids):
+        raise Rejected(f"{what} has rejects; give quarantine_path to keep them")
+
+
+def replace_window(spark: SparkSession, rows: DataFrame, fact_path: str, start, end) -> int:
+    """Put ``rows`` in the place of the stored rows of ``[start, end)``; returns the table's new
+    version. Of rows without a timestamp those are added that aren't stored yet (each as
+    often as it comes), so that a repeated load changes nothing."""
+    days = touched_dates(start, end)
     ts = F.col("record_timestamp")
     inside = (ts >= ts_literal(start)) & (ts < ts_literal(end))
-    kept = stored.where(~F.coalesce(inside, F.lit(False))).select(*RECORD_COLUMNS)
-    _swap_dates(spark, kept.unionByName(rows.select(*RECORD_COLUMNS)), fact_path, dates)
+    fresh = rows.select(*RECORD_COLUMNS)
+
+    def build(stored: DataFrame) -> DataFrame:
+        kept = stored.where(F.col(RECORD_DATE).between(days[0], days[-1])).where(~inside).select(*RECORD_COLUMNS)
+        timeless = stored.where(F.col(RECORD_DATE).isNull()).select(*RECORD_COLUMNS)
+        new = fresh.where(ts.isNull()).exceptAll(timeless)
+        return sinks.with_record_date(kept.unionByName(fresh.where(inside)).unionByName(timeless).unionByName(new))
+
+    return dated.replace(spark, fact_path, [*days, None], build)
 
 
 def repair_stored(spark: SparkSession, fact_path: str, start, end, shift: dt.timedelta = WEEK,
@@ -67,28 +85,18 @@ def repair_stored(spark: SparkSession, fact_path: str, start, end, shift: dt.tim
     lo, hi = to_utc_datetime(start), to_utc_datetime(end)
     touched = touched_dates(lo, hi)
     source = touched_dates(lo - shift, hi - shift)
-    table = sinks.read_records(spark, fact_path)
-    part = table.where(F.col(RECORD_DATE).isin(touched + source)).drop(RECORD_DATE)
+    dated.adopt(spark, fact_path)
     if backup_path:
-        table.where(F.col(RECORD_DATE).isin(touched)).write.mode("errorifexists") \
-            .partitionBy(RECORD_DATE).parquet(backup_path)
-    fixed = repair_window(part, lo, hi, shift) \
-        .where(F.to_date("record_timestamp").isin(touched))
-    _swap_dates(spark, fixed, fact_path, touched)
-    return touched
+        (dated.read(spark, fact_path).where(F.col(RECORD_DATE).isin(touched)).write.mode("errorifexists")
+         .partitionBy(RECORD_DATE).parquet(backup_path))
 
+    def build(stored: DataFrame) -> DataFrame:
+        part = stored.where(F.col(RECORD_DATE).isin(touched + source)).drop(RECORD_DATE)
+        fixed = repair_window(part, lo, hi, shift).where(F.to_date("record_timestamp").isin(touched))
+        return sinks.with_record_date(fixed)
 
-def _swap_dates(spark: SparkSession, rows: DataFrame, fact_path: str, dates: Sequence[dt.date]) -> None:
-    """Make ``rows`` the whole content of their dates, and empty those of ``dates`` that
-    they don't have."""
-    staging = scratch_path(spark, f"swap-{uuid.uuid4().hex[:12]}")
-    sinks.with_record_date(rows).write.mode("errorifexists").parquet(staging)
-    staged = spark.read.parquet(staging)
-    sinks.overwrite_records(staged, fact_path)
-    present = {r[0] for r in staged.select(RECORD_DATE).distinct().collect()}  # a few dates
-    for day in set(dates) - present:
-        delete_path(spark, f"{fact_path.rstrip('/')}/{RECORD_DATE}={day.isoformat()}")
-    delete_path(spark, staging)
+    dated.replace(spark, fact_path, touched, build)
+    return touched
 
 
 def merge_latest(spark: SparkSession, records: DataFrame, path: str) -> None:

@@ -1,9 +1,9 @@
 """Writers: raw archive, bronze, the partitioned fact table and frame datasets.
 
 Column order is fixed by ``select`` before every write, so positional inserts
-cannot shift columns. The fact table is partitioned by ``record_date`` (UTC date
-of ``record_timestamp``) and rewritten with dynamic partition overwrite, so a
-reload or repair replaces only the dates it touches.
+cannot shift columns. Records are partitioned by ``record_date`` (UTC date of
+``record_timestamp``). The fact table that loads, stream and repair share is a dated table
+(``sources.dated``); a plain folder is appended to or overwritten by date here.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stationflow.functions.timefn import local_time
 from stationflow.schemas import RECORD_COLUMNS, RECORD_DATE
+from stationflow.sources import dated
 
 # JSON text keeps microseconds (Spark's default writer format stops at millis).
 JSON_TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -40,41 +41,26 @@ def balanced_by_date(records: DataFrame) -> DataFrame:
 
 
 def append_records(records: DataFrame, path: str, mode: str = "append") -> None:
-    """Append to the fact table (no key: re-appending duplicates rows)."""
+    """Append to the fact table, or to a plain folder where there is none (no key: re-appending
+    duplicates rows)."""
+    if dated.exists(records.sparkSession, path):
+        return dated.append(with_record_date(records), path)
     (balanced_by_date(records).write.mode(mode)
      .option("partitionOverwriteMode", "static").partitionBy(RECORD_DATE).parquet(path))
 
 
-def move_into(spark: SparkSession, staging: str, path: str, prefix: str) -> None:
-    """Move the data files of a finished, date-partitioned folder into the fact table, as
-    ``prefix-<name>`` in the same date folders. Files that were moved before are gone from
-    ``staging``, so a repeated call moves the rest."""
-    jvm = spark._jvm
-    fs_path = jvm.org.apache.hadoop.fs.Path
-    source = fs_path(staging)
-    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
-    for day in fs.listStatus(source):
-        name = day.getPath().getName()
-        if not name.startswith(f"{RECORD_DATE}="):
-            continue
-        fs.mkdirs(fs_path(f"{path}/{name}"))
-        for file in fs.listStatus(day.getPath()):
-            part = file.getPath().getName()
-            if not fs.rename(file.getPath(), fs_path(f"{path}/{name}/{prefix}-{part}")):
-                raise OSError(f"could not move {file.getPath()} to {path}/{name}")
-
-
 def overwrite_records(records: DataFrame, path: str, dynamic: bool = True) -> None:
-    """Overwrite the fact table; with ``dynamic`` only the dates present in
+    """Overwrite a plain folder of records; with ``dynamic`` only the dates present in
     ``records`` are replaced."""
     (balanced_by_date(records).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy(RECORD_DATE).parquet(path))
 
 
-def read_records(spark, path: str) -> DataFrame:
-    """The stored fact table; filters on ``record_date`` prune partitions."""
-    return spark.read.parquet(path)
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The stored fact table, a dated table or a plain folder; filters on ``record_date`` prune
+    partitions."""
+    return dated.read(spark, path) if dated.exists(spark, path) else spark.read.parquet(path)
 
 
 def write_bronze(snapshots: DataFrame, path: str, mode: str = "overwrite") -> None:

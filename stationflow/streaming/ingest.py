@@ -1,8 +1,8 @@
 """Minute ingest as a Structured Streaming job.
 
 New snapshot files in a folder are picked up per micro-batch, flattened by the same
-function as the batch load and added to the date-partitioned fact table, which stays a
-plain Parquet folder: batch appends, window loads and repairs may use it as well.
+function as the batch load and added to the fact table, a dated table that batch appends,
+window loads and repairs use as well, also at the same time.
 
 A micro-batch is written to a folder of its own first; then its files are moved into the
 table under names that tell the batch. A replayed batch finds its finished folder and
@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from stationflow.operators.flatten import flatten_snapshots, rejects
+from stationflow.operators.flatten import flatten_snapshots
+from stationflow.plans.maintenance import keep_rejects
 from stationflow.schemas import SNAPSHOT, SNAPSHOT_FOR_RECORDS
-from stationflow.session import path_exists
-from stationflow.sources.sinks import append_records, move_into
+from stationflow.sources import dated
+from stationflow.sources.sinks import with_record_date
 from stationflow.sources.snapshots import CORRUPT
 
 
@@ -35,6 +36,15 @@ def snapshot_stream(spark: SparkSession, source_dir: str,
     return reader.json(source_dir)
 
 
+def started(writer, checkpoint: str, trigger: str | None, available_now: bool) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return writer.start()
+
+
 def ingest_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoint: str,
                   trigger: str | None = "1 minute", available_now: bool = False,
                   strict: bool = True, quarantine_path: str | None = None,
@@ -50,23 +60,12 @@ def ingest_stream(spark: SparkSession, source_dir: str, sink_path: str, checkpoi
     def write(batch: DataFrame, batch_id: int) -> None:
         docs = batch.persist()
         try:
-            refused = rejects(docs).where(F.lit(not strict) | (F.col("reason") != "bad_id"))
-            if quarantine_path:
-                refused.write.mode("overwrite").json(f"{quarantine_path}/batch={batch_id}")
-            elif not refused.where("reason <> 'empty'").isEmpty():
-                raise ValueError(f"batch {batch_id} has rejects; give quarantine_path to keep them")
-            staging = f"{checkpoint}/staged/{batch_id}"
-            if not path_exists(spark, f"{staging}/_SUCCESS"):
-                good = flatten_snapshots(docs.where(F.col(CORRUPT).isNull()), strict)
-                append_records(good.where(F.col("station_id").isNotNull()), staging, mode="overwrite")
-            move_into(spark, staging, sink_path, f"batch-{batch_id}")
+            keep_rejects(docs, strict, quarantine_path and f"{quarantine_path}/batch={batch_id}", f"batch {batch_id}")
+            good = flatten_snapshots(docs.where(F.col(CORRUPT).isNull()), strict)
+            dated.append(with_record_date(good.where(F.col("station_id").isNotNull())), sink_path,
+                         f"batch-{batch_id}", f"{checkpoint}/staged/{batch_id}")
         finally:
             docs.unpersist()
 
     docs = snapshot_stream(spark, source_dir, max_files_per_trigger, SNAPSHOT_FOR_RECORDS)
-    writer = docs.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif trigger:
-        writer = writer.trigger(processingTime=trigger)
-    return writer.start()
+    return started(docs.writeStream.foreachBatch(write), checkpoint, trigger, available_now)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from stationflow.operators.filters import time_range
 from stationflow.operators.repair import repair_window
 from stationflow.plans.maintenance import load_window, merge_latest, read_latest, repair_stored
-from stationflow.sources import sinks
+from stationflow.sources import dated, sinks
 
 from conftest import records_df
 from test_flatten import _doc, _rec
@@ -32,18 +32,18 @@ def test_repair_stored_rewrites_only_touched_dates(spark, tmp_path):
     data = [(k, S, d, 0, f"2023-11-{d:02d} {h:02d}:00:00") for k in (1, 2) for d in range(10, 25)
             for h in (1, 12, 23)]
     r = records_df(spark, data)
-    sinks.append_records(r, fact)
-    before = {p: os.path.getmtime(os.path.join(fact, p)) for p in os.listdir(fact)
-              if p.startswith("record_date=")}
+    dated.append(sinks.with_record_date(r), fact)
+    before = set(dated.read(spark, fact).where("record_date = '2023-11-10'").inputFiles())
     dates = repair_stored(spark, fact, "2023-11-22 10:00:00 UTC", "2023-11-23 13:40:00 UTC",
                           backup_path=str(tmp_path / "backup"))
     assert [d.isoformat() for d in dates] == ["2023-11-22", "2023-11-23"]
     got = sinks.read_records(spark, fact).drop("record_date")
     exp = repair_window(r, "2023-11-22 10:00:00 UTC", "2023-11-23 13:40:00 UTC")
     assert got.subtract(exp).count() == 0 and exp.subtract(got).count() == 0
-    after = {p: os.path.getmtime(os.path.join(fact, p)) for p in os.listdir(fact)
-             if p.startswith("record_date=")}
-    assert before["record_date=2023-11-10"] == after["record_date=2023-11-10"]
+    after = set(dated.read(spark, fact).where("record_date = '2023-11-10'").inputFiles())
+    assert before <= after and {"record_date=" + d.isoformat() for d in dates} == {
+        p for g in os.listdir(fact) if g.startswith("gen=") and g != "gen=0"
+        for p in os.listdir(os.path.join(fact, g)) if p.startswith("record_date=")}
     assert spark.read.parquet(str(tmp_path / "backup")).count() == 12
 
 
@@ -75,7 +75,6 @@ def test_replacing_half_a_day_keeps_the_other_half_and_rows_without_a_time(spark
     load_window(spark, raw, fact, "2023-09-27 12:00:00 UTC", "2023-09-28 12:00:00 UTC", replace=True)
     got = sorted(r.station_id for r in sinks.read_records(spark, fact).collect())
     assert got == [1, 3, 4, 6, 20, 30]
-    assert not os.path.exists(os.path.join(fact, "record_date=2023-09-28"))
 
 
 def test_rejects_are_counted_and_kept(spark, tmp_path):

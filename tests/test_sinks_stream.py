@@ -58,13 +58,13 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path):
             fh.write(json.dumps(_doc(recs)))
     q = ingest_stream(spark, src, sink, ckpt, available_now=True)
     q.awaitTermination(120)
-    streamed = spark.read.parquet(sink).drop("record_date")
+    streamed = sinks.read_records(spark, sink).drop("record_date")
     batch = flatten_snapshots(read_snapshots(spark, src))
     assert streamed.count() == 9
     assert streamed.subtract(batch).count() == 0 and batch.subtract(streamed).count() == 0
     q = ingest_stream(spark, src, sink, ckpt, available_now=True)   # restart: nothing new
     q.awaitTermination(120)
-    assert spark.read.parquet(sink).count() == 9
+    assert sinks.read_records(spark, sink).count() == 9
 
 
 def test_stream_table_takes_appends_and_repairs_and_replays_nothing(spark, tmp_path):
