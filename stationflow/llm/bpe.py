@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .common import small_batches
 
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 150_000
 _NEVER = np.int64(1) << 40
 
 

@@ -97,14 +97,23 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
-def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+def stored_at(df: DataFrame, name: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """Write a table to the shared folder and read it back, with its path: the lineage is
     cut, and a lost executor costs a re-read instead of a recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{os.urandom(8).hex()}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    return stored_at(df, name)[0]
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
+    return stored_at(df, name, compression)[0]
+
+
+BROADCAST_KEYS = 1_000_000
+
+
+def join_small(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """``join_rows`` with a stored table of few columns, broadcast if it has no more than
+    BROADCAST_KEYS rows; beyond that both sides are shuffled."""
+    return join_rows(rows, F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, how)

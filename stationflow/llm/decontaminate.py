@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW_ID, ROW_TEXT, drop_row_key, join_rows, keyed, lower_ascii, with_row_key
+from .common import (ROW_ID, ROW_TEXT, drop_row_key, join_rows, join_small, keyed, lower_ascii, stored,
+                     with_row_key)
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -87,8 +88,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", tex
     return out.select(F.col(ROW_ID).alias(doc_id), "n_words", "n_hit", "spans", "item_ids", "contaminated")
 
 
-def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str = "item_id",
-            item_text: str = "text", window: int = 10, gram: int = 6) -> DataFrame:
+def _hits(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id: str = "item_id",
+          item_text: str = "text", window: int = 10, gram: int = 6) -> DataFrame:
+    """Row key, ``n_hit``, ``spans`` and ``item_ids`` of the documents that hold an item window."""
     reach = window - gram
     if not 0 < gram < window:
         raise ValueError("gram must be at least 1 and less than window")
@@ -123,7 +125,7 @@ def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id:
              .agg(F.collect_set(F.struct("len", "pos", "hash")).alias("marks")))
 
     # The words around each common fingerprint, nearest first on the left.
-    again = (join_rows(base, found, "inner")
+    again = (join_small(base, stored(found, "marked-documents"), "inner")
              .select(ROW_ID, ROW_TEXT, plain_words(F.col("__text")).alias("words"), "marks"))
     doc_side = _around(again.select(ROW_ID, ROW_TEXT, "words", F.explode("marks").alias("m"))
                        .select(ROW_ID, ROW_TEXT, "words", "m.*"), gram, reach, ROW_ID, ROW_TEXT)
@@ -145,9 +147,13 @@ def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, item_id:
     places_hit = F.array_sort(F.array_distinct(F.flatten(
         F.transform("raw", lambda s: F.sequence(s["start"], s["end"] - 1)))))
     per_doc = per_doc.select(ROW_ID, ROW_TEXT, "item_ids", places_hit.alias("hit"))
-    per_doc = per_doc.select(ROW_ID, ROW_TEXT, "item_ids", F.size("hit").cast("bigint").alias("n_hit"),
-                             _runs("hit").alias("spans"))
+    return per_doc.select(ROW_ID, ROW_TEXT, "item_ids", F.size("hit").cast("bigint").alias("n_hit"),
+                          _runs("hit").alias("spans"))
 
+
+def _judged(docs: DataFrame, items: DataFrame, doc_id: str, text: str, *params) -> DataFrame:
+    per_doc = _hits(docs, items, doc_id, text, *params)
+    base = keyed(docs, doc_id, text)
     counted = base.select(ROW_ID, ROW_TEXT,
                           F.size(plain_words(F.col("__text"))).cast("bigint").alias("n_words"))
     none = F.array()
@@ -188,6 +194,8 @@ def _runs(places: str) -> Column:
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                       **params) -> DataFrame:
-    """The documents, all columns, without those that hold any item window."""
-    hit = _judged(docs, items, doc_id, text, **params).where("contaminated").select(ROW_ID, ROW_TEXT)
-    return drop_row_key(join_rows(with_row_key(docs, doc_id, text), hit, "left_anti"))
+    """The documents, all columns, without those that hold any item window. Null, empty and
+    repeated texts, items and tables as in ``decontaminate``: null and empty texts stay, rows
+    repeated with one id and text all stay or all go."""
+    hit = _hits(docs, items, doc_id, text, **params).select(ROW_ID, ROW_TEXT)
+    return drop_row_key(join_small(with_row_key(docs, doc_id, text), stored(hit, "contaminated"), "left_anti"))

@@ -4,18 +4,28 @@ The base needs the count of every token. Counts come from one aggregation over a
 training texts. The ``head`` most frequent tokens (a fixed number, of bounded length) are
 broadcast; the other tokens of each text are joined with the full table of counts.
 
-The model predicts each token from the word before it, the word before that (a skip
-feature) and both together (an n-gram feature). The softmax is factored: first the class of
-the token, then the word in its class, each by the yes-or-no decisions along a Huffman
-tree. Every head token has a leaf of its own; one more leaf holds all tokens beyond the
-head, which share its probability as in the base. A weight belongs to a feature and a
-decision, hashed to a cell; with no weights learned the model is the base.
-
-Training is distributed and goes by rounds of generalized iterative scaling: with fixed
-weights, each task counts for each cell how often it was met and how often the decision was
-yes, and adds up how often the model expected yes; Spark sums these over all tasks and the
-weights move once by the totals. So they depend on the tokens and not on how rows are
-split into tasks. The number of cells grows with the tokens, up to a broadcast of 32 MB.
+The model predicts each token from the word before it (an n-gram feature) and the word before
+that (a skip feature). Words of fewer than CONTEXT_LEAST counts are one context, as are
+the places before a text.
+
+The softmax is factored by classes, all the way down: a class is a node of a Huffman tree over
+the tokens, its members are its two children, and P(token) is the product of the softmax
+over the members of each class on the way. Over two members a softmax is a yes-or-no
+decision whose logit is a sum of weights, one for each feature; so each factor, and
+with it the product, is a maximum-entropy model, and no sum runs over more than two members.
+Every head token has a leaf; one more leaf holds all tokens beyond the head, which share its
+probability as in the base. Classes of fewer than CLASS_LEAST counts have the odds of the
+base: what a context says of them can't be told from so few. A weight belongs to a feature and
+a class, hashed to a cell; with no weights learned the model is the base.
+
+Training is distributed and goes by gradient updates: the training texts are dealt into ROUNDS
+parts by a hash. In a round, with fixed weights, each task adds up for every cell the gradient
+of the log-likelihood (yes less expected) and its curvature over the texts of one part; Spark
+sums these over the tasks, and the weights move once, by the gradient over the curvature of all
+rounds so far. So each text is learned from once, and weights depend on the texts and not on
+how rows are split into tasks. The number of cells grows with the tokens, up to a broadcast of
+16 MB; a task covers a token a cell at least, so what tasks send doesn't depend on how many
+cores there are, and is 4 bytes a token at most.
 """
 
 from __future__ import annotations
@@ -36,11 +46,12 @@ from .common import (ROW_ID, ROW_TEXT, blank_words, fold, join_rows, keyed, lowe
                      stored)
 
 HEAD, HEAD_BYTES = 1 << 18, 64
-CLASSES, CLASS_WORDS = 513, 512  # class 0 is all beyond the head
-CELLS, TOKENS_A_CELL = (16, 23), 1  # bits of the number of weights, at least and at most
+CELLS, TOKENS_A_CELL = (18, 22), 16  # bits of the number of weights, at least and at most
+CONTEXT_LEAST, CLASS_LEAST = 8, 8
+ROUNDS = 3
 DEPTH = 4  # decisions of a run; its part of the tree has 15, in 16 neighbouring cells
-BLOCK = 1 << 10  # cells in a row of sums
-FEATURES, CALM = 3, 8.0
+BLOCK = 1 << 14  # cells in a row of sums
+CALM, SHARE = 6.0, 0.6  # curvature that every cell starts with; how much of a step each feature takes
 SLICE = 1 << 13  # tokens at a time
 END = ""
 
@@ -69,10 +80,10 @@ def head_tokens(counts: DataFrame) -> DataFrame:
     return short.where(level >= least)
 
 
-def _mix(first: np.ndarray, second: np.ndarray | int, kind: int) -> np.ndarray:
-    """64-bit hash of a feature or a decision by its parts."""
+def _mix(first: np.ndarray, kind: int) -> np.ndarray:
+    """64-bit hash of a feature or a class."""
     x = first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(kind)
-    x = (x ^ (x >> np.uint64(29))) + np.asarray(second).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xFF51AFD7ED558CCD)
     return x ^ (x >> np.uint64(33))
 
@@ -101,8 +112,10 @@ class Model:
         if hasattr(self, "index"):
             return self
         raw = [t.encode("utf-8", "surrogatepass") for t in self.tokens]
-        self.hashes = np.array([zlib.crc32(t) for t in raw] or [0], np.int64)
-        self.base = np.log10((np.array(self.counts or [0], float) + 0.5) / self.mass)
+        counts = np.array(self.counts or [0], np.int64)
+        # Contexts: 0 for rare words, 1 and 2 for the places before a text.
+        self.contexts = np.where(counts >= CONTEXT_LEAST, np.array([zlib.crc32(t) for t in raw] or [0]) + 3, 0)
+        self.base = np.log10((counts + 0.5) / self.mass)
         self.unseen = np.log10(0.5 / self.mass)
         beyond = self.n - sum(self.counts) + 0.5 * (self.v + 1 - len(self.counts))
         self.other = np.log10(beyond / self.mass)
@@ -111,63 +124,63 @@ class Model:
         return self
 
     def _tree(self, weight: list[float]) -> None:
-        """Huffman trees of the words of each class and of the classes. ``code`` lists for
-        each leaf (the last is all beyond the head), from the root on, twice the decision
-        plus the side. Every DEPTH levels make a run, whose decisions are neighbouring cells."""
-        words = len(weight) - 1
-        parent, side = [0] * len(weight), [0] * len(weight)
-
-        def joined(nodes: list[int]) -> int:
-            heap = [(weight[i], i) for i in nodes]
-            heapq.heapify(heap)
-            while len(heap) > 1:
-                (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
-                new = len(weight)
-                parent[i] = parent[j] = new
-                side[j] = 1
-                weight.append(a + b)
-                parent.append(new)
-                side.append(0)
-                yes.append(b / a)
-                heapq.heappush(heap, (a + b, new))
-            return heap[0][1]
-
-        yes: list[float] = []
-        roots = [joined(list(range(a, min(a + CLASS_WORDS, words)))) for a in range(0, words, CLASS_WORDS)]
-        root = joined([words, *roots])
-        up, sides = np.array(parent), np.array(side)
-        self.bias = np.log(np.array(yes or [1.0])).astype(np.float32)
-        leaf = np.arange(words + 1)
+        """The Huffman tree of the tokens. ``code`` lists for each leaf (the last is all beyond
+        the head), from the root on, twice the class plus the member, as far as classes have
+        CLASS_LEAST counts; ``rest`` is the logarithm of what the base says of the others.
+        Every DEPTH levels make a run, whose classes are neighbouring cells."""
+        leaves = len(weight)
+        parent, side = [0] * leaves, [0] * leaves
+        heap = [(w, i) for i, w in enumerate(weight)]
+        heapq.heapify(heap)
+        while len(heap) > 1:
+            (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
+            new = len(weight)
+            parent[i] = parent[j] = new
+            side[j] = 1
+            weight.append(a + b)
+            parent.append(new)
+            side.append(0)
+            heapq.heappush(heap, (a + b, new))
+        up, sides, mass = np.array(parent), np.array(side), np.array(weight)
+        inner = max(len(weight) - leaves, 1)
+        yes = np.full(inner, 0.5)
+        second = np.flatnonzero(sides)
+        yes[up[second] - leaves] = mass[second] / mass[up[second]]
+        self.bias = np.log(yes / (1 - yes)).astype(np.float32)
+        root = len(weight) - 1
+        leaf = np.arange(leaves)
         at, found = leaf, []
+        self.rest = np.zeros(leaves)
         while len(at):
             on = at != root
             leaf, at = leaf[on], at[on]
-            found.append((leaf, 2 * (up[at] - words - 1) + sides[at]))
+            learned = mass[up[at]] >= CLASS_LEAST
+            small = ~learned
+            self.rest[leaf[small]] += np.log10(mass[at[small]] / mass[up[at[small]]])
+            found.append((leaf[learned], 2 * (up[at[learned]] - leaves) + sides[at[learned]]))
             at = up[at]
-        leaves = np.concatenate([x for x, _ in found[::-1]])
-        order = np.argsort(leaves, kind="stable")
-        self.code = np.concatenate([x for _, x in found[::-1]])[order].astype(np.int32)
-        self.length = np.bincount(leaves, minlength=words + 1)
+        of = np.concatenate([x for x, _ in found[::-1]] or [np.zeros(0, np.int64)])
+        order = np.argsort(of, kind="stable")
+        self.code = np.append(np.concatenate([x for _, x in found[::-1]] or [of])[order], 0).astype(np.int32)
+        self.length = np.bincount(of, minlength=leaves)
         self.start = np.cumsum(self.length) - self.length
-        inner = max(len(weight) - words - 1, 1)
         depth, top, slot = [0] * inner, list(range(inner)), [1] * inner
         for i in range(inner - 2, -1, -1):  # parents come after their children
-            above = parent[i + words + 1] - words - 1
+            above = parent[i + leaves] - leaves
             depth[i] = depth[above] + 1
             if depth[i] % DEPTH:
-                top[i], slot[i] = top[above], 2 * slot[above] + side[i + words + 1]
-        self.slot = np.array(slot)
-        self.run_hash = _mix(np.array(top), 0, 7)
+                top[i], slot[i] = top[above], 2 * slot[above] + side[i + leaves]
+        self.slot = np.array(slot, np.int32)
+        self.run_hash = _mix(np.array(top), 7)
 
 
 @dataclass
 class Tokens:
-    """Tokens of several texts in a row: head index (-1 beyond the head), hash, first
-    token of each text and the hashes of the two words before each token."""
+    """Tokens of several texts in a row: head index (-1 beyond the head), first token of each
+    text and the contexts that the two words before each token are."""
 
     words: list[bytes]
     ids: np.ndarray
-    hashes: np.ndarray
     starts: np.ndarray
     before: np.ndarray
     skipped: np.ndarray
@@ -182,21 +195,19 @@ def tokenize(texts: list[str | None], model: Model) -> Tokens:
         words.append(b"")
     get = model.index.get
     ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
-    hashes = model.hashes[np.maximum(ids, 0)]
-    for i in np.nonzero(ids < 0)[0].tolist():
-        hashes[i] = zlib.crc32(words[i])
+    own = np.where(ids >= 0, model.contexts[np.maximum(ids, 0)], 0)
     first = np.array(starts, np.int64)
-    before = np.concatenate([[1], hashes[:-1]]) if words else hashes
-    before[first] = 1  # nothing before
-    skipped = np.concatenate([[2], before[:-1]]) if words else hashes.copy()
+    before = np.concatenate([[1], own[:-1]]) if words else own
+    before[first] = 1
+    skipped = np.concatenate([[2], before[:-1]]) if words else own.copy()
     skipped[first] = 2
-    return Tokens(words, ids, hashes, first, before, skipped)
+    return Tokens(words, ids, first, before, skipped)
 
 
 def _decisions(model: Model, t: Tokens, a: int, z: int):
-    """All decisions of the tokens: token, whether yes, logit, and the cells of its features."""
+    """All learned decisions of the tokens: token, whether yes, logit, and the cells of its
+    features."""
     leaf = np.where(t.ids[a:z] < 0, len(model.tokens), t.ids[a:z])
-    before, skipped = t.before[a:z], t.skipped[a:z]
     lengths = model.length[leaf]
     runs = -(-lengths // DEPTH)
     of = np.repeat(np.arange(z - a), runs)  # the token of each run
@@ -210,101 +221,102 @@ def _decisions(model: Model, t: Tokens, a: int, z: int):
     table = model.weights[0]
     shift = np.uint64(64 - (len(table).bit_length() - 1))
     logit, slot, cells = model.bias[decision], model.slot[decision], []
-    for feature in (_mix(before, 0, 1), _mix(skipped, 0, 2), _mix(before, skipped, 3)):
-        x = ((feature[of] ^ run_hash) * np.uint64(0x9E3779B97F4A7C15)) >> shift
-        cells.append(x.view(np.int64)[run] ^ slot)
+    for kind, context in enumerate((t.before[a:z], t.skipped[a:z]), 1):
+        x = ((_mix(context, kind)[of] ^ run_hash) * np.uint64(0x9E3779B97F4A7C15)) >> shift
+        cells.append(x.astype(np.int32)[run] ^ slot)
         logit += table[cells[-1]]
     return of[run], (code & 1).astype(bool), logit, cells
 
 
 def model_scores(model: Model, t: Tokens) -> np.ndarray:
     """log10 probability of each token; a token beyond the head counts as one not seen in training."""
-    out = np.where(t.ids < 0, model.unseen - model.other, 0.0)
+    out = model.rest[np.where(t.ids < 0, len(model.tokens), t.ids)] + np.where(t.ids < 0, model.unseen - model.other, 0.0)
     for a in range(0, len(out), SLICE):
         z = min(a + SLICE, len(out))
         token, yes, logit, _ = _decisions(model, t, a, z)
         against = np.exp(np.minimum(np.where(yes, -logit, logit), 80))
-        out[a:z] -= np.bincount(token, weights=np.log(1 + against), minlength=z - a) / np.log(10)
+        out[a:z] -= np.bincount(token, weights=np.log1p(against), minlength=z - a) / np.log(10)
     return out
 
 
 class Sums:
-    """For each cell: how often yes was expected and, if asked for, how often it was met (times
-    2^32) and how often the decision was yes, in one number."""
+    """For each cell the gradient (yes less expected) and the curvature of the log-likelihood."""
 
-    def __init__(self, size: int, count: bool = True):
-        self.expected, self.seen = np.zeros(size), np.zeros(size if count else 0, np.int64)
+    def __init__(self, size: int):
+        self.gradient, self.curvature = np.zeros(size), np.zeros(size)
 
     def add(self, model: Model, t: Tokens) -> None:
         for a in range(0, len(t.ids), SLICE):
             _, yes, logit, cells = _decisions(model, t, a, min(a + SLICE, len(t.ids)))
-            p = (1 / (1 + np.exp(-np.maximum(logit, -80)))).astype(float)
-            once = yes + np.int64(1 << 32)
+            p = (1 / (1 + np.exp(-np.clip(logit, -60, 60)))).astype(float)
+            slope, bend = yes - p, p * (1 - p)
             for cell in cells:
-                np.add.at(self.expected, cell, p)
-                if len(self.seen):
-                    np.add.at(self.seen, cell, once)
+                np.add.at(self.gradient, cell, slope)
+                np.add.at(self.curvature, cell, bend)
 
 
-def moves(met: np.ndarray, yes: np.ndarray, expected: np.ndarray) -> np.ndarray:
-    """What a round adds to weights: the log odds of what was seen, eased by CALM expected
-    decisions, against what was expected, shared among the features of a decision."""
-    n = np.maximum(met, 1)
-    p = np.clip(expected / n, 1e-6, 1 - 1e-6)
-    seen = (yes + CALM * p) / (n + CALM)
-    move = np.log(seen / (1 - seen)) - np.log(p / (1 - p))
-    return np.where(met > 0, move / FEATURES, 0).astype(np.float32)
+def packed(values: np.ndarray) -> tuple[float, bytes]:
+    """Numbers as shares of the largest, in 16 bits each."""
+    most = float(np.abs(values).max()) or 1.0
+    return most, (values / most).astype(np.float16).tobytes()
 
 
-def train(texts: DataFrame, counts: DataFrame, rounds: int = 2) -> Model:
-    """A model of ``texts`` (column __text): every round sums over all texts and moves once.
-    More rounds bring the weights nearer to what was seen; two is the documented schedule."""
+def unpacked(most: float, raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.float16).astype(float) * most
+
+
+SUMS = "block int, g double, gradient binary, c double, curvature binary"
+
+
+def _sum_rows(sums: Sums) -> Iterator[pd.DataFrame]:
+    size = min(BLOCK, len(sums.gradient))
+    gradient, curvature = sums.gradient.reshape(-1, size), sums.curvature.reshape(-1, size)
+    for block in np.flatnonzero(curvature.any(1)).tolist():
+        yield pd.DataFrame([(block, *packed(gradient[block]), *packed(curvature[block]))],
+                           columns=["block", "g", "gradient", "c", "curvature"])
+
+
+def _total(pdf: pd.DataFrame) -> pd.DataFrame:
+    gradient = sum(unpacked(m, b) for m, b in zip(pdf["g"], pdf["gradient"]))
+    curvature = sum(unpacked(m, b) for m, b in zip(pdf["c"], pdf["curvature"]))
+    return pd.DataFrame([(pdf["block"].iloc[0], *packed(gradient), *packed(curvature))],
+                        columns=["block", "g", "gradient", "c", "curvature"])
+
+
+def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
+    """A model of ``texts`` (column __text), each learned from in one of the rounds."""
     spark = texts.sparkSession
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     head = head_tokens(counts).toPandas().sort_values(["c", "token"], ascending=[False, True])
     size = 1 << cell_bits(int(n))
     model = Model(head["token"].tolist(), head["c"].tolist(), int(n), int(v), [np.zeros(size, np.float32)])
     small_batches(spark)
-    # A task returns a sum for each cell, so none is cut smaller than two tokens a cell.
-    fewer = texts.select("__text").coalesce(max(spark.sparkContext.defaultParallelism, int(n or 0) // (2 * size)))
-    met, yes = np.zeros((2, size), np.float32)
+    part = F.pmod(F.xxhash64("__text"), F.lit(rounds))
+    tasks = max(1, int(n or 0) // (max(rounds, 1) * size))
+    curvature = np.full(size, CALM)
     for nth in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)  # head and weights: of bounded size
-        first = nth == 0  # what was seen stays the same in all rounds
 
-        def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def learn(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             given = sent.value.ready()
-            sums = Sums(size, first)
+            sums = Sums(size)
             for pdf in batches:
                 sums.add(given, tokenize(pdf["__text"].tolist(), given))
-            expected, seen = sums.expected.reshape(-1, BLOCK), sums.seen.reshape(-1, BLOCK)
-            blocks = np.nonzero(expected.any(1))[0].astype(np.int32)
-            for a in range(0, len(blocks), 64):
-                rows = blocks[a:a + 64]
-                yield pd.DataFrame({"block": rows, "expected": [expected[i].astype(np.float32).tobytes() for i in rows],
-                                    "seen": [seen[i].tobytes() if first else b"" for i in rows]})
-
-        def total(pdf: pd.DataFrame) -> pd.DataFrame:
-            expected, both = np.zeros(BLOCK), np.zeros((2, BLOCK if first else 0))
-            for x, y in zip(pdf["expected"], pdf["seen"]):
-                expected += np.frombuffer(x, np.float32)
-                seen = np.frombuffer(y, np.int64)
-                both += seen >> 32, seen & 0xFFFFFFFF
-            return pd.DataFrame({"block": pdf["block"].iloc[:1], "expected": [expected.astype(np.float32).tobytes()],
-                                 "seen": [both.astype(np.float32).tobytes()]})
-
-        schema = "block int, expected binary, seen binary"
-        summed = fewer.mapInPandas(learn, schema).groupBy("block").applyInPandas(total, schema).toPandas()
-        for block, x, y in zip(summed["block"], summed["expected"], summed["seen"]):
-            at = slice(block * BLOCK, (block + 1) * BLOCK)
-            if first:
-                met[at], yes[at] = np.frombuffer(y, np.float32).reshape(2, BLOCK)
-            model.weights[0][at] += moves(met[at], yes[at], np.frombuffer(x, np.float32).astype(float))
+            yield from _sum_rows(sums)
+
+        rows = texts.where(part == nth).select("__text").coalesce(tasks)
+        summed = rows.mapInPandas(learn, SUMS).groupBy("block").applyInPandas(_total, SUMS).toPandas()
+        for r in summed.itertuples():
+            bend = unpacked(r.c, r.curvature)
+            at = slice(r.block * len(bend), (r.block + 1) * len(bend))
+            curvature[at] += bend
+            model.weights[0][at] += (SHARE * unpacked(r.g, r.gradient) / curvature[at]).astype(np.float32)
+        sent.destroy()
     return model
 
 
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out_fold: int = 1,
-              rounds: int = 2) -> DataFrame:
+              rounds: int = ROUNDS) -> DataFrame:
     """One row per document row: id, ``held_out`` (crc32 of the id as text mod 5 is
     ``held_out_fold``; a null id is not), ``n_tokens``, ``n_known`` (tokens seen in training),
     ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities of the text).
@@ -317,7 +329,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_
     rows = keyed(docs, doc_id, text)
     texts = rows.where(fold(F.col(ROW_ID)) != held_out_fold).select("__text")
     counts = stored(token_counts(texts), "token-counts")
-    model = train(texts, counts, rounds)
+    model = train(texts.withColumn("__text", F.coalesce("__text", F.lit(""))), counts, rounds)
     sent = spark.sparkContext.broadcast(model)
     tail = T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("k", T.LongType())]))
     schema = T.StructType([rows.schema[ROW_ID], rows.schema[ROW_TEXT], T.StructField("n_tokens", T.LongType()),

@@ -94,7 +94,7 @@ def q_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokenizer_path("piece_bpe_32k.model")
     aligned = stored(token_align.alignments(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
-                                            model), "token-groups")
+                                            model), "token-groups", "zstd")
     digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
     rows = aligned.select("doc_id", "n_a", "n_b", digest.alias("groups_sha256"), "links")
     found = token_align.count_links(rows, token_align.pieces(model))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ROW_ID, ROW_TEXT, drop_row_key, join_rows, keyed, small_batches, stored, with_row_key
+from .common import ROW_ID, ROW_TEXT, join_small, keyed, small_batches, stored, with_row_key
 from .components import connected_components
 from .golay import keys
 
@@ -125,8 +125,19 @@ def simhash_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
                **params) -> DataFrame:
-    """The documents, all columns: of each component the row with the smallest id (null
-    ids last). Repeated rows with one id and text are one document and stay together."""
+    """The documents, all columns: of each component one row, that with the smallest id (null
+    ids last). Of rows repeated with one id and text any one is kept. Null and empty texts are
+    one component; an empty table gives no rows."""
     groups = simhash_groups(docs, doc_id, text, shingle, **params)
-    stay = groups.select(f"least.{ROW_ID}", f"least.{ROW_TEXT}").distinct()
-    return drop_row_key(join_rows(with_row_key(docs, doc_id, text), stay, "left_semi"))
+    key = F.struct(F.col(ROW_ID).isNull().alias("no_id"), ROW_ID, ROW_TEXT)
+    rows = stored(groups.groupBy(ROW_ID, ROW_TEXT).agg(
+        F.max((key == F.col("least")).cast("int")).alias("first"), F.count(F.lit(1)).alias("n")), "near-rows")
+    # Rows that go, and rows that come more than once, are few; all others stay where they are.
+    away = rows.where("first = 0 or n > 1").select(ROW_ID, ROW_TEXT)
+    repeated = rows.where("first = 1 and n > 1").select(ROW_ID, ROW_TEXT)
+    full = with_row_key(docs, doc_id, text)
+    once = join_small(full, away, "left_anti").select(*docs.columns)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = (join_small(full, repeated, "left_semi").groupBy(ROW_ID, ROW_TEXT)
+           .agg(F.any_value(row).alias("__row")).select("__row.*"))
+    return once.unionByName(one)

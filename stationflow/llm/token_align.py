@@ -9,6 +9,10 @@ of several bytes spans don't tell: tokens of A that share a character all span i
 byte-fallback tokens of B span nothing but the last, which spans the character. There the
 cuts come from the bytes that the tokens decode to, counted from the last exact cut.
 
+Neither tokenizer has a token that goes on behind a single blank between two words, so what
+stands between such blanks (a unit) is cut alike wherever it occurs. A worker aligns the new
+units of a batch in one go and remembers them up to a fixed number.
+
 Where tokens of both end, the text is cut into groups. Each group's last tokens, which end
 together, are a link. Links are counted over the corpus by pair of ids. The most frequent
 pairs (a fixed number) are looked up in a broadcast table, the rest by a join.
@@ -16,6 +20,7 @@ pairs (a fixed number) are looked up in a broadcast table, the rest by a join.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +36,9 @@ from .common import small_batches, stored
 HEAD_PAIRS = 1 << 19  # pairs of the broadcast table, 17 bytes each
 FLUSH = 1 << 21  # distinct pairs that a task holds while it counts
 SPACE = "▁"
+REMEMBERED_UNITS = 150_000
+UNIT_LETTERS = 1 << 16  # letters of new units that are aligned at a time
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
 class Tools:
@@ -58,6 +66,7 @@ class Tools:
         # Ids as written in a group: followed by a comma, or by what ends their side of it.
         self.text_a = np.array([f"{i}{end}" for end in ",|" for i in range(self.n_a)], object)
         self.text_b = np.array([f"{i}{end}" for end in ",;" for i in range(self.n_b)], object)
+        self.units: dict[str, tuple | None] = {}  # tokens of A and B, groups as text, packed pairs
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -134,6 +143,64 @@ def written(tools: Tools, x: Aligned) -> str:
     return "".join(out.tolist())[:-1]
 
 
+def _pairs(tools: Tools, x: Aligned) -> np.ndarray:
+    return (x.a[x.last_a] * tools.n_b + x.b[x.last_b]).astype("<u4")
+
+
+def _learn(tools: Tools, units: list[str]) -> None:
+    """Align units joined by blanks and cut the result at the blanks. Units that a tokenizer
+    changes are found by halves and remembered as None."""
+    x = align_text(tools, " ".join(units))
+    if x is None:
+        if len(units) == 1:
+            tools.units[units[0]] = None
+        else:
+            _learn(tools, units[:len(units) // 2])
+            _learn(tools, units[len(units) // 2:])
+        return
+    ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) + 1 for u in units])
+    at = np.searchsorted(x.cuts, ends)
+    if not (x.cuts[np.minimum(at, len(x.cuts) - 1)] == ends).all():
+        raise ValueError("a tokenizer joins words across a blank")
+    groups, pairs = written(tools, x).split(";"), _pairs(tools, x)
+    stops, a, b = (at + 1).tolist(), (x.last_a[at] + 1).tolist(), (x.last_b[at] + 1).tolist()
+    low = low_a = low_b = 0
+    for unit, stop, z_a, z_b in zip(units, stops, a, b):
+        tools.units[unit] = z_a - low_a, z_b - low_b, ";".join(groups[low:stop]), pairs[low:stop].tobytes()
+        low, low_a, low_b = stop, z_a, z_b
+
+
+def align_batch(tools: Tools, texts: list[str | None]) -> list[tuple[int, int, str, bytes]]:
+    """Tokens of A and B, groups as text and packed pairs of every text; zeros and nothing for one
+    without tokens."""
+    cut = [_BETWEEN.split(t) if t else [] for t in texts]
+    new = set().union(*cut).difference(tools.units)
+    if len(tools.units) + len(new) > REMEMBERED_UNITS:
+        tools.units = {}
+        new = set().union(*cut)
+    some, letters = [], 0
+    for unit in sorted(new):
+        if unit != unit.strip():  # at either end of a text: no single blank can stand beside it
+            _learn(tools, [unit])
+            continue
+        some.append(unit)
+        letters += len(unit)
+        if letters > UNIT_LETTERS:
+            _learn(tools, some)
+            some, letters = [], 0
+    if some:
+        _learn(tools, some)
+    out = []
+    for units in cut:
+        found = [tools.units[u] for u in units]
+        if not found or None in found:
+            out.append((0, 0, "", b""))
+            continue
+        n_a, n_b, groups, pairs = zip(*found)
+        out.append((sum(n_a), sum(n_b), ";".join(groups), b"".join(pairs)))
+    return out
+
+
 _HELD: dict = {}
 
 
@@ -169,18 +236,14 @@ def alignments(docs: DataFrame, tokenizer_a: str, model_b: str, doc_id: str = "d
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tools = _tools(spec, model)
         for pdf in batches:
-            out = []
-            for t in pdf["content"]:
-                x = align_text(tools, t)
-                if x is None:
-                    out.append((0, 0, "", b"", []))
-                    continue
-                pairs = (x.a[x.last_a] * tools.n_b + x.b[x.last_b]).astype("<u4")
-                out.append((len(x.a), len(x.b), written(tools, x), pairs.tobytes(), x.cuts if spans else []))
-            n_a, n_b, groups, links, cuts = zip(*out) if out else ((),) * 5
+            texts = pdf["content"].tolist()
+            n_a, n_b, groups, links = zip(*align_batch(tools, texts)) if texts else ((),) * 4
             made = {"id": pdf["id"], "n_a": np.array(n_a, np.int64), "n_b": np.array(n_b, np.int64),
                     "groups": list(groups), "links": list(links)}
-            yield pd.DataFrame(made | ({"cuts": list(cuts)} if spans else {}))
+            if spans:
+                found = [align_text(tools, t) for t in texts]
+                made["cuts"] = [[] if x is None else x.cuts for x in found]
+            yield pd.DataFrame(made)
 
     small_batches(spark)
     return rows.mapInPandas(run, T.StructType([rows.schema["id"], *fields, *more])).withColumnRenamed("id", doc_id)

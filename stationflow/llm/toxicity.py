@@ -26,15 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (ROW_ID, ROW_TEXT, drop_row_key, fold, join_rows, keyed, sampled, small_batches,
-                     stored, with_row_key)
+from .common import ROW_ID, ROW_TEXT, fold, keyed, sampled, small_batches, stored
 
 #: Bounds of the sample and of the classifier; they don't depend on the size of the data.
 MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 12000, 8192
 MAX_LETTERS = 24
 #: A feature must be in this many positives, and in this share of them.
 MIN_SUPPORT, MIN_SHARE, MIN_LIFT = 4, 1 / 300, 3
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 100_000
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
@@ -111,7 +110,11 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
                            .select("id", F.lit(0).alias("positive"), F.lit(1).alias("unlabelled")))
               .groupBy("id").agg(F.max("positive").alias("positive"), F.max("unlabelled").alias("unlabelled")))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("content"))
-    sample = texts.join(F.broadcast(chosen), "id")  # MAX_POSITIVE + MAX_UNLABELLED ids at most
+    # MAX_POSITIVE + MAX_UNLABELLED ids at most, and one row of each: of rows with one id the
+    # least by a hash of the text.
+    sample = texts.join(F.broadcast(chosen), "id").select("positive", "unlabelled", "content", "id")
+    one = F.min_by(F.struct("positive", "unlabelled", "content"), F.xxhash64("content")).alias("r")
+    sample = sample.groupBy("id").agg(one).select("r.*")
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -153,6 +156,7 @@ def score(docs: DataFrame, classifier: Classifier, doc_id: str = "doc_id", text:
         model = shared.value
         for pdf in batches:
             yield pdf[[ROW_ID, ROW_TEXT]].assign(score=np.array([model.score(t) for t in pdf["__text"]], float))
+        model.known = {}
 
     small_batches(docs.sparkSession)
     return rows.mapInPandas(run, schema)
@@ -174,7 +178,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                label: str = "toxic", threshold: float = 0.5) -> DataFrame:
-    """The documents, all columns, without those that score ``threshold`` or more."""
-    scored = score(docs, train(docs, labels, doc_id, text, label), doc_id, text)
-    bad = scored.where(F.col("score") >= threshold).select(ROW_ID, ROW_TEXT)
-    return drop_row_key(join_rows(with_row_key(docs, doc_id, text), bad, "left_anti"))
+    """The documents, all columns, without those that score ``threshold`` or more. Null and empty
+    texts score as texts without any feature; rows repeated with one text all stay or all go.
+    An empty table gives no rows; without confirmed texts all documents stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, doc_id, text, label))
+
+    @F.pandas_udf("double")
+    def scores(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = shared.value
+        for part in texts:
+            yield pd.Series([model.score(t) for t in part], dtype=float)
+        model.known = {}
+
+    small_batches(docs.sparkSession)
+    return docs.where(scores(F.col(text)) < threshold)

@@ -68,11 +68,16 @@ def test_small_blocks_hot_hashes_and_split_queries_change_nothing(documents, cor
     monkeypatch.setattr(J, "BLOCK_HASHES", 700)
     monkeypatch.setattr(J, "BLOCK_QUERIES", 3)
     monkeypatch.setattr(J, "HOT_HASHES", 5)
+    monkeypatch.setattr(J, "OFTEN", 50)
+    monkeypatch.setattr(J, "BROADCAST_ROWS", 0)
     got = by_id(J.jaccard_components(documents(corpus)))
     assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == plain_components(corpus)
 
 
-def test_divide_skip_finds_all_partners():
+@pytest.mark.parametrize("entries, probes", [(1 << 11, 32), (0, 0), (1 << 30, 1 << 30)])
+def test_divide_skip_finds_all_partners(monkeypatch, entries, probes):
+    monkeypatch.setattr(J, "HEAP_ENTRIES", entries)
+    monkeypatch.setattr(J, "PROBES", probes)
     r = np.random.default_rng(3)
     sets = []
     for _ in range(30):
@@ -81,13 +86,13 @@ def test_divide_skip_finds_all_partners():
             own = base.copy()
             own[r.integers(0, 60, r.integers(0, 16))] = r.integers(0, 10**6)
             sets.append(np.unique(np.concatenate([own, np.arange(8)])))  # eight hashes in all sets
-    index, sizes = J.InvertedLists(sets, np.arange(len(sets))), [len(s) for s in sets]
+    index, sizes = J.InvertedLists(sets, np.arange(len(sets))), np.array([len(s) for s in sets])
     for percent in (50, 80, 95, 100):
         for i, own in enumerate(sets):
             want = [j for j, s in enumerate(sets)
                     if 100 * len(np.intersect1d(own, s)) >= percent * len(np.union1d(own, s))]
-            assert sorted(J.divide_skip(index, own, sizes, percent, [True] * len(sets))) == want
-            found = J.divide_skip(index, own, sizes, percent, [j != i for j in range(len(sets))])
+            assert sorted(J.divide_skip(index, own, sizes, percent, np.ones(len(sets), bool))) == want
+            found = J.divide_skip(index, own, sizes, percent, np.arange(len(sets)) != i)
             assert sorted(found) == [j for j in want if j != i]
 
 

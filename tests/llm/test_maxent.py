@@ -43,18 +43,80 @@ def test_probabilities_of_all_tokens_sum_to_one():
     for w in model.weights:
         w += r.normal(0, 0.5, w.shape).astype(np.float32)
     model.ready()
-    own = (maxent.CLASSES - 1) * maxent.CLASS_WORDS
-    total = 0.0
-    for i, w in enumerate([*words, "unseen"]):
-        t = maxent.tokenize([f"w7 w300 {w}"], model)
-        p = 10 ** maxent.model_scores(model, t)[2]
-        c = model.counts[i + 1] if w != "unseen" else 0
-        total += p * (1 if i + 1 < own else (c + 0.5) / model.mass)
-    t = maxent.tokenize(["w7 w300"], model)
-    total += 10 ** maxent.model_scores(model, t)[2]
+    total = sum(10 ** maxent.model_scores(model, maxent.tokenize([f"w7 w300 {w}"], model))[2] for w in words)
+    unseen = 10 ** maxent.model_scores(model, maxent.tokenize(["w7 w300 unseen"], model))[2]
+    beyond = model.n - sum(model.counts) + 0.5 * (model.v + 1 - len(model.counts))
+    total += unseen * beyond / 0.5  # what all tokens beyond the head share
+    total += 10 ** maxent.model_scores(model, maxent.tokenize(["w7 w300"], model))[2]
     assert total == pytest.approx(1, abs=1e-4)
 
 
+def small_model(monkeypatch):
+    monkeypatch.setattr(maxent, "CLASS_LEAST", 0)
+    monkeypatch.setattr(maxent, "CONTEXT_LEAST", 0)
+    words = [f"w{i}" for i in range(20)]
+    model = maxent.Model([maxent.END, *words], list(range(40, 19, -1)), sum(range(20, 41)), 21)
+    model.weights[0] += np.random.default_rng(5).normal(0, 0.4, len(model.weights[0])).astype(np.float32)
+    return model.ready(), words
+
+
+def plain_score(model, words):
+    """log10 probability of each token by a softmax over the two members of every class on its
+    way, from the tree and the weights alone."""
+    seen, out = [1, 2], []
+    bits = len(model.weights[0]).bit_length() - 1
+
+    def weight(context, kind, top, slot):
+        x = int(maxent._mix(np.array([context]), kind)[0]) ^ int(top)
+        return float(model.weights[0][((x * 0x9E3779B97F4A7C15) % 2**64 >> (64 - bits)) ^ slot])
+
+    for w in words:
+        leaf = model.index[w]
+        path = model.code[model.start[leaf]:model.start[leaf] + model.length[leaf]].tolist()
+        logp = model.rest[leaf] * math.log(10)
+        for k, c in enumerate(path):
+            top = model.run_hash[path[k - k % maxent.DEPTH] >> 1]
+            members = [0.0, float(model.bias[c >> 1]) + sum(
+                weight(context, kind, top, model.slot[c >> 1]) for kind, context in enumerate(seen, 1))]
+            logp += members[c & 1] - math.log(sum(map(math.exp, members)))
+        out.append(logp / math.log(10))
+        seen = [int(model.contexts[leaf]), seen[0]]
+    return out
+
+
+def test_model_equals_brute_force(monkeypatch):
+    model, words = small_model(monkeypatch)
+    r = np.random.default_rng(6)
+    for _ in range(5):
+        text = [words[i] for i in r.integers(0, 20, 30)]
+        got = maxent.model_scores(model, maxent.tokenize([" ".join(text)], model))
+        assert got.tolist() == pytest.approx(plain_score(model, [*(w.encode() for w in text), b""]), abs=1e-5)
+
+
+def test_gradients_are_those_of_differences(monkeypatch):
+    model, words = small_model(monkeypatch)
+    model.weights[0] = model.weights[0].astype(np.float64)
+    t = maxent.tokenize(["w1 w2 w3 w1 w2 w19", "w3 w3 w0"], model)
+    sums = maxent.Sums(len(model.weights[0]))
+    sums.add(model, t)
+    cells = np.flatnonzero(sums.curvature)
+    for cell in cells[:: max(1, len(cells) // 25)].tolist():
+        values = []
+        for step in (1e-4, -1e-4):
+            model.weights[0][cell] += step
+            values.append(maxent.model_scores(model, t).sum() * math.log(10))
+            model.weights[0][cell] -= step
+        assert (values[0] - values[1]) / 2e-4 == pytest.approx(sums.gradient[cell], abs=5e-3)
+
+
+def test_sums_survive_their_packing():
+    r = np.random.default_rng(7)
+    for scale in (1e-7, 1.0, 1e7):
+        x = r.normal(0, scale, 1000)
+        assert np.allclose(maxent.unpacked(*maxent.packed(x)), x, rtol=1e-3, atol=scale * 1e-3)
+    assert maxent.unpacked(*maxent.packed(np.zeros(4))).tolist() == [0] * 4
+
+
 def test_without_weights_the_model_is_the_base(documents, prose):
     rows = list(enumerate(prose(60, 1, 60)))
     for r in maxent.lm_scores(documents(rows), rounds=0).collect():

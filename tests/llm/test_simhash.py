@@ -99,5 +99,8 @@ def test_near_dedup_keeps_one_row_of_each_group(documents):
     assert simhash.near_dedup(documents([])).count() == 0
     assert simhash.simhash_components(documents([])).count() == 0
     twice = documents([(1, "q r s"), (1, "q r s")])
-    assert simhash.near_dedup(twice).count() == 2
+    assert simhash.near_dedup(twice).count() == 1
+    often = documents([(i, "unlike this one or that") for i in range(3)] + [(7, "a b c d e")] * 1000 + [(8, None)] * 9)
+    kept = simhash.near_dedup(often)
+    assert kept.columns == often.columns and sorted(r.doc_id for r in kept.collect()) == [0, 7, 8]
     assert simhash.fingerprints(twice).select(F.count_distinct("fp")).first()[0] == 1

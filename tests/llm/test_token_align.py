@@ -100,6 +100,24 @@ def test_cuts_inside_characters(plain):
     assert split  # some groups end within a character
 
 
+@pytest.mark.parametrize("remembered", [150_000, 3])
+def test_units_equal_whole_texts(prose, monkeypatch, remembered):
+    """Texts put together from remembered units are those that are aligned as a whole."""
+    monkeypatch.setattr(A, "REMEMBERED_UNITS", remembered)
+    monkeypatch.setattr(A, "UNIT_LETTERS", 200)
+    with open(FILES[0], encoding="utf-8") as f, open(FILES[1], "rb") as g:
+        tools = A.Tools(f.read(), g.read())
+    assert not any(A.SPACE in tools.b.id_to_piece(i).lstrip(A.SPACE) for i in range(tools.n_b))
+    odd = ["a  b c", " lead", "trail ", "x \n y", "tab\tx y", "nb\u00a0sp x", "q \u2003 r", "a\x1cb c", "it's we'll 12,5 %", "▁ a"]
+    texts = TEXTS + odd + prose(30, 0, 80)
+    for start in range(0, len(texts), 7):
+        part = texts[start:start + 7]
+        for text, got in zip(part, A.align_batch(tools, part)):
+            x = A.align_text(tools, text)
+            want = (0, 0, "", b"") if x is None else (len(x.a), len(x.b), A.written(tools, x), A._pairs(tools, x).tobytes())
+            assert got == want, text
+
+
 def test_spans_repeats_nulls_and_empty_tables(documents):
     docs = documents([(1, "tok én"), (1, "tok én"), (None, "tok én"), (2, None)])
     got = A.alignments(docs, *FILES, spans=True).collect()
