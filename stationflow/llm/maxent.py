@@ -20,9 +20,9 @@ a class, hashed to a cell; with no weights learned the model is the base.
 
 Training is distributed and goes by gradient updates: the training texts are dealt into ROUNDS
 parts by a hash. In a round, with fixed weights, each task adds up for every cell the gradient
-of the log-likelihood (yes less expected) and its curvature over the texts of one part; Spark
-sums these over the tasks, and the weights move once, by the gradient over the curvature of all
-rounds so far. So each text is learned from once, and weights depend on the texts and not on
+of the log-likelihood (yes less expected), and in the first round its curvature, over the
+texts of one part; Spark sums these over the tasks, and the weights move once, by the gradient
+over the curvature of all parts so far (as many times that of the first). So each text is learned from once, and weights depend on the texts and not on
 how rows are split into tasks. The number of cells grows with the tokens, up to a broadcast of
 16 MB; a task covers a token a cell at least, so what tasks send doesn't depend on how many
 cores there are, and is 4 bytes a token at most.
@@ -47,7 +47,7 @@ from .common import (ROW_ID, ROW_TEXT, blank_words, fold, join_rows, keyed, lowe
 
 HEAD, HEAD_BYTES = 1 << 18, 64
 CELLS, TOKENS_A_CELL = (18, 22), 16  # bits of the number of weights, at least and at most
-CONTEXT_LEAST, CLASS_LEAST = 8, 8
+CONTEXT_LEAST, CLASS_LEAST = 8, 24
 ROUNDS = 3
 DEPTH = 4  # decisions of a run; its part of the tree has 15, in 16 neighbouring cells
 BLOCK = 1 << 14  # cells in a row of sums
@@ -161,17 +161,23 @@ class Model:
             at = up[at]
         of = np.concatenate([x for x, _ in found[::-1]] or [np.zeros(0, np.int64)])
         order = np.argsort(of, kind="stable")
-        self.code = np.append(np.concatenate([x for _, x in found[::-1]] or [of])[order], 0).astype(np.int32)
-        self.length = np.bincount(of, minlength=leaves)
-        self.start = np.cumsum(self.length) - self.length
+        code = np.concatenate([x for _, x in found[::-1]] or [of])[order]
+        length = np.bincount(of, minlength=leaves)
+        # A row for each run of a leaf; places beyond its end hold a class that is surely yes.
+        self.runs = -(-length // DEPTH)
+        self.start = np.cumsum(self.runs) - self.runs
+        self.code = np.full((self.runs.sum(), DEPTH), 2 * inner + 1, np.int32)
+        place = np.arange(len(code)) - np.repeat(np.cumsum(length) - length, length)
+        self.code[np.repeat(self.start, length) + place // DEPTH, place % DEPTH] = code
+        self.bias = np.append(self.bias, np.float32(60))
         depth, top, slot = [0] * inner, list(range(inner)), [1] * inner
         for i in range(inner - 2, -1, -1):  # parents come after their children
             above = parent[i + leaves] - leaves
             depth[i] = depth[above] + 1
             if depth[i] % DEPTH:
                 top[i], slot[i] = top[above], 2 * slot[above] + side[i + leaves]
-        self.slot = np.array(slot, np.int32)
-        self.run_hash = _mix(np.array(top), 7)
+        self.slot = np.array([*slot, 0], np.int32)
+        self.run_hash = _mix(np.array([*top, 0]), 7)
 
 
 @dataclass
@@ -205,27 +211,23 @@ def tokenize(texts: list[str | None], model: Model) -> Tokens:
 
 
 def _decisions(model: Model, t: Tokens, a: int, z: int):
-    """All learned decisions of the tokens: token, whether yes, logit, and the cells of its
-    features."""
+    """All learned decisions of the tokens in rows of DEPTH: token of each row, whether yes,
+    logit, and the cells of the features."""
     leaf = np.where(t.ids[a:z] < 0, len(model.tokens), t.ids[a:z])
-    lengths = model.length[leaf]
-    runs = -(-lengths // DEPTH)
+    runs = model.runs[leaf]
     of = np.repeat(np.arange(z - a), runs)  # the token of each run
-    nth = np.arange(len(of)) - np.repeat(np.cumsum(runs) - runs, runs)
-    sizes = np.minimum(lengths[of] - nth * DEPTH, DEPTH)
-    first = model.start[leaf][of] + nth * DEPTH
-    run = np.repeat(np.arange(len(of)), sizes)
-    code = model.code[np.arange(len(run)) + (first - np.cumsum(sizes) + sizes)[run]]
+    row = np.arange(len(of)) + np.repeat(model.start[leaf] - np.cumsum(runs) + runs, runs)
+    code = model.code[row]
     decision = code >> 1
-    run_hash = model.run_hash[model.code[first] >> 1]
+    run_hash = model.run_hash[decision[:, 0]]
     table = model.weights[0]
     shift = np.uint64(64 - (len(table).bit_length() - 1))
     logit, slot, cells = model.bias[decision], model.slot[decision], []
     for kind, context in enumerate((t.before[a:z], t.skipped[a:z]), 1):
         x = ((_mix(context, kind)[of] ^ run_hash) * np.uint64(0x9E3779B97F4A7C15)) >> shift
-        cells.append(x.astype(np.int32)[run] ^ slot)
+        cells.append(x.astype(np.int32)[:, None] ^ slot)
         logit += table[cells[-1]]
-    return of[run], (code & 1).astype(bool), logit, cells
+    return of, (code & 1).astype(bool), logit, cells
 
 
 def model_scores(model: Model, t: Tokens) -> np.ndarray:
@@ -235,29 +237,33 @@ def model_scores(model: Model, t: Tokens) -> np.ndarray:
         z = min(a + SLICE, len(out))
         token, yes, logit, _ = _decisions(model, t, a, z)
         against = np.exp(np.minimum(np.where(yes, -logit, logit), 80))
-        out[a:z] -= np.bincount(token, weights=np.log1p(against), minlength=z - a) / np.log(10)
+        out[a:z] -= np.bincount(token, weights=np.log(1 + against).sum(1, dtype=float), minlength=z - a) / np.log(10)
     return out
 
 
 class Sums:
-    """For each cell the gradient (yes less expected) and the curvature of the log-likelihood."""
+    """For each cell the gradient (yes less expected) of the log-likelihood and, if asked for, its
+    curvature."""
 
-    def __init__(self, size: int):
-        self.gradient, self.curvature = np.zeros(size), np.zeros(size)
+    def __init__(self, size: int, curved: bool = True):
+        self.gradient, self.curvature = np.zeros(size), np.zeros(size if curved else 0)
 
     def add(self, model: Model, t: Tokens) -> None:
         for a in range(0, len(t.ids), SLICE):
             _, yes, logit, cells = _decisions(model, t, a, min(a + SLICE, len(t.ids)))
-            p = (1 / (1 + np.exp(-np.clip(logit, -60, 60)))).astype(float)
-            slope, bend = yes - p, p * (1 - p)
+            p = 1 / (1 + np.exp(-np.clip(logit, -60, 60)))
+            slope = (yes - p).ravel().astype(float)
             for cell in cells:
-                np.add.at(self.gradient, cell, slope)
-                np.add.at(self.curvature, cell, bend)
+                np.add.at(self.gradient, cell.ravel(), slope)
+            if len(self.curvature):
+                bend = (p * (1 - p)).ravel().astype(float)
+                for cell in cells:
+                    np.add.at(self.curvature, cell.ravel(), bend)
 
 
 def packed(values: np.ndarray) -> tuple[float, bytes]:
     """Numbers as shares of the largest, in 16 bits each."""
-    most = float(np.abs(values).max()) or 1.0
+    most = float(np.abs(values).max(initial=0)) or 1.0
     return most, (values / most).astype(np.float16).tobytes()
 
 
@@ -266,21 +272,20 @@ def unpacked(most: float, raw: bytes) -> np.ndarray:
 
 
 SUMS = "block int, g double, gradient binary, c double, curvature binary"
+SUM_COLUMNS = ["block", "g", "gradient", "c", "curvature"]
 
 
 def _sum_rows(sums: Sums) -> Iterator[pd.DataFrame]:
-    size = min(BLOCK, len(sums.gradient))
-    gradient, curvature = sums.gradient.reshape(-1, size), sums.curvature.reshape(-1, size)
-    for block in np.flatnonzero(curvature.any(1)).tolist():
-        yield pd.DataFrame([(block, *packed(gradient[block]), *packed(curvature[block]))],
-                           columns=["block", "g", "gradient", "c", "curvature"])
+    for block in range(0, -(-len(sums.gradient) // BLOCK)):
+        at = slice(block * BLOCK, (block + 1) * BLOCK)
+        if sums.gradient[at].any():
+            yield pd.DataFrame([(block, *packed(sums.gradient[at]), *packed(sums.curvature[at]))], columns=SUM_COLUMNS)
 
 
 def _total(pdf: pd.DataFrame) -> pd.DataFrame:
     gradient = sum(unpacked(m, b) for m, b in zip(pdf["g"], pdf["gradient"]))
     curvature = sum(unpacked(m, b) for m, b in zip(pdf["c"], pdf["curvature"]))
-    return pd.DataFrame([(pdf["block"].iloc[0], *packed(gradient), *packed(curvature))],
-                        columns=["block", "g", "gradient", "c", "curvature"])
+    return pd.DataFrame([(pdf["block"].iloc[0], *packed(gradient), *packed(curvature))], columns=SUM_COLUMNS)
 
 
 def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
@@ -293,13 +298,15 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     small_batches(spark)
     part = F.pmod(F.xxhash64("__text"), F.lit(rounds))
     tasks = max(1, int(n or 0) // (max(rounds, 1) * size))
-    curvature = np.full(size, CALM)
+    curvature = np.zeros(size)  # of one part; the parts are alike, so the first is told for all
     for nth in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)  # head and weights: of bounded size
 
-        def learn(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+        first = nth == 0
+
+        def learn(batches: Iterator[pd.DataFrame], sent=sent, first=first) -> Iterator[pd.DataFrame]:
             given = sent.value.ready()
-            sums = Sums(size)
+            sums = Sums(size, first)
             for pdf in batches:
                 sums.add(given, tokenize(pdf["__text"].tolist(), given))
             yield from _sum_rows(sums)
@@ -307,10 +314,10 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
         rows = texts.where(part == nth).select("__text").coalesce(tasks)
         summed = rows.mapInPandas(learn, SUMS).groupBy("block").applyInPandas(_total, SUMS).toPandas()
         for r in summed.itertuples():
-            bend = unpacked(r.c, r.curvature)
-            at = slice(r.block * len(bend), (r.block + 1) * len(bend))
-            curvature[at] += bend
-            model.weights[0][at] += (SHARE * unpacked(r.g, r.gradient) / curvature[at]).astype(np.float32)
+            at = slice(r.block * BLOCK, (r.block + 1) * BLOCK)
+            if first:
+                curvature[at] = unpacked(r.c, r.curvature)
+            model.weights[0][at] += (SHARE * unpacked(r.g, r.gradient) / (CALM + (nth + 1) * curvature[at])).astype(np.float32)
         sent.destroy()
     return model
 

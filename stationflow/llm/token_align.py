@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,8 +37,8 @@ from .common import small_batches, stored
 HEAD_PAIRS = 1 << 19  # pairs of the broadcast table, 17 bytes each
 FLUSH = 1 << 21  # distinct pairs that a task holds while it counts
 SPACE = "▁"
-REMEMBERED_UNITS = 150_000
-UNIT_LETTERS = 1 << 16  # letters of new units that are aligned at a time
+REMEMBERED_UNITS = 100_000
+UNIT_LETTERS = 1 << 14  # letters of new units that are aligned at a time
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -66,7 +67,9 @@ class Tools:
         # Ids as written in a group: followed by a comma, or by what ends their side of it.
         self.text_a = np.array([f"{i}{end}" for end in ",|" for i in range(self.n_a)], object)
         self.text_b = np.array([f"{i}{end}" for end in ",;" for i in range(self.n_b)], object)
-        self.units: dict[str, tuple | None] = {}  # tokens of A and B, groups as text, packed pairs
+        # Tokens of A and B, groups as text, packed pairs; those met lately, and those before.
+        self.units: dict[str, tuple | None] = {}
+        self.older: dict[str, tuple | None] = {}
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -111,7 +114,7 @@ def align_text(tools: Tools, text: str | None) -> Aligned | None:
         return None
     a, b = np.array(ids, np.int64), np.array(ids_b, np.int64)
 
-    spans = np.array(coded.offsets, np.int64)
+    spans = np.fromiter(chain.from_iterable(coded.offsets), np.int64, 2 * len(ids)).reshape(-1, 2)
     ends = spans[:, 1]
     exact = np.append(spans[1:, 0] >= ends[:-1], True)
     if len(raw) != len(spaced):  # characters to bytes
@@ -174,10 +177,11 @@ def align_batch(tools: Tools, texts: list[str | None]) -> list[tuple[int, int, s
     """Tokens of A and B, groups as text and packed pairs of every text; zeros and nothing for one
     without tokens."""
     cut = [_BETWEEN.split(t) if t else [] for t in texts]
-    new = set().union(*cut).difference(tools.units)
-    if len(tools.units) + len(new) > REMEMBERED_UNITS:
-        tools.units = {}
-        new = set().union(*cut)
+    met = set().union(*cut)
+    if 2 * len(tools.units) > REMEMBERED_UNITS:  # what isn't met again is forgotten at the next turn
+        tools.units, tools.older = {}, tools.units
+    tools.units.update((u, tools.older[u]) for u in met & tools.older.keys())
+    new = met.difference(tools.units)
     some, letters = [], 0
     for unit in sorted(new):
         if unit != unit.strip():  # at either end of a text: no single blank can stand beside it
@@ -245,7 +249,7 @@ def alignments(docs: DataFrame, tokenizer_a: str, model_b: str, doc_id: str = "d
                 made["cuts"] = [[] if x is None else x.cuts for x in found]
             yield pd.DataFrame(made)
 
-    small_batches(spark)
+    small_batches(spark, 400, "4m")
     return rows.mapInPandas(run, T.StructType([rows.schema["id"], *fields, *more])).withColumnRenamed("id", doc_id)
 
 

@@ -72,7 +72,8 @@ def plain_score(model, words):
 
     for w in words:
         leaf = model.index[w]
-        path = model.code[model.start[leaf]:model.start[leaf] + model.length[leaf]].tolist()
+        path = model.code[model.start[leaf]:model.start[leaf] + model.runs[leaf]].ravel().tolist()
+        path = [c for c in path if c >> 1 < len(model.bias) - 1]
         logp = model.rest[leaf] * math.log(10)
         for k, c in enumerate(path):
             top = model.run_hash[path[k - k % maxent.DEPTH] >> 1]
