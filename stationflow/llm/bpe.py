@@ -6,8 +6,8 @@ is applied to all its places at once, the pairs around the merged places enter t
 lists of their own ranks, and so on until no rank is active. As a word's merges depend
 on that word alone, this gives each word what merging it by itself would.
 
-Words and their pieces are remembered by each Python worker up to a fixed number, so a
-frequent word is encoded once. The vocabulary is read on the driver and broadcast; its
+Words and their pieces are remembered by each Python worker up to a fixed number, those met
+again longest, so a frequent word is encoded once. The vocabulary is read on the driver and broadcast; its
 size does not depend on the data.
 """
 
@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from .common import small_batches
 
-REMEMBERED_WORDS = 150_000
+REMEMBERED_WORDS = 120_000
 _NEVER = np.int64(1) << 40
 
 
@@ -64,7 +64,9 @@ class Vocabulary:
         self.final = np.array([self.ids[c + self.suffix] for c in letters], np.int64)
         cutters = data["pre_tokenizer"]["pretokenizers"]
         self.pattern = next(c["pattern"]["Regex"] for c in cutters if c["type"] == "Split")
+        # Pieces of the words met lately, and of those before.
         self.known: dict[str, tuple[int, str, str]] = {}
+        self.older: dict[str, tuple[int, str, str]] = {}
 
     def rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of symbols; _NEVER where there is no merge or a side is missing."""
@@ -125,11 +127,13 @@ class Vocabulary:
         return [flat_ids[a:z] for a, z in zip([0, *cuts], cuts)]
 
     def learn(self, words: Iterable[str]) -> None:
-        """Remember the pieces of words that are not remembered yet."""
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known = {}
-            new = list(words)
+        """Remember the pieces of words that are not remembered yet. When half of the room is
+        full, words that aren't met again are forgotten at the next turn."""
+        met = set(words)
+        if 2 * len(self.known) > REMEMBERED_WORDS:
+            self.known, self.older = {}, self.known
+        self.known.update((w, self.older[w]) for w in met & self.older.keys())
+        new = [w for w in met if w not in self.known]
         for w, ids in zip(new, self.encode_words(new) if new else ()):
             self.known[w] = (len(ids), " ".join(map(str, ids)), " ".join([self.pieces[i] for i in ids]))
         for content, i in self.special.items():
@@ -208,5 +212,5 @@ def encode(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str =
             yield pd.DataFrame({"id": pdf["id"], "n_tokens": np.array(n, np.int64), "ids": list(ids),
                                 "decoded": list(decoded)})
 
-    small_batches(spark)
+    small_batches(spark, 250, "2m")
     return rows.mapInPandas(run, schema).withColumnRenamed("id", doc_id)
