@@ -46,7 +46,7 @@ from .common import (ROW_ID, ROW_TEXT, blank_words, fold, join_rows, keyed, lowe
                      stored)
 
 HEAD, HEAD_BYTES = 1 << 18, 64
-CELLS, TOKENS_A_CELL = (18, 22), 16  # bits of the number of weights, at least and at most
+CELLS, TOKENS_A_CELL = (18, 22), 4  # bits of the number of weights, at least and at most
 CONTEXT_LEAST, CLASS_LEAST = 8, 24
 ROUNDS = 3
 DEPTH = 4  # decisions of a run; its part of the tree has 15, in 16 neighbouring cells
