@@ -35,9 +35,10 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def backup_table(spark: SparkSession, source: str, backup: str) -> None:
+def backup_table(spark: SparkSession, source: str, backup: str, location: str | None = None) -> None:
     """CREATE TABLE backup AS SELECT * FROM source."""
-    spark.table(source).write.mode("errorifexists").saveAsTable(backup)
+    options = {"path": location} if location else {}
+    spark.table(source).write.mode("errorifexists").options(**options).saveAsTable(backup)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

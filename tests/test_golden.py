@@ -6,14 +6,14 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_mod
-from stationflow.plans import catalog, lifecycle
+from stationflow.plans import catalog, changes, lifecycle
 from tools.oracle_check import TABLES, frame_hash
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="generated tables missing")
 
 
-QUERIES = catalog.queries() | lifecycle.QUERIES
+QUERIES = catalog.queries() | lifecycle.QUERIES | changes.QUERIES
 
 
 @pytest.fixture(scope="module")
