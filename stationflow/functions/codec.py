@@ -24,15 +24,32 @@ def snapshot_file_name(local_capture) -> Column:
                     F.lit(".json"))
 
 
+SECOND = "__2"  # marks the second of two equal wall-clock times
+
+
+def capture_file_name(instant, tz: str = "Europe/Paris") -> Column:
+    """The snapshot file name of a UTC instant; times that an autumn change repeats are marked."""
+    at = _c(instant)
+    local = F.from_utc_timestamp(at, tz)
+    name = snapshot_file_name(local)
+    marked = F.concat(F.substring_index(name, ".json", 1), F.lit(SECOND + ".json"))
+    return F.when(F.to_utc_timestamp(local, tz) == F.date_trunc("microsecond", at), name).otherwise(marked)
+
+
 def file_basename(path_col) -> Column:
     return F.regexp_extract(_c(path_col), r"([^/]+)$", 1)
 
 
 def capture_time_from_name(name_col, tz: str = "Europe/Paris") -> Column:
-    """UTC instant encoded in a snapshot file name (local capture time)."""
+    """UTC instant encoded in a snapshot file name (local capture time). Of two instants with one
+    wall-clock time it is the first, or the second where the name is marked."""
     stamp = F.regexp_extract(_c(name_col), r"(\d{4}_\d{2}_\d{2}_\d{2}_\d{2}_\d{2})", 1)
     local = F.try_to_timestamp(F.nullif(stamp, F.lit("")), F.lit(SNAPSHOT_FILE_TIME_FORMAT))
-    return F.to_utc_timestamp(local, tz)
+    first = F.to_utc_timestamp(local, tz)
+    # The wall clock a few hours later lies behind the change, so its offset is the later one.
+    hours = F.make_dt_interval(hours=F.lit(6))
+    second = F.to_utc_timestamp(local + hours, tz) - hours
+    return F.when(F.contains(_c(name_col), F.lit(SECOND + ".")), second).otherwise(first)
 
 
 def json_field(col, field: str, ddl_type: str = "bigint") -> Column:

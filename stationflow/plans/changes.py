@@ -22,9 +22,11 @@ from stationflow.plans.catalog import (_RECORDS, _STATIONS, TZ, _local, _model,
 from stationflow.plans.catalog import ORACLE_SQL as _BASE
 from stationflow.plans.lifecycle import _FRAMES, STATION, _work
 from stationflow.schemas import RECORD_COLUMNS, STATION_COLUMNS
-from stationflow.sources import csvio, sinks, tables, testdata
+from stationflow.sources import archive, csvio, sinks, tables, testdata
+from stationflow.sources.snapshots import read_snapshots, with_source_file
 
 FRAME = "0930"
+ONTO_AUTUMN = 280  # days from the month of the events onto the autumn change
 
 
 # --------------------------------------------------------------------------- key frames
@@ -151,6 +153,23 @@ def q_snapshot_names(spark, sf_dir):
                           codec.sanitize_name(F.date_format("capture_minute", "yyyy-MM-dd HH:mm")).alias("object_name"))
 
 
+def q_archive_captures(spark, sf_dir):
+    """An hourly archive over the autumn change, in two batches of which one is repeated: documents
+    and station rows by the capture time that the file names tell."""
+    path = _work(spark, "captures")
+    move = F.make_dt_interval(days=F.lit(ONTO_AUTUMN))
+    docs = _snapshots(spark, sf_dir).withColumn("captured_at", F.date_trunc("hour", "capture_minute") + move)
+    docs = docs.drop("capture_minute")
+    middle = F.lit(dt.datetime(2024, 10, 20, 7))
+    archive.archive_captures(docs.where(F.col("captured_at") >= middle), path, tz=TZ, batch="late")
+    archive.archive_captures(docs.where(F.col("captured_at") < middle), path, tz=TZ, batch="early")
+    archive.archive_captures(docs.where(F.col("captured_at") >= middle), path, tz=TZ, batch="late")
+    back = with_source_file(read_snapshots(spark, path), TZ)
+    return back.groupBy("captured_at").agg(F.count(F.lit(1)).alias("documents"),
+                                           F.sum(F.size("records").cast("bigint")).alias("station_rows"),
+                                           F.count_distinct("source_file").alias("files"))
+
+
 def q_message_payloads(spark, sf_dir):
     """Payloads as messages carry them, base64 of JSON text, read again."""
     events = testdata.load_table(spark, sf_dir, "events")
@@ -171,6 +190,7 @@ QUERIES = {
     "frame_of_label": q_frame_of_label,
     "frames_json_roundtrip": q_frames_json_roundtrip,
     "snapshot_names": q_snapshot_names,
+    "archive_captures": q_archive_captures,
     "message_payloads": q_message_payloads,
 }
 
@@ -274,5 +294,11 @@ FROM entries GROUP BY {_local('minute')}, entries.minute""",
 SELECT strftime({_local('minute')}, 'data___%Y_%m_%d_%H_%M_%S.json') AS file_name, minute AS captured_at,
        strftime(minute, '%Y_%m_%d %H_%M') AS object_name FROM m""",
 
+    "archive_captures": _with(_RECORDS) + f"""
+SELECT date_trunc('hour', record_timestamp) + INTERVAL {ONTO_AUTUMN} DAY AS captured_at,
+       count(DISTINCT (date_trunc('minute', record_timestamp), floor(station_id / 300))) AS documents,
+       count(*) AS station_rows, 1 AS files
+FROM records GROUP BY 1""",
+
     "message_payloads": _BASE["json_fields"],
 }
