@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.schemas import RECORD_COLUMNS, REALTIME_COLUMNS, STATION_COLUMNS
+from stationflow.schemas import REALTIME_COLUMNS, RECORD_COLUMNS, RECORD_SOURCE, STATION_COLUMNS
 
 
 def _station_id(strict: bool):
@@ -96,15 +96,8 @@ def realtime_stations(snapshots: DataFrame, station: str | None = None,
 def nested_arrays(snapshots: DataFrame) -> DataFrame:
     """Field paths through the ``records`` array without unnesting: one array
     per field and document (what a dotted path on an array of structs yields)."""
-    return snapshots.select(
-        F.col("records.fields.nbvelosdispo").alias("nb_available_bikes"),
-        F.col("records.fields.nbplacesdispo").alias("nb_available_places"),
-        F.col("records.fields.libelle").alias("station_id"),
-        F.col("records.fields.etat").alias("operational_state"),
-        F.col("records.fields.etatconnexion").alias("connexion"),
-        F.col("records.fields.datemiseajour").alias("last_update"),
-        F.col("records.record_timestamp").alias("record_timestamp"),
-    )
+    return snapshots.select(*[F.col(f"records.fields.{f}").alias(c) for c, f in RECORD_SOURCE.items()],
+                            F.col("records.record_timestamp").alias("record_timestamp"))
 
 
 def zip_arrays_to_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -22,7 +22,7 @@ from stationflow.plans.catalog import (_RECORDS, _STATIONS, TZ, _local, _model,
 from stationflow.plans.catalog import ORACLE_SQL as _BASE
 from stationflow.plans.lifecycle import _FRAMES, STATION, _work
 from stationflow.schemas import RECORD_COLUMNS, STATION_COLUMNS
-from stationflow.sources import archive, csvio, sinks, tables, testdata
+from stationflow.sources import archive, csvio, drift, sinks, tables, testdata
 from stationflow.sources.snapshots import read_snapshots, with_source_file
 
 FRAME = "0930"
@@ -170,6 +170,27 @@ def q_archive_captures(spark, sf_dir):
                                            F.count_distinct("source_file").alias("files"))
 
 
+def _open_feed(spark, sf_dir) -> DataFrame:
+    """Documents of a feed that has changed: some have a new field, some bikes as text, some places
+    as text that is no number."""
+    path = _work(spark, "open-feed")
+    minute = F.floor(F.unix_seconds("capture_minute") / 60)
+    line = F.to_json(F.struct("nhits", "records"), {"timestampFormat": sinks.JSON_TIMESTAMP_FORMAT})
+    for every, pattern, new in ((5, '"etat":', '"ebike":1.5,"etat":'), (7, '"nbvelosdispo":(\\d+)', '"nbvelosdispo":"$1"'),
+                                (11, '"nbplacesdispo":(\\d+)', '"nbplacesdispo":"$1 of 60"')):
+        line = F.when(minute % every == 0, F.regexp_replace(line, pattern, new)).otherwise(line)
+    _snapshots(spark, sf_dir).select(line.alias("value")).write.text(path)
+    return drift.read_variants(spark, path)
+
+
+def q_open_feed_records(spark, sf_dir):
+    return drift.flatten_variants(_open_feed(spark, sf_dir))
+
+
+def q_open_feed_drift(spark, sf_dir):
+    return drift.drift_report(_open_feed(spark, sf_dir))
+
+
 def q_message_payloads(spark, sf_dir):
     """Payloads as messages carry them, base64 of JSON text, read again."""
     events = testdata.load_table(spark, sf_dir, "events")
@@ -191,6 +212,8 @@ QUERIES = {
     "frames_json_roundtrip": q_frames_json_roundtrip,
     "snapshot_names": q_snapshot_names,
     "archive_captures": q_archive_captures,
+    "open_feed_records": q_open_feed_records,
+    "open_feed_drift": q_open_feed_drift,
     "message_payloads": q_message_payloads,
 }
 
@@ -238,6 +261,8 @@ ranges AS (
          lead(d) OVER (PARTITION BY id ORDER BY d) AS valid_to
   FROM along WHERE nth = 1 OR name IS DISTINCT FROM old_name OR city IS DISTINCT FROM old_city)"""
 
+_KIND = "aged AS (SELECT *, CAST(floor(epoch(record_timestamp) / 60) AS BIGINT) AS m FROM records)"
+
 ORACLE_SQL = {
     "key_frames": _with(_RECORDS, _STATIONS, _DENSE) + """
 SELECT date_trunc('hour', d.minute) AS frame_hour, d.minute,
@@ -300,5 +325,21 @@ SELECT date_trunc('hour', record_timestamp) + INTERVAL {ONTO_AUTUMN} DAY AS capt
        count(*) AS station_rows, 1 AS files
 FROM records GROUP BY 1""",
 
+    "open_feed_records": _with(_RECORDS, _KIND) + """
+SELECT * EXCLUDE (m) REPLACE (CASE WHEN m % 11 <> 0 THEN nb_available_places END AS nb_available_places),
+       CASE WHEN m % 5 = 0 OR m % 11 = 0 AND nb_available_places IS NOT NULL THEN '{"fields":{' || concat_ws(',',
+              CASE WHEN m % 5 = 0 THEN '"ebike":1.5' END,
+              CASE WHEN m % 11 = 0 THEN '"nbplacesdispo":"' || nb_available_places || ' of 60"' END) || '}}' END AS unknown
+FROM aged""",
+
+    "open_feed_drift": _with(_RECORDS, _KIND) + """
+SELECT * FROM (
+  SELECT '$.records[].fields.ebike' AS path, 'number' AS kind, 'added' AS status, count_if(m % 5 = 0) AS n FROM aged
+  UNION ALL
+  SELECT '$.records[].fields.nbvelosdispo', 'text', 'retyped', count_if(m % 7 = 0 AND nb_available_bikes IS NOT NULL) FROM aged
+  UNION ALL
+  SELECT '$.records[].fields.nbplacesdispo', 'text', 'retyped', count_if(m % 11 = 0 AND nb_available_places IS NOT NULL) FROM aged)
+WHERE n > 0""",
+
     "message_payloads": _BASE["json_fields"],
 }

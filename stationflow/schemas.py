@@ -85,6 +85,10 @@ RECORDS = T.StructType([
 ])
 RECORD_COLUMNS = [f.name for f in RECORDS.fields]
 
+# Column of the fact table → field of the feed; ``record_timestamp`` lies beside the fields.
+RECORD_SOURCE = {"station_id": "libelle", "operational_state": "etat", "nb_available_bikes": "nbvelosdispo",
+                 "nb_available_places": "nbplacesdispo", "connexion": "etatconnexion", "last_update": "datemiseajour"}
+
 # Station dimension (``id`` is the feed's ``libelle``).
 STATIONS = T.StructType([
     T.StructField("id", T.LongType()),
