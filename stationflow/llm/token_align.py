@@ -37,7 +37,7 @@ from .common import small_batches, stored
 HEAD_PAIRS = 1 << 19  # pairs of the broadcast table, 17 bytes each
 FLUSH = 1 << 21  # distinct pairs that a task holds while it counts
 SPACE = "▁"
-REMEMBERED_UNITS = 100_000
+REMEMBERED_UNITS, NEW_UNITS = 100_000, 50_000  # those that other batches met too, and those of one batch
 UNIT_LETTERS = 1 << 14  # letters of new units that are aligned at a time
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 
@@ -67,9 +67,11 @@ class Tools:
         # Ids as written in a group: followed by a comma, or by what ends their side of it.
         self.text_a = np.array([f"{i}{end}" for end in ",|" for i in range(self.n_a)], object)
         self.text_b = np.array([f"{i}{end}" for end in ",;" for i in range(self.n_b)], object)
-        # Tokens of A and B, groups as text, packed pairs; those met lately, and those before.
+        # Tokens of A and B, groups as text, packed pairs: of units that several batches met,
+        # lately and before, and of those that one met.
         self.units: dict[str, tuple | None] = {}
         self.older: dict[str, tuple | None] = {}
+        self.new: dict[str, tuple | None] = {}
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
@@ -108,8 +110,8 @@ def align_text(tools: Tools, text: str | None) -> Aligned | None:
     ids = coded.ids
     if b"".join([tools.bytes_a[i] for i in ids]) != raw:
         return None
-    pieces = tools.b.encode(text, return_type="proto").pieces
-    ids_b = [p.id for p in pieces]
+    pieces = [(p.id, p.end) for p in tools.b.encode(text, return_type="proto").pieces]
+    ids_b, ends_b = zip(*pieces) if pieces else ((), ())
     if b"".join([tools.bytes_b[i] for i in ids_b]) != raw:
         return None
     a, b = np.array(ids, np.int64), np.array(ids_b, np.int64)
@@ -122,7 +124,7 @@ def align_text(tools: Tools, text: str | None) -> Aligned | None:
         ends = np.append(first, len(raw))[ends]
     ends_a = _refined(ends, exact, tools.long_a[a])
 
-    ends = np.array([p.end for p in pieces], np.int64) + 1  # behind the space that B adds
+    ends = np.array(ends_b, np.int64) + 1  # behind the space that B adds
     ends_b = _refined(ends, ends > np.append(0, ends[:-1]), tools.long_b[b])
 
     at = np.minimum(np.searchsorted(ends_b, ends_a), len(ends_b) - 1)
@@ -156,7 +158,7 @@ def _learn(tools: Tools, units: list[str]) -> None:
     x = align_text(tools, " ".join(units))
     if x is None:
         if len(units) == 1:
-            tools.units[units[0]] = None
+            tools.new[units[0]] = None
         else:
             _learn(tools, units[:len(units) // 2])
             _learn(tools, units[len(units) // 2:])
@@ -169,7 +171,7 @@ def _learn(tools: Tools, units: list[str]) -> None:
     stops, a, b = (at + 1).tolist(), (x.last_a[at] + 1).tolist(), (x.last_b[at] + 1).tolist()
     low = low_a = low_b = 0
     for unit, stop, z_a, z_b in zip(units, stops, a, b):
-        tools.units[unit] = z_a - low_a, z_b - low_b, ";".join(groups[low:stop]), pairs[low:stop].tobytes()
+        tools.new[unit] = z_a - low_a, z_b - low_b, ";".join(groups[low:stop]), pairs[low:stop].tobytes()
         low, low_a, low_b = stop, z_a, z_b
 
 
@@ -181,9 +183,13 @@ def align_batch(tools: Tools, texts: list[str | None]) -> list[tuple[int, int, s
     if 2 * len(tools.units) > REMEMBERED_UNITS:  # what isn't met again is forgotten at the next turn
         tools.units, tools.older = {}, tools.units
     tools.units.update((u, tools.older[u]) for u in met & tools.older.keys())
+    again = met & tools.new.keys()
+    tools.units.update((u, tools.new.pop(u)) for u in again)
     new = met.difference(tools.units)
+    if len(tools.new) + len(new) > NEW_UNITS:
+        tools.new = {}
     some, letters = [], 0
-    for unit in sorted(new):
+    for unit in new:
         if unit != unit.strip():  # at either end of a text: no single blank can stand beside it
             _learn(tools, [unit])
             continue
@@ -194,9 +200,11 @@ def align_batch(tools: Tools, texts: list[str | None]) -> list[tuple[int, int, s
             some, letters = [], 0
     if some:
         _learn(tools, some)
+    known = {u: tools.units[u] for u in met & tools.units.keys()}
+    known.update((u, tools.new[u]) for u in new)
     out = []
     for units in cut:
-        found = [tools.units[u] for u in units]
+        found = [known[u] for u in units]
         if not found or None in found:
             out.append((0, 0, "", b""))
             continue
