@@ -35,6 +35,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -127,7 +128,8 @@ class Model:
         """The Huffman tree of the tokens. ``code`` lists for each leaf (the last is all beyond
         the head), from the root on, twice the class plus the member, as far as classes have
         CLASS_LEAST counts; ``rest`` is the logarithm of what the base says of the others.
-        Every DEPTH levels make a run, whose classes are neighbouring cells."""
+        Every DEPTH levels make a run, whose classes are neighbouring cells. What a class has
+        is listed again for each run of a leaf, so that it is looked up a run at a time."""
         leaves = len(weight)
         parent, side = [0] * leaves, [0] * leaves
         heap = [(w, i) for i, w in enumerate(weight)]
@@ -178,6 +180,9 @@ class Model:
                 top[i], slot[i] = top[above], 2 * slot[above] + side[i + leaves]
         self.slot = np.array([*slot, 0], np.int32)
         self.run_hash = _mix(np.array([*top, 0]), 7)
+        classes = self.code >> 1
+        self.row_yes, self.row_bias = (self.code & 1).astype(bool), self.bias[classes]
+        self.row_slot, self.row_hash = self.slot[classes].astype(np.int8), self.run_hash[classes[:, 0]]
 
 
 @dataclass
@@ -200,7 +205,7 @@ def tokenize(texts: list[str | None], model: Model) -> Tokens:
         words.extend((t or "").encode("utf-8", "surrogatepass").lower().split())  # ASCII rules, being bytes
         words.append(b"")
     get = model.index.get
-    ids = np.fromiter((get(w, -1) for w in words), np.int64, len(words))
+    ids = np.fromiter(map(get, words, repeat(-1)), np.int64, len(words))
     own = np.where(ids >= 0, model.contexts[np.maximum(ids, 0)], 0)
     first = np.array(starts, np.int64)
     before = np.concatenate([[1], own[:-1]]) if words else own
@@ -217,17 +222,15 @@ def _decisions(model: Model, t: Tokens, a: int, z: int):
     runs = model.runs[leaf]
     of = np.repeat(np.arange(z - a), runs)  # the token of each run
     row = np.arange(len(of)) + np.repeat(model.start[leaf] - np.cumsum(runs) + runs, runs)
-    code = model.code[row]
-    decision = code >> 1
-    run_hash = model.run_hash[decision[:, 0]]
+    run_hash = model.row_hash.take(row)
     table = model.weights[0]
     shift = np.uint64(64 - (len(table).bit_length() - 1))
-    logit, slot, cells = model.bias[decision], model.slot[decision], []
+    logit, slot, cells = model.row_bias.take(row, 0), model.row_slot.take(row, 0).astype(np.int64), []
     for kind, context in enumerate((t.before[a:z], t.skipped[a:z]), 1):
-        x = ((_mix(context, kind)[of] ^ run_hash) * np.uint64(0x9E3779B97F4A7C15)) >> shift
-        cells.append(x.astype(np.int32)[:, None] ^ slot)
-        logit += table[cells[-1]]
-    return of, (code & 1).astype(bool), logit, cells
+        x = ((_mix(context, kind).take(of) ^ run_hash) * np.uint64(0x9E3779B97F4A7C15)) >> shift
+        cells.append(x.view(np.int64)[:, None] ^ slot)
+        logit += table.take(cells[-1])
+    return of, model.row_yes.take(row, 0), logit, cells
 
 
 def model_scores(model: Model, t: Tokens) -> np.ndarray:
