@@ -8,8 +8,11 @@ record as JSON text, and the report counts each path and type that the schema do
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections import Counter
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,6 +21,7 @@ from stationflow.schemas import (RECORD_COLUMNS, RECORD_SOURCE, RECORDS, SNAPSHO
                                  SNAPSHOT_RECORD)
 
 DEPTH = 8  # levels that the report goes down; deeper ones count as one object or array
+KINDS = {dict: "object", list: "array", str: "text", bool: "boolean", int: "number", float: "number"}
 
 
 def read_variants(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -82,28 +86,38 @@ def _kinds(t: T.DataType, path: str = "$") -> dict[str, str]:
     return {path: "number" if isinstance(t, T.NumericType) else "boolean" if isinstance(t, T.BooleanType) else "text"}
 
 
+def _drift(value, path: str, declared: dict[str, str], found: Counter, depth: int = DEPTH) -> None:
+    """Count (path, kind, status) of what ``declared`` doesn't say of a parsed JSON value."""
+    if value is None:
+        return
+    kind = KINDS[type(value)]
+    said = declared.get(path)
+    if said != kind:
+        found[path, kind, "added" if said is None else "retyped"] += 1
+    elif depth > 1 and kind == "object":
+        for key, x in value.items():
+            _drift(x, f"{path}.{key}", declared, found, depth - 1)
+    elif depth > 1 and kind == "array":
+        for x in value:
+            _drift(x, f"{path}[]", declared, found, depth - 1)
+
+
 def drift_report(documents: DataFrame, schema: T.StructType = SNAPSHOT) -> DataFrame:
     """``path``, ``kind`` (object, array, number, text, boolean), ``status`` and ``n``: values whose
     path the schema doesn't say (``added``; what lies below isn't listed) or says otherwise
-    (``retyped``). Nulls are of any kind. Elements of an array share the path ``[]``."""
-    spark = documents.sparkSession
+    (``retyped``). Nulls are of any kind. Elements of an array share the path ``[]``.
+
+    Each document is walked once, where it was parsed; a task sends the counts of each batch."""
     declared = _kinds(schema)
-    known = F.create_map(*[F.lit(x) for pair in declared.items() for x in pair])
-    level, found = documents.where(F.col("raw").isNotNull()).select(F.lit("$").alias("path"), F.col("raw").alias("v")), []
-    for _ in range(DEPTH):
-        kind = F.schema_of_variant("v")
-        kind = (F.when(kind.startswith("OBJECT"), "object").when(kind.startswith("ARRAY"), "array")
-                .when(kind == "STRING", "text").when(kind == "BOOLEAN", "boolean").otherwise("number"))
-        level = level.where(~F.is_variant_null("v")).select("path", "v", kind.alias("kind"),
-                                                            F.try_element_at(known, F.col("path")).alias("said"))
-        status = F.when(F.col("said").isNull(), "added").when(F.col("said") != F.col("kind"), "retyped")
-        found.append(level.select("path", "kind", status.alias("status")).where("status is not null"))
-        level = level.where((F.col("said") == F.col("kind")) & F.col("kind").isin("object", "array"))
-        entries = spark.tvf.variant_explode(F.col("v").outer())
-        level = level.lateralJoin(entries).select(
-            F.concat("path", F.when(F.col("kind") == "array", F.lit("[]")).otherwise(F.concat(F.lit("."), F.col("key")))).alias("path"),
-            F.col("value").alias("v"))
-    out = found[0]
-    for more in found[1:]:
-        out = out.unionByName(more)
-    return out.groupBy("path", "kind", "status").agg(F.count(F.lit(1)).alias("n"))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = Counter()
+            for text in pdf["text"]:
+                if text is not None:
+                    _drift(json.loads(text), "$", declared, found)
+            yield pd.DataFrame([(*k, n) for k, n in found.items()], columns=["path", "kind", "status", "n"])
+
+    parts = documents.select(F.to_json("raw").alias("text")).mapInPandas(
+        count, "path string, kind string, status string, n bigint")
+    return parts.groupBy("path", "kind", "status").agg(F.sum("n").alias("n"))

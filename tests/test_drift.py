@@ -68,3 +68,34 @@ def test_report_by_path_and_kind(load):
 def test_empty_folder_of_lines(load):
     docs = load("")
     assert docs.count() == 0 and drift.flatten_variants(docs).count() == 0 and drift.drift_report(docs).count() == 0
+
+
+def test_report_reads_the_documents_once(load):
+    docs = load(one({"libelle": 12}))
+    plan = drift.drift_report(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation ") == 1
+
+
+def test_report_goes_down_as_far_as_told(load):
+    from pyspark.sql import types as T
+    schema = T.StringType()
+    for _ in range(9):
+        schema = T.StructType([T.StructField("a", schema)])
+
+    def nested(levels, value):
+        for _ in range(levels):
+            value = {"a": value}
+        return value
+
+    got = drift.drift_report(load(nested(7, {"b": True}), nested(6, {"b": True}), nested(6, None), [1]), schema).collect()
+    assert {(r.path, r.kind, r.status, r.n) for r in got} == {
+        ("$.a.a.a.a.a.a.b", "boolean", "added", 1), ("$", "array", "retyped", 1)}
+
+
+def test_report_counts_every_batch_and_kind(spark, tmp_path):
+    path = str(tmp_path / "many")
+    line = '{"nhits": 1.5e300, "new": 12345678901234567890123456789012345678901, "records": [{"fields": {"etat": true}}, "x"]}'
+    spark.range(0, 25_000, 1, 3).selectExpr(f"'{line}' AS value").write.text(path)
+    got = {(r.path, r.kind, r.status, r.n) for r in drift.drift_report(drift.read_variants(spark, path)).collect()}
+    assert got == {("$.new", "number", "added", 25_000), ("$.records[].fields.etat", "boolean", "retyped", 25_000),
+                   ("$.records[]", "text", "retyped", 25_000)}
