@@ -194,13 +194,12 @@ def _streamed_transactions(reverse: bool):
     def query(spark, sf_dir):
         work = _work(spark, "stream-transactions")
         docs = _snapshots(spark, sf_dir).withColumn("part", F.dayofmonth("capture_minute") % 3)
-        for part in sorted(range(3), reverse=reverse):  # three files that take turns in every three days
-            sinks.write_snapshots_json(docs.where(F.col("part") == part).drop("capture_minute", "part").coalesce(1),
-                                       f"{work}/part-{part}")
-            sinks.write_snapshots_json(spark.read.schema(SNAPSHOT).json(f"{work}/part-{part}").coalesce(1),
-                                       f"{work}/raw", mode="append")
-        transactions_stream(spark, f"{work}/raw", f"{work}/hours", f"{work}/_checkpoint", TZ, lateness="60 days",
-                            available_now=True, max_files_per_trigger=1).awaitTermination()
+        for part in sorted(range(3), reverse=reverse):  # three loads that take turns in every three days
+            sinks.write_snapshots_json(docs.where(F.col("part") == part).drop("capture_minute", "part"), f"{work}/part-{part}")
+            sinks.write_snapshots_json(spark.read.schema(SNAPSHOT).json(f"{work}/part-{part}"), f"{work}/raw", mode="append")
+            # Every load is a batch, however many files it has; the stream goes on from its checkpoint.
+            transactions_stream(spark, f"{work}/raw", f"{work}/hours", f"{work}/_checkpoint", TZ, lateness="60 days",
+                                available_now=True).awaitTermination()
         kept = kept_transactions(spark, f"{work}/hours")
         return kept.select(_day_text(), "hour_of_day", "borrowed", "returned")
     return query

@@ -8,7 +8,7 @@ from stationflow.operators import intervals, network
 from stationflow.operators.flatten import flatten_snapshots
 from stationflow.operators.timeaxis import minute_fill, minute_first
 from stationflow.operators.transactions import transactions_by_hour
-from stationflow.plans import rollups
+from stationflow.plans import lifecycle, rollups
 from stationflow.sources import dated
 from stationflow.sources.snapshots import read_snapshots
 from stationflow.streaming.transactions import kept_transactions, transactions_stream
@@ -109,3 +109,21 @@ def test_ranges_say_what_the_dense_series_says(spark):
     part = intervals.minutes_between(ranges, "2024-01-01 23:59:00 UTC", "2024-01-02 00:03:00 UTC", ["station_id"],
                                      ["nb_available_bikes"])
     assert [x.nb_available_bikes for x in part.orderBy("minute").collect()] == [4, 4, 4, 6]
+
+
+@pytest.mark.parametrize("query", ["stream_transactions", "stream_transactions_out_of_order"])
+def test_streamed_loads_keep_the_files_of_their_partitions(spark, tmp_path, monkeypatch, query):
+    """A load isn't gathered into one file to be one batch."""
+    src, work = str(tmp_path / "src"), str(tmp_path / "work")
+    for i, (station, bikes, at) in enumerate(READINGS):
+        write(src, f"{i:02d}", [_rec(str(station), bikes=bikes, t=at)])
+    docs = read_snapshots(spark, src)
+    docs = docs.withColumn("capture_minute", F.date_trunc("minute", F.col("records")[0]["record_timestamp"])).repartition(9)
+    monkeypatch.setattr(lifecycle, "_snapshots", lambda spark, sf_dir: docs)
+    monkeypatch.setattr(lifecycle, "_work", lambda spark, name: work)
+    got = rows(lifecycle.QUERIES[query](spark, ""), "local_date", "hour_of_day")
+    batch = transactions_by_hour(flatten_snapshots(docs), TZ, pad=False)
+    want = rows(batch.select(F.col("local_date").cast("string"), "hour_of_day", "borrowed", "returned"), "local_date", "hour_of_day")
+    assert got == want and want
+    files = [f for f in os.listdir(f"{work}/raw") if f.startswith("part-")]
+    assert len(files) > 3
