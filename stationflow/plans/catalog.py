@@ -114,8 +114,8 @@ def q_minute_fill_station(spark, sf_dir):
 
 
 def q_station_day_timeline(spark, sf_dir):
-    t = dashboard.station_day_timelines(_records(spark, sf_dir), TZ)
-    return t.select("station_id", _day_text(), "minute", "nb_available_bikes")
+    t = dashboard.station_day_timelines(_records(spark, sf_dir), TZ, day_format="yyyy-MM-dd")
+    return t.select("station_id", "local_date", "minute", "nb_available_bikes")
 
 
 def q_network_timeline(spark, sf_dir):

@@ -3,7 +3,8 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from stationflow.operators.timeaxis import minute_fill, minute_first, pad_tail
-from stationflow.plans.dashboard import minute_timeline
+from stationflow.plans import catalog
+from stationflow.plans.dashboard import minute_timeline, station_day_timelines
 
 from conftest import records_df, rows, ts
 
@@ -146,3 +147,33 @@ def test_minute_timeline_matches_pandas_resample(spark):
         mine.index = pd.to_datetime(mine.index).tz_localize(None)
         assert list(mine.index) == list(exp.index)
         assert mine.fillna(-1).tolist() == exp.fillna(-1).tolist()
+
+
+def test_day_text_is_made_of_readings_not_of_minutes(spark):
+    r = records_df(spark, [(7, "EN SERVICE", 3, 1, "2024-01-15 22:59:10"), (7, "EN SERVICE", None, 1, "2024-01-15 23:00:10"),
+                           (7, "EN SERVICE", 5, 1, "2024-01-15 23:02:00"), (8, "EN SERVICE", 4, 1, None)])
+    text = station_day_timelines(r, "Europe/Paris", 4, "yyyy-MM-dd")
+    plan = text._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_format" in plan and "date_format" not in plan[:plan.index("Generate explode(sequence")]
+    want = station_day_timelines(r, "Europe/Paris", 4).withColumn("local_date", F.col("local_date").cast("string"))
+    assert rows(text, "minute", "local_date") == rows(want, "minute", "local_date")
+    assert [(x.local_date, x.nb_available_bikes) for x in text.orderBy("local_date", "minute").collect()] == [
+        ("2024-01-15", 3), *[("2024-01-15", None)] * 3, ("2024-01-16", None), ("2024-01-16", None), ("2024-01-16", 5),
+        ("2024-01-16", None)]
+
+
+def test_registered_day_timeline_formats_no_minute(spark, monkeypatch):
+    r = records_df(spark, [(7, "EN SERVICE", 3, 1, "2024-01-15 22:59:10")])
+    monkeypatch.setattr(catalog, "_records", lambda spark, sf_dir: r)
+    q = catalog.q_station_day_timeline(spark, "")
+    plan = q._jdf.queryExecution().optimizedPlan().toString()
+    assert "date_format" not in plan[:plan.index("Generate explode(sequence")]
+    assert q.columns == ["station_id", "local_date", "minute", "nb_available_bikes"] and q.count() == 1440
+
+
+def test_minutes_come_from_the_generator_as_they_are(spark):
+    df = _series(spark, [(1, "2024-01-01 10:00:00", 3), (1, "2024-01-01 10:03:00", None)])
+    filled = minute_fill(minute_first(df, ["k"], "record_timestamp", ["v"]), ["k"], ["v"])
+    top = filled._jdf.queryExecution().optimizedPlan().toString().split("Generate explode(sequence")[0]
+    assert "*" not in top and "CASE" not in top
+    assert [r.v for r in filled.orderBy("minute").collect()] == [3, 3, 3, None]
