@@ -63,15 +63,16 @@ def minute_fill(df: DataFrame, keys: Sequence[str], values: Sequence[str],
     steps = F.greatest(F.coalesce(gap, missing), F.lit(0)).cast("bigint")
     # Per-observation columns are computed in their own projection below the
     # generator; in the generator's select they would be evaluated per output row.
-    s = d.select(*keys, start.alias("__start"), steps.alias("__steps"),
+    # The generator counts in microseconds, so that an instant needs no arithmetic.
+    s = d.select(*keys, start.alias("__start"), (start + steps * MICROS_PER_MINUTE).alias("__stop"),
                  F.col("__next").isNull().alias("__last"), *values)
-    g = s.select(*keys, "__start", "__last",
-                 F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__steps"))).alias("__i"), *values)
-    at = F.col("__start") + F.col("__i") * MICROS_PER_MINUTE
-    lab = [_local_label(at, tz).alias(label)] if label else []
-    padded = F.col("__last") & (F.col("__i") > 0)
-    return g.select(*keys, F.timestamp_micros(at).alias(minute), *lab,
-                    *[F.when(~padded, F.col(v)).alias(v) for v in values])
+    each = F.sequence(F.col("__start"), F.col("__stop"), F.lit(MICROS_PER_MINUTE).cast("bigint"))
+    g = s.select(*keys, "__start", "__last", F.explode(each).alias("__at"), *values)
+    lab = [_local_label(F.col("__at"), tz).alias(label)] if label else []
+    # Without padding the last observation is one row, its own.
+    padded = F.col("__last") & (F.col("__at") > F.col("__start"))
+    return g.select(*keys, F.timestamp_micros("__at").alias(minute), *lab,
+                    *[F.when(~padded, F.col(v)).alias(v) if pad else F.col(v) for v in values])
 
 
 def series_span(df: DataFrame, keys: Sequence[str], minute: str = "minute") -> DataFrame:
