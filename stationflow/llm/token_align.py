@@ -11,7 +11,9 @@ cuts come from the bytes that the tokens decode to, counted from the last exact
 
 Neither tokenizer has a token that goes on behind a single blank between two words, so what
 stands between such blanks (a unit) is cut alike wherever it occurs. A worker aligns the new
-units of a batch in one go and remembers them up to a fixed number.
+units of a batch in one go and remembers them up to a fixed number, each as one short
+piece of bytes. A mark behind the last letter of a unit (a comma, say) is cut off first, if
+neither tokenizer joins it to letters: a word is then the same unit with and without it.
 
 Where tokens of both end, the text is cut into groups. Each group's last tokens, which end
 together, are a link. Links are counted over the corpus by pair of ids. The most frequent
@@ -20,7 +22,9 @@ pairs (a fixed number) are looked up in a broadcast table, the rest by a join.
 
 from __future__ import annotations
 
+import gc
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -37,9 +41,12 @@ from .common import small_batches, stored
 HEAD_PAIRS = 1 << 19  # pairs of the broadcast table, 17 bytes each
 FLUSH = 1 << 21  # distinct pairs that a task holds while it counts
 SPACE = "▁"
-REMEMBERED_UNITS, NEW_UNITS = 100_000, 50_000  # those that other batches met too, and those of one batch
+REMEMBERED_UNITS, NEW_UNITS = 200_000, 200_000  # those that other batches met too, and those of one batch
 UNIT_LETTERS = 1 << 14  # letters of new units that are aligned at a time
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
+_SIZES = struct.Struct("<3I")
+MARKS = ",.;:!?"
+LETTERS = frozenset(c for c in map(chr, range(0x530)) if c.isalpha())  # Latin, Greek and Cyrillic: old, so the same everywhere
 
 
 class Tools:
@@ -67,16 +74,36 @@ class Tools:
         # Ids as written in a group: followed by a comma, or by what ends their side of it.
         self.text_a = np.array([f"{i}{end}" for end in ",|" for i in range(self.n_a)], object)
         self.text_b = np.array([f"{i}{end}" for end in ",;" for i in range(self.n_b)], object)
-        # Tokens of A and B, groups as text, packed pairs: of units that several batches met,
-        # lately and before, and of those that one met.
-        self.units: dict[str, tuple | None] = {}
-        self.older: dict[str, tuple | None] = {}
-        self.new: dict[str, tuple | None] = {}
+        # Numbers of tokens of A, of B and of pairs, packed pairs, groups as text: of units that
+        # several batches met, lately and before, and of those that one met.
+        self.units: dict[str, bytes | None] = {}
+        self.older: dict[str, bytes | None] = {}
+        self.new: dict[str, bytes | None] = {}
+        self.marks = {c: x for c in MARKS if (x := self._mark(c))}
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode()
 
+    def _mark(self, mark: str) -> tuple[int, int, bytes, bytes] | None:
+        """What ``mark`` adds behind a letter and before a blank. None unless A cuts its text before
+        and behind the mark for every letter, and B has no piece that goes over either place."""
+        if self.a.pre_tokenizer is None or self.a.normalizer is not None:
+            return None
+        cut = {end for _, (_, end) in self.a.pre_tokenizer.pre_tokenize_str("".join(f" {c}{mark}" for c in sorted(LETTERS)))}
+        if not all({3 * i + 2, 3 * i + 3} <= cut for i in range(len(LETTERS))):
+            return None
+        over = re.compile(f"[{''.join(LETTERS)}]{re.escape(mark)}|{re.escape(mark)}{SPACE}")
+        if any(over.search(self.b.id_to_piece(i)) for i in range(self.n_b)):
+            return None
+        x = align_text(self, "a" + mark)
+        if x is None or 2 not in x.cuts:
+            return None
+        at = int(np.searchsorted(x.cuts, 2))
+        low_a, low_b = x.last_a[at] + 1, x.last_b[at] + 1
+        own = Aligned(x.a[low_a:], x.b[low_b:], x.cuts[at + 1:], x.last_a[at + 1:] - low_a, x.last_b[at + 1:] - low_b)
+        return len(own.a), len(own.b), written(self, own).encode(), _pairs(self, own).tobytes()
+
 
 @dataclass
 class Aligned:
@@ -110,8 +137,8 @@ def align_text(tools: Tools, text: str | None) -> Aligned | None:
     ids = coded.ids
     if b"".join([tools.bytes_a[i] for i in ids]) != raw:
         return None
-    pieces = [(p.id, p.end) for p in tools.b.encode(text, return_type="proto").pieces]
-    ids_b, ends_b = zip(*pieces) if pieces else ((), ())
+    pieces = list(tools.b.encode(text, return_type="proto").pieces)
+    ids_b, ends_b = [p.id for p in pieces], [p.end for p in pieces]
     if b"".join([tools.bytes_b[i] for i in ids_b]) != raw:
         return None
     a, b = np.array(ids, np.int64), np.array(ids_b, np.int64)
@@ -163,23 +190,49 @@ def _learn(tools: Tools, units: list[str]) -> None:
             _learn(tools, units[:len(units) // 2])
             _learn(tools, units[len(units) // 2:])
         return
-    ends = np.cumsum([len(u.encode("utf-8", "surrogatepass")) + 1 for u in units])
+    raw = np.frombuffer((" " + " ".join(units)).encode("utf-8", "surrogatepass"), np.uint8)
+    first = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+    ends = first[np.cumsum(np.fromiter(map(len, units), np.int64, len(units)) + 1)]
     at = np.searchsorted(x.cuts, ends)
     if not (x.cuts[np.minimum(at, len(x.cuts) - 1)] == ends).all():
         raise ValueError("a tokenizer joins words across a blank")
-    groups, pairs = written(tools, x).split(";"), _pairs(tools, x)
-    stops, a, b = (at + 1).tolist(), (x.last_a[at] + 1).tolist(), (x.last_b[at] + 1).tolist()
-    low = low_a = low_b = 0
-    for unit, stop, z_a, z_b in zip(units, stops, a, b):
-        tools.new[unit] = z_a - low_a, z_b - low_b, ";".join(groups[low:stop]), pairs[low:stop].tobytes()
-        low, low_a, low_b = stop, z_a, z_b
+    groups, pairs = written(tools, x).encode(), _pairs(tools, x).tobytes()
+    stops = np.append(np.flatnonzero(np.frombuffer(groups, np.uint8) == ord(";")), len(groups))[at]
+    sizes = np.diff([x.last_a[at], x.last_b[at], at], prepend=-1).T.astype("<u4").tobytes()
+    low = low_pair = 0
+    for unit, head, stop, pair in zip(units, range(0, len(sizes), _SIZES.size), stops.tolist(), (4 * at + 4).tolist()):
+        tools.new[unit] = sizes[head:head + _SIZES.size] + pairs[low_pair:pair] + groups[low:stop]
+        low, low_pair = stop + 1, pair
+
+
+def _units(text: str | None) -> list[str]:
+    """The text cut at single blanks between words."""
+    if not text:
+        return []
+    if len(" ".join(text.split())) == len(text):  # blanks of all kinds stand alone, none at the ends
+        return text.split(" ")
+    return _BETWEEN.split(text)
+
+
+def _opened(raw: bytes | None, mark: tuple[int, int, bytes, bytes] | None) -> tuple[int, int, bytes, bytes] | None:
+    """A unit as remembered, and the mark behind it if there is one."""
+    if raw is None:
+        return None
+    n_a, n_b, n = _SIZES.unpack_from(raw)
+    at = _SIZES.size + 4 * n
+    if mark is None:
+        return n_a, n_b, raw[at:], raw[_SIZES.size:at]
+    more_a, more_b, groups, pairs = mark
+    return n_a + more_a, n_b + more_b, raw[at:] + b";" + groups, raw[_SIZES.size:at] + pairs
 
 
 def align_batch(tools: Tools, texts: list[str | None]) -> list[tuple[int, int, str, bytes]]:
     """Tokens of A and B, groups as text and packed pairs of every text; zeros and nothing for one
     without tokens."""
-    cut = [_BETWEEN.split(t) if t else [] for t in texts]
-    met = set().union(*cut)
+    cut = [_units(t) for t in texts]
+    whole = set().union(*cut)
+    bare = {u: u[:-1] if u[-1] in tools.marks and u[-2:-1] in LETTERS else u for u in whole}
+    met = set(bare.values())
     if 2 * len(tools.units) > REMEMBERED_UNITS:  # what isn't met again is forgotten at the next turn
         tools.units, tools.older = {}, tools.units
     tools.units.update((u, tools.older[u]) for u in met & tools.older.keys())
@@ -200,8 +253,9 @@ def align_batch(tools: Tools, texts: list[str | None]) -> list[tuple[int, int, s
             some, letters = [], 0
     if some:
         _learn(tools, some)
-    known = {u: tools.units[u] for u in met & tools.units.keys()}
-    known.update((u, tools.new[u]) for u in new)
+    held = {u: tools.units[u] for u in met & tools.units.keys()}
+    held.update((u, tools.new[u]) for u in new)
+    known = {u: _opened(held[v], tools.marks[u[-1]] if u != v else None) for u, v in bare.items()}
     out = []
     for units in cut:
         found = [known[u] for u in units]
@@ -209,7 +263,7 @@ def align_batch(tools: Tools, texts: list[str | None]) -> list[tuple[int, int, s
             out.append((0, 0, "", b""))
             continue
         n_a, n_b, groups, pairs = zip(*found)
-        out.append((sum(n_a), sum(n_b), ";".join(groups), b"".join(pairs)))
+        out.append((sum(n_a), sum(n_b), b";".join(groups).decode(), b"".join(pairs)))
     return out
 
 
@@ -249,7 +303,11 @@ def alignments(docs: DataFrame, tokenizer_a: str, model_b: str, doc_id: str = "d
         tools = _tools(spec, model)
         for pdf in batches:
             texts = pdf["content"].tolist()
-            n_a, n_b, groups, links = zip(*align_batch(tools, texts)) if texts else ((),) * 4
+            gc.disable()  # a batch makes millions of tuples, none of them in a cycle
+            try:
+                n_a, n_b, groups, links = zip(*align_batch(tools, texts)) if texts else ((),) * 4
+            finally:
+                gc.enable()
             made = {"id": pdf["id"], "n_a": np.array(n_a, np.int64), "n_b": np.array(n_b, np.int64),
                     "groups": list(groups), "links": list(links)}
             if spans:

@@ -145,3 +145,28 @@ def test_query_hashes_groups(spark):
         g = aligned[i].groups
         assert r.groups_sha256 == (hashlib.sha256(g.encode()).hexdigest() if g else "")
         assert r.n_groups == (len(g.split(";")) if g else 0)
+
+
+def test_a_word_is_one_unit_with_and_without_a_mark(prose):
+    """Marks are aligned apart from the words before them, as in the whole text."""
+    with open(FILES[0], encoding="utf-8") as f, open(FILES[1], "rb") as g:
+        tools = A.Tools(f.read(), g.read())
+    assert set(tools.marks) == set(A.MARKS)
+    texts = ["alpha beta, gamma.", "alpha, beta. gamma; alpha? beta! gamma: alpha", "été, été", "漢, 7, '. x.. ,", " a, b, "]
+    got = A.align_batch(tools, texts)
+    assert {"alpha", "beta", "gamma", "été"} <= tools.new.keys() and not {"alpha,", "beta.", "été,"} & tools.new.keys()
+    for text, found in zip([*texts, *prose(20, 0, 60)], got + A.align_batch(tools, prose(20, 0, 60))):
+        x = A.align_text(tools, text)
+        assert found == (len(x.a), len(x.b), A.written(tools, x), A._pairs(tools, x).tobytes()), text
+    tools.a.pre_tokenizer = None
+    assert tools._mark(",") is None
+    assert all(isinstance(v, bytes) for v in tools.new.values())
+
+
+def test_new_units_of_several_batches_are_remembered():
+    with open(FILES[0], encoding="utf-8") as f, open(FILES[1], "rb") as g:
+        tools = A.Tools(f.read(), g.read())
+    batches = [[f"w{i}x{j}" for j in range(30_000)] for i in range(3)]
+    for words in batches:
+        A.align_batch(tools, [" ".join(words)])
+    assert all(w in tools.new for words in batches for w in words)
