@@ -24,8 +24,8 @@ of the log-likelihood (yes less expected), and in the first round its curvature,
 texts of one part; Spark sums these over the tasks, and the weights move once, by the gradient
 over the curvature of all parts so far (as many times that of the first). So each text is learned from once, and weights depend on the texts and not on
 how rows are split into tasks. The number of cells grows with the tokens, up to a broadcast of
-16 MB; a task covers a token a cell at least, so what tasks send doesn't depend on how many
-cores there are, and is 4 bytes a token at most.
+16 MB; a task covers two tokens a cell at least, so what tasks send doesn't depend on how many
+cores there are, and is 2 bytes a token at most.
 """
 
 from __future__ import annotations
@@ -43,11 +43,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (ROW_ID, ROW_TEXT, blank_words, fold, join_rows, keyed, lower_ascii, small_batches,
-                     stored)
+from .common import ROW_ID, blank_words, fold, keyed, lower_ascii, small_batches, stored
 
 HEAD, HEAD_BYTES = 1 << 18, 64
 CELLS, TOKENS_A_CELL = (18, 22), 4  # bits of the number of weights, at least and at most
+TASK_TOKENS = 2  # tokens a cell that a task covers at least, if there are as many
 CONTEXT_LEAST, CLASS_LEAST = 8, 24
 ROUNDS = 3
 DEPTH = 4  # decisions of a run; its part of the tree has 15, in 16 neighbouring cells
@@ -300,7 +300,7 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     model = Model(head["token"].tolist(), head["c"].tolist(), int(n), int(v), [np.zeros(size, np.float32)])
     small_batches(spark)
     part = F.pmod(F.xxhash64("__text"), F.lit(rounds))
-    tasks = max(1, int(n or 0) // (max(rounds, 1) * size))
+    tasks = max(1, int(n or 0) // (TASK_TOKENS * max(rounds, 1) * size))
     curvature = np.zeros(size)  # of one part; the parts are alike, so the first is told for all
     for nth in range(rounds if n else 0):
         sent = spark.sparkContext.broadcast(model)  # head and weights: of bounded size
@@ -325,6 +325,15 @@ def train(texts: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     return model
 
 
+def tail_scores(parts: DataFrame, counts: DataFrame, mass: float) -> DataFrame:
+    """For each ``row`` of ``parts`` with a tail, what its tokens add: ``tail_base`` and
+    ``tail_known``. Nothing but a row's number, a token and how often it occurs is shuffled."""
+    tokens = parts.select("row", F.explode("tail").alias("t")).select("row", "t.token", "t.k")
+    return (tokens.join(counts, "token", "left").groupBy("row")
+            .agg(F.sum(F.col("k") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / mass)).alias("tail_base"),
+                 F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)).alias("tail_known")))
+
+
 def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out_fold: int = 1,
               rounds: int = ROUNDS) -> DataFrame:
     """One row per document row: id, ``held_out`` (crc32 of the id as text mod 5 is
@@ -342,7 +351,7 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_
     model = train(texts.withColumn("__text", F.coalesce("__text", F.lit(""))), counts, rounds)
     sent = spark.sparkContext.broadcast(model)
     tail = T.ArrayType(T.StructType([T.StructField("token", T.StringType()), T.StructField("k", T.LongType())]))
-    schema = T.StructType([rows.schema[ROW_ID], rows.schema[ROW_TEXT], T.StructField("n_tokens", T.LongType()),
+    schema = T.StructType([rows.schema[ROW_ID], T.StructField("n_tokens", T.LongType()),
                            T.StructField("known", T.LongType()), T.StructField("base", T.DoubleType()),
                            T.StructField("model", T.DoubleType()), T.StructField("tail", tail)])
 
@@ -357,22 +366,16 @@ def lm_scores(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_
             rest = [[{"token": w.decode("utf-8", "surrogatepass"), "k": k} for w, k in Counter(
                 [t.words[i] for i in (np.nonzero(~in_head[a:z])[0] + a).tolist()]).items()]
                 for a, z in zip(t.starts.tolist(), ends.tolist())]
-            yield pdf[[ROW_ID, ROW_TEXT]].assign(
+            yield pdf[[ROW_ID]].assign(
                 n_tokens=ends - t.starts, known=np.add.reduceat(in_head.astype(np.int64), t.starts),
                 base=np.add.reduceat(base, t.starts), model=np.add.reduceat(full, t.starts), tail=rest)
 
-    parts = stored(rows.mapInPandas(run, schema), "lm-parts")
-    mass = model.mass
-    # Repeated rows list their tail once each; the sums are divided by how often.
-    copies = F.sum((F.col("place") == 0).cast("int"))
-    tails = (parts.select(ROW_ID, ROW_TEXT, F.posexplode("tail").alias("place", "t"))
-             .select(ROW_ID, ROW_TEXT, "place", "t.token", "t.k").join(counts, "token", "left")
-             .groupBy(ROW_ID, ROW_TEXT)
-             .agg((F.sum(F.col("k") * F.log10((F.coalesce("c", F.lit(0)) + 0.5) / mass)) / copies).alias("tail_base"),
-                  (F.sum(F.when(F.col("c").isNotNull(), F.col("k")).otherwise(0)) / copies)
-                  .cast("bigint").alias("tail_known")))
+    # Numbered as they are written, so that a row keeps its number and repeated rows have one each.
+    scored = rows.select(ROW_ID, "__text").mapInPandas(run, schema)
+    parts = stored(scored.withColumn("row", F.monotonically_increasing_id()), "lm-parts", "zstd")
+    tails = tail_scores(parts, counts, model.mass)
     none = F.lit(0.0)
-    return join_rows(parts.drop("tail"), tails, "left").select(
+    return parts.drop("tail").join(tails, "row", "left").select(
         F.col(ROW_ID).alias(doc_id), (fold(F.col(ROW_ID)) == held_out_fold).alias("held_out"), "n_tokens",
         (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
         F.lit(model.n).cast("bigint").alias("train_tokens"),

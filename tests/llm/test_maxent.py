@@ -153,3 +153,37 @@ def test_scores_do_not_depend_on_the_split(documents):
     docs = documents(CHAIN)
     one, many = (by_id(maxent.lm_scores(docs.repartition(n))) for n in (1, 64))
     assert all(many[i].score == pytest.approx(r.score, rel=1e-4) for i, r in one.items())
+
+
+def test_tails_are_shuffled_by_row_number_alone(spark, monkeypatch, documents):
+    """Neither ids, hashes of texts nor places travel with the tokens beyond the head."""
+    made = []
+
+    def tail_scores(parts, counts, mass, f=maxent.tail_scores):
+        made.append(f(parts, counts, mass))
+        return made[-1]
+
+    monkeypatch.setattr(maxent, "HEAD", 1)
+    monkeypatch.setattr(maxent, "tail_scores", tail_scores)
+    rows = [(i, f"a{i} b{i} b{i} c") for i in range(40)] + [(7, "a7 b7 b7 c")]
+    got = maxent.lm_scores(documents(rows), rounds=0).collect()
+    assert len(got) == 41 and all(r.n_tokens == 5 for r in got)
+    assert len({(r.n_known, round(r.base_score, 9)) for r in got if r.doc_id == 7}) == 1
+    plan = made[0]._jdf.queryExecution().optimizedPlan().toString()
+    joined = plan[plan.index("Join"):]
+    assert "__row_text" not in joined and "posexplode" not in joined and "__row_id" not in joined.split("Relation")[0]
+
+
+def test_a_task_of_sums_covers_two_tokens_a_cell(spark, documents, monkeypatch):
+    monkeypatch.setattr(maxent, "CELLS", (6, 6))
+    dealt = []
+
+    def coalesce(self, n, f=type(documents([])).coalesce):
+        dealt.append(n)
+        return f(self, n)
+
+    monkeypatch.setattr(type(documents([])), "coalesce", coalesce)
+    docs = documents([" ".join(f"w{j}" for j in range(23))] * 40)
+    texts = docs.select(docs["text"].alias("__text"))
+    model = maxent.train(texts, maxent.token_counts(texts), rounds=1)
+    assert model.n == 960 and dealt == [960 // (2 * 64)]
