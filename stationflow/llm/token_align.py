@@ -253,13 +253,13 @@ def align_batch(tools: Tools, texts: list[str | None]) -> list[tuple[int, int, s
             some, letters = [], 0
     if some:
         _learn(tools, some)
-    held = {u: tools.units[u] for u in met & tools.units.keys()}
-    held.update((u, tools.new[u]) for u in new)
-    known = {u: _opened(held[v], tools.marks[u[-1]] if u != v else None) for u, v in bare.items()}
+    known = {u: _opened((tools.new if v in new else tools.units)[v], tools.marks[u[-1]] if u is not v else None)
+             for u, v in bare.items()}
+    changed = None in known.values()
     out = []
     for units in cut:
         found = [known[u] for u in units]
-        if not found or None in found:
+        if not found or changed and None in found:
             out.append((0, 0, "", b""))
             continue
         n_a, n_b, groups, pairs = zip(*found)
@@ -362,20 +362,20 @@ def count_links(aligned: DataFrame, size_b: int) -> DataFrame:
     most = counts.groupBy("b").agg(F.max("n").alias("most"))  # at most size_b rows
     counts = counts.join(F.broadcast(most), "b").select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
     head = _head(counts)
-    sent = spark.sparkContext.broadcast(tuple(head[c].to_numpy() for c in ("pair", "n", "best")))
+    sent = spark.sparkContext.broadcast((head["pair"].to_numpy().astype("<u4"), *(head[c].to_numpy() for c in ("n", "best"))))
 
     @F.pandas_udf("best bigint, total bigint, rest array<bigint>")
     def look_up(links: pd.Series) -> pd.DataFrame:
         pairs, n, best = sent.value
         out = []
         for raw in links:
-            own = np.frombuffer(raw, "<u4").astype(np.int64)
+            own = np.sort(np.frombuffer(raw, "<u4"))  # neighbours are looked up in the same places
             if not len(pairs):
-                out.append((0, 0, own))
+                out.append((0, 0, own.astype(np.int64)))
                 continue
             at = np.minimum(np.searchsorted(pairs, own), len(pairs) - 1)
             hit = pairs[at] == own
-            out.append((int(best[at[hit]].sum()), int(n[at[hit]].sum()), own[~hit]))
+            out.append((int(best[at[hit]].sum()), int(n[at[hit]].sum()), own[~hit].astype(np.int64)))
         columns = list(zip(*out)) or [(), (), ()]
         return pd.DataFrame({"best": np.array(columns[0], np.int64), "total": np.array(columns[1], np.int64),
                              "rest": list(columns[2])})
